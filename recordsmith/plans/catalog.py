@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordsmith.functions import jsonparse as J
 from recordsmith.functions import scoring as S
+from recordsmith.operators import chat as CH
+from recordsmith.operators import split as SP
+from recordsmith.operators import synth as SY
 from recordsmith.operators.evaluate import eval_report as _eval_report
 from recordsmith.operators.evaluate import score_predictions
 from recordsmith.operators.flatten import flatten_json as _flatten_json
@@ -128,5 +131,108 @@ def schema_check(spark, sf_dir):
     return p.select("id", S.schema_conformance(F.col("pred"), ORDER_RECORD_FIELDS).alias("schema_ok"))
 
 
+# ------------------------------------------------------------ 4. corpus
+
+
+def _corpus_size(spark, sf_dir) -> int:
+    """The synthetic corpus has one example per ``orders`` row."""
+    return table(spark, sf_dir, "orders").count()
+
+
+def _target_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("target_json", F.to_json("target_json", {"ignoreNullFields": "false"}))
+
+
+_EXAMPLE_COLS = ["id", "input_text", "schema_hint", "target_json", "can_extract", "domain"]
+
+
+@register
+def synth_notes(spark, sf_dir):
+    """Medical notes and targets, one per non-refusal slot."""
+    n = _corpus_size(spark, sf_dir)
+    idx = spark.range(0, n - SY.refusal_count(n), 1, spark.sparkContext.defaultParallelism)
+    return _target_text(SY.build_notes(idx.withColumnRenamed("id", "idx")))
+
+
+@register
+def synth_refusals(spark, sf_dir):
+    """Refusal examples, ``int(n * 0.12)`` of them."""
+    n = _corpus_size(spark, sf_dir)
+    idx = spark.range(0, SY.refusal_count(n), 1, spark.sparkContext.defaultParallelism)
+    return _target_text(SY.build_refusals(idx.withColumnRenamed("id", "idx")))
+
+
+def _split_corpus(spark, sf_dir):
+    corpus = SY.build_corpus(spark, _corpus_size(spark, sf_dir))
+    return SP.exact_split(corpus)
+
+
+@register
+def split_corpus(spark, sf_dir):
+    """The shuffled corpus with its position and split."""
+    return _target_text(_split_corpus(spark, sf_dir)).select(*_EXAMPLE_COLS, "ordinal", "split")
+
+
+@register
+def split_counts(spark, sf_dir):
+    """Rows per split."""
+    return _split_corpus(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register
+def eval_subset(spark, sf_dir):
+    """the evaluator's ``--limit``: first 400 test rows in file order."""
+    test = _split_corpus(spark, sf_dir).where(F.col("split") == "test")
+    return _target_text(SP.head_by_ordinal(test, 400)).select("id", "ordinal", "target_json")
+
+
+@register
+def first_example(spark, sf_dir):
+    """Preview of the first training row as its JSONL line."""
+    train = _split_corpus(spark, sf_dir).where(F.col("split") == "train")
+    first = SP.head_by_ordinal(train, 1)
+    return first.select("id", F.to_json(F.struct(*_EXAMPLE_COLS), {"ignoreNullFields": "false"}).alias("line"))
+
+
+# ------------------------------------------------------------- 5. rendering
+
+
+def _conversations(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+
+
+@register
+def chat_render(spark, sf_dir):
+    """Every conversation rendered with the chat template."""
+    return CH.render_conversations(_conversations(spark, sf_dir))
+
+
+@register
+def chat_prompt(spark, sf_dir):
+    """C11: the same with the generation suffix."""
+    return CH.render_conversations(_conversations(spark, sf_dir), add_generation_prompt=True)
+
+
+@register
+def tool_chat_render(spark, sf_dir):
+    """Conversations with tool turns, built from the event log."""
+    return CH.render_conversations(CH.events_as_turns(table(spark, sf_dir, "events")))
+
+
+@register
+def sft_text(spark, sf_dir):
+    """Training text of every training example."""
+    train = _split_corpus(spark, sf_dir).where(F.col("split") == "train")
+    return CH.sft_text(train)
+
+
+@register
+def user_prompt(spark, sf_dir):
+    """The user prompt of every corpus example."""
+    from recordsmith.functions.prompts import user_prompt as _up
+    corpus = SY.build_corpus(spark, _corpus_size(spark, sf_dir))
+    return corpus.select("id", _up(F.col("input_text"), F.col("schema_hint")).alias("prompt"))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

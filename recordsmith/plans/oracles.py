@@ -65,4 +65,142 @@ def oracle_sql() -> dict[str, str]:
                                       f"{_confidence('pred')} AS confidence, raw_output FROM cparsed"),
         "schema_check": parsed + f"SELECT id, {_schema_ok('pred', ORDER_RECORD_FIELDS)} AS schema_ok FROM cparsed",
     }
+    out.update(corpus_oracles())
     return out
+
+
+# ------------------------------------------------------ corpus & rendering
+
+def _lst(values) -> str:
+    return "[" + ", ".join(Q._sql_str(str(v)) if isinstance(v, str) else str(v) for v in values) + "]"
+
+
+def _synth_ctes(seed: int = 42) -> str:
+    from recordsmith.operators import synth as SY
+
+    def draw(field: str) -> str:
+        return f"CAST(('0x' || substr(md5('{seed}|' || idx || '|{field}'), 1, 8)) AS BIGINT)"
+
+    def choice(field, values):
+        return f"{_lst(values)}[({draw(field)} % {len(values)}) + 1]"
+
+    def randint(field, lo, hi):
+        return f"({lo} + {draw(field)} % {hi - lo + 1})"
+
+    def sample(field, values, k):
+        return (f"list_transform(list_slice(list_sort(list_transform({_lst(values)}, "
+                f"lambda x: md5('{seed}|' || idx || '|{field}|' || x) || x)), 1, {k}), lambda s: substr(s, 33))")
+
+    dose = "CASE m " + " ".join(f"WHEN {Q._sql_str(a)} THEN {Q._sql_str(b)}" for a, b in SY.MEDICATIONS) + " END"
+    med_names = [m for m, _ in SY.MEDICATIONS]
+    refusal_json = ('{"can_extract":false,"refusal_reason":"' + SY.REFUSAL_REASON + '","record":null}')
+    return f"""
+params AS (SELECT count(*) AS n, CAST(floor(count(*) * 0.12::DOUBLE) AS BIGINT) AS r,
+                  CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS n_train,
+                  CAST(floor(count(*) * 0.1::DOUBLE) AS BIGINT) AS n_val FROM orders),
+note_idx AS (SELECT unnest(range(n - r)) AS idx FROM params),
+refusal_idx AS (SELECT unnest(range(r)) AS idx FROM params),
+note_draws AS (
+  SELECT idx, {choice('name', SY.NAMES)} AS name, {randint('age', *SY.AGE)} AS age,
+         {choice('sex', SY.SEXES)} AS sex, {choice('complaint', SY.COMPLAINTS)} AS complaint,
+         {sample('diagnoses', SY.DIAGNOSES, randint('n_diagnoses', 1, 2))} AS diagnoses,
+         {sample('medications', med_names, randint('n_medications', 1, 2))} AS med_names,
+         {sample('allergies', SY.ALLERGIES, 1)} AS allergies,
+         {randint('systolic', *SY.SYSTOLIC)} AS systolic, {randint('diastolic', *SY.DIASTOLIC)} AS diastolic,
+         {randint('heart_rate', *SY.HEART_RATE)} AS heart_rate, {randint('temperature', *SY.TEMP_TENTHS)} AS temp10,
+         {choice('follow_up', SY.FOLLOW_UP_DAYS)} AS follow_up,
+         printf('{SY.ENCOUNTER_YEAR}-%02d-%02d', {randint('month', 1, 12)}, {randint('day', 1, 28)}) AS encounter_date
+  FROM note_idx),
+notes AS (
+  SELECT printf('medical-%05d', idx) AS id,
+    'ED/Clinic note :: Pt ' || name || ', ' || age || ' y/o ' || sex || '. Seen on ' || encounter_date || ' for '
+    || complaint || '. Assessment mentions ' || array_to_string(diagnoses, ', ') || '. Current meds: '
+    || array_to_string(list_transform(med_names, lambda m: m || ' ' || {dose}), '; ') || '. Allergies: '
+    || array_to_string(allergies, ', ') || '. Vitals -> BP ' || systolic || '/' || diastolic || ', HR ' || heart_rate
+    || ', Temp ' || (temp10 // 10) || '.' || (temp10 % 10) || 'F. Follow-up requested in ' || follow_up
+    || ' days. Transcribed from mixed shorthand and dictated fragments.' AS input_text,
+    'medical_intake_v1' AS schema_hint,
+    CAST(to_json({{'can_extract': true, 'refusal_reason': NULL::VARCHAR, 'record': {{
+      'patient_name': name, 'age': CAST(age AS BIGINT), 'sex': sex, 'encounter_date': encounter_date,
+      'chief_complaint': complaint, 'diagnoses': diagnoses,
+      'medications': list_transform(med_names, lambda m: {{'name': m, 'dose': {dose}}}),
+      'allergies': allergies,
+      'vitals': {{'blood_pressure': systolic || '/' || diastolic, 'heart_rate': CAST(heart_rate AS BIGINT),
+                  'temperature_f': CAST(temp10 AS DOUBLE) / 10.0::DOUBLE}},
+      'follow_up_days': CAST(follow_up AS BIGINT)}}}}) AS VARCHAR) AS target_json,
+    true AS can_extract, '{SY.DOMAIN}' AS domain
+  FROM note_draws),
+refusals AS (
+  SELECT printf('refusal-%05d', idx) AS id, {choice('refusal_text', SY.REFUSAL_TEXTS)} AS input_text,
+         'medical_intake_v1' AS schema_hint, '{refusal_json}' AS target_json,
+         false AS can_extract, '{SY.DOMAIN}' AS domain
+  FROM refusal_idx),
+corpus_all AS (SELECT *, md5('{seed}|' || id) AS shuffle_key FROM notes UNION ALL
+               SELECT *, md5('{seed}|' || id) AS shuffle_key FROM refusals),
+ranked AS (
+  SELECT c.*, row_number() OVER (ORDER BY shuffle_key, id) - 1 AS ordinal FROM corpus_all c),
+split AS (
+  SELECT r.*, CASE WHEN ordinal < p.n_train THEN 'train' WHEN ordinal < p.n_train + p.n_val THEN 'val'
+                   ELSE 'test' END AS split
+  FROM ranked r, params p)"""
+
+
+def _chat_sql(source: str, gen: bool) -> str:
+    from recordsmith.functions import prompts as P
+    nl = "chr(10)"
+    default_header = Q._sql_str(P.IM_START + "system\n" + P.DEFAULT_SYSTEM + P.IM_END + "\n")
+    suffix = f" || {Q._sql_str(P.IM_START + 'assistant' + chr(10))}" if gen else ""
+    return f"""
+t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text,
+             row_number() OVER w - 1 AS i, lag(role) OVER w AS prev_role, lead(role) OVER w AS next_role
+      FROM {source} WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+pieces AS (
+  SELECT conv_id, turn, i,
+    CASE WHEN role IN ('user', 'assistant') OR (role = 'system' AND i > 0)
+           THEN '{P.IM_START}' || role || {nl} || text || '{P.IM_END}' || {nl}
+         WHEN role = 'tool'
+           THEN (CASE WHEN i = 0 OR coalesce(prev_role <> 'tool', true) THEN '{P.IM_START}user' ELSE '' END)
+                || {nl} || '<tool_response>' || {nl} || text || {nl} || '</tool_response>'
+                || (CASE WHEN coalesce(next_role <> 'tool', true) THEN '{P.IM_END}' || {nl} ELSE '' END)
+         ELSE '' END AS piece,
+    CASE WHEN i = 0 THEN role END AS first_role, CASE WHEN i = 0 THEN text END AS first_text
+  FROM t)
+SELECT conv_id,
+  CASE WHEN max(first_role) = 'system' THEN '{P.IM_START}system' || {nl} || max(first_text) || '{P.IM_END}' || {nl}
+       ELSE {default_header} END || string_agg(piece, '' ORDER BY turn){suffix} AS text
+FROM pieces GROUP BY conv_id"""
+
+
+def _user_prompt_sql(text: str, hint: str) -> str:
+    from recordsmith.functions import prompts as P
+    return f"({Q._sql_str(P.USER_PROMPT_HEAD)} || {hint} || {Q._sql_str(P.USER_PROMPT_MID)} || {text})"
+
+
+def corpus_oracles() -> dict[str, str]:
+    from recordsmith.functions import prompts as P
+    synth = Q.with_ctes(_synth_ctes())
+    cols = "id, input_text, schema_hint, target_json, can_extract, domain"
+    line = ("'{\"id\":' || CAST(to_json(id) AS VARCHAR) || ',\"input_text\":' || CAST(to_json(input_text) AS VARCHAR)"
+            " || ',\"schema_hint\":' || CAST(to_json(schema_hint) AS VARCHAR) || ',\"target_json\":' || target_json"
+            " || ',\"can_extract\":' || CAST(can_extract AS VARCHAR) || ',\"domain\":' || CAST(to_json(domain) AS VARCHAR) || '}'")
+    events_turns = ("ev AS (SELECT CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y-%m-%d') AS conv_id, "
+                    "{'ts': ts, 'event_id': event_id} AS turn, "
+                    "CASE WHEN event_type IN ('error', 'click') THEN 'tool' WHEN event_type = 'view' THEN 'user' "
+                    "ELSE 'assistant' END AS role, event_type || ' ' || coalesce(props, 'null') AS text FROM events)")
+    sft = (f"{Q._sql_str(P.IM_START + 'system' + chr(10) + P.SYSTEM_PROMPT + P.IM_END + chr(10))} || "
+           f"'{P.IM_START}user' || chr(10) || {_user_prompt_sql('input_text', 'schema_hint')} || '{P.IM_END}' || chr(10) || "
+           f"'{P.IM_START}assistant' || chr(10) || target_json || '{P.IM_END}' || chr(10)")
+    return {
+        "synth_notes": synth + f"SELECT {cols} FROM notes",
+        "synth_refusals": synth + f"SELECT {cols} FROM refusals",
+        "split_corpus": synth + f"SELECT {cols}, ordinal, split FROM split",
+        "split_counts": synth + "SELECT split, count(*) AS rows FROM split GROUP BY split",
+        "eval_subset": synth + ("SELECT id, ordinal, target_json FROM split WHERE split = 'test' "
+                                "ORDER BY ordinal LIMIT 400"),
+        "first_example": synth + f"SELECT id, {line} AS line FROM split WHERE split = 'train' ORDER BY ordinal LIMIT 1",
+        "chat_render": "WITH " + _chat_sql("conversations", False).strip(),
+        "chat_prompt": "WITH " + _chat_sql("conversations", True).strip(),
+        "tool_chat_render": "WITH " + events_turns + ",\n" + _chat_sql("ev", False).strip(),
+        "sft_text": synth + f"SELECT {sft} AS text FROM split WHERE split = 'train'",
+        "user_prompt": synth + f"SELECT id, {_user_prompt_sql('input_text', 'schema_hint')} AS prompt FROM corpus_all",
+    }
