@@ -25,7 +25,7 @@ def join_predictions(predictions: DataFrame, examples: DataFrame, on: str = "id"
 
 
 def score_predictions(df: DataFrame, raw_col: str = "raw_output", target_col: str = "target_text",
-                      keep: tuple[str, ...] = ("id",)) -> DataFrame:
+                      keep: tuple[str, ...] = ("id",), record_fields: dict[str, str] | None = None) -> DataFrame:
     """Per-row detail: parsed output (canonical JSON text) and the four scores.
 
     ``target_col`` is JSON text (as written by the corpus sinks). Each side is
@@ -66,6 +66,7 @@ def score_predictions(df: DataFrame, raw_col: str = "raw_output", target_col: st
          & (F.col("_pi") == F.col("_ti"))).alias("exact_match"),
         S.f1_from_counts(F.col("_tp"), F.col("_np"), F.col("_nt"), F.col("_pred").isNull()).alias("field_f1"),
         S.refusal_correct(F.col("_pred"), F.col("_target")).alias("refusal_correct"),
+        *([S.schema_conformance(F.col("_pred"), record_fields).alias("schema_ok")] if record_fields else []),
     )
 
 

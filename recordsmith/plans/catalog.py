@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from recordsmith.functions import jsonparse as J
 from recordsmith.functions import scoring as S
 from recordsmith.operators import chat as CH
+from recordsmith.operators import pairs as PR
 from recordsmith.operators import split as SP
 from recordsmith.operators import synth as SY
 from recordsmith.operators.evaluate import eval_report as _eval_report
@@ -20,7 +21,7 @@ from recordsmith.operators.evaluate import score_predictions
 from recordsmith.operators.flatten import flatten_json as _flatten_json
 from recordsmith.operators.parallel import ensure_parallelism
 from recordsmith.session import configure
-from recordsmith.sources.corpus import order_corpus
+from recordsmith.sources.corpus import order_candidates, order_corpus, order_source
 from recordsmith.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,5 +235,74 @@ def user_prompt(spark, sf_dir):
     return corpus.select("id", _up(F.col("input_text"), F.col("schema_hint")).alias("prompt"))
 
 
+# ------------------------------------------------------------------ 6. pairs
+
+
+def _pair_inputs(spark, sf_dir):
+    src = order_source(spark, sf_dir)
+    rows = src.select("id", "key", "input_text", "schema_hint", "target_text")
+    cands = order_candidates(src)
+    return rows, cands
+
+
+def _verdicts(spark, sf_dir):
+    rows, cands = _pair_inputs(spark, sf_dir)
+    with_target = cands.join(rows.select("id", "target_text"), "id")
+    return PR.rule_judge(PR.score_candidates(with_target, ORDER_RECORD_FIELDS))
+
+
+def _pairs(spark, sf_dir):
+    rows, cands = _pair_inputs(spark, sf_dir)
+    attached = PR.attach_candidates(rows, PR.candidate_lists(cands))
+    parsed, _bad = PR.parse_verdicts(PR.verdict_text(_verdicts(spark, sf_dir)))
+    return PR.preference_pairs(attached, parsed).join(rows.select("id", "key"), "id")
+
+
+@register
+def candidates_long(spark, sf_dir):
+    """C19/S3 long form: k candidates per example."""
+    return _pair_inputs(spark, sf_dir)[1]
+
+
+@register
+def candidate_lists(spark, sf_dir):
+    """Candidates collected per id, in index order."""
+    lists = PR.candidate_lists(_pair_inputs(spark, sf_dir)[1])
+    return lists.select("id", F.size("candidates").cast("bigint").alias("n_candidates"),
+                        F.to_json("candidates").alias("candidates_json"))
+
+
+@register
+def judge_payload(spark, sf_dir):
+    """The judge request body per example."""
+    rows, cands = _pair_inputs(spark, sf_dir)
+    return PR.judge_payload(PR.attach_candidates(rows, PR.candidate_lists(cands)))
+
+
+@register
+def rank_candidates(spark, sf_dir):
+    """Best and worst candidate by the judge criteria."""
+    return _verdicts(spark, sf_dir)
+
+
+@register
+def judge_parse(spark, sf_dir):
+    """Verdict texts parsed back to indexes and reason."""
+    good, _bad = PR.parse_verdicts(PR.verdict_text(_verdicts(spark, sf_dir)), on_error="quarantine")
+    return good
+
+
+@register
+def preference_pairs(spark, sf_dir):
+    """Prompt, chosen and rejected text per example."""
+    return _pairs(spark, sf_dir).drop("key")
+
+
+@register
+def pair_split(spark, sf_dir):
+    """First int(n*0.8) pairs in input order are train, the rest val."""
+    return SP.pair_split(_pairs(spark, sf_dir), ordinal_col="key").select("id", "split")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

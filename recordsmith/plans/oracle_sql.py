@@ -58,7 +58,29 @@ def _sql_str(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-ORDER_CORPUS = f"""
+def damaged(d: str) -> str:
+    return f"""(CASE {d}
+      WHEN 0 THEN base
+      WHEN 1 THEN {_sql_str(C.PROSE_HEAD)} || base || {_sql_str(C.PROSE_TAIL)}
+      WHEN 2 THEN base || {_sql_str(C.TRAILER)}
+      WHEN 3 THEN substr(base, 1, length(base) - {C.CUT_CHARS})
+      WHEN 4 THEN CASE WHEN refusal THEN {_refusal(C.WRONG_REASON)}
+                       ELSE {_pred_record(_members(cents_delta=1, float_amount=True))} END
+      WHEN 5 THEN CASE WHEN refusal THEN {_refusal(None)}
+                       ELSE {_pred_record(_members(drop_priority=True))} END
+      WHEN 6 THEN CASE WHEN refusal THEN {_refusal(extra=True)}
+                       ELSE {_pred_record(_members(extra=True))} END
+      WHEN 7 THEN CASE WHEN refusal THEN {_pred_record(_members())} ELSE {_refusal()} END
+      WHEN 8 THEN {_sql_str(C.NON_OBJECT)}
+      ELSE {_sql_str(C.BLANK)}
+    END)"""
+
+
+def _f(expr: str) -> str:
+    return f"coalesce(CAST({expr} AS VARCHAR), 'None')"
+
+
+ORDER_SOURCE = f"""
 corpus_src AS (
   SELECT o.o_orderkey AS k, o.o_orderstatus AS status, c.c_name AS name,
          strftime(o.o_orderdate, '%Y-%m-%d') AS dt, o.o_orderpriority AS pri,
@@ -71,30 +93,21 @@ corpus_src AS (
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 ),
 corpus_base AS (
-  SELECT *,
+  SELECT *, 'order-' || CAST(k AS VARCHAR) AS id,
+    'Order ' || {_f('k')} || ' for ' || {_f('name')} || ' (' || {_f('nat')} || ') placed ' || {_f('dt')}
+      || ', priority ' || {_f('pri')} || ', status ' || {_f('status')} || ', segment ' || {_f('seg')}
+      || '. Total ' || {_f('cents')} || ' cents; customer balance ' || {_f('bal')} || ' cents.' AS input_text,
+    '{C.ORDER_SCHEMA_HINT}' AS schema_hint,
     CASE WHEN refusal THEN '{{"can_extract": false, "refusal_reason": "{C.REFUSAL_REASON}", "record": null}}'
          ELSE '{{"can_extract": true, "refusal_reason": null, "record": {{' || {_members()} || '}}}}' END AS target_text,
     CASE WHEN refusal THEN {_refusal()} ELSE {_pred_record(_members())} END AS base
   FROM corpus_src
-),
+)"""
+
+ORDER_CORPUS = ORDER_SOURCE + f""",
 corpus AS (
-  SELECT 'order-' || CAST(k AS VARCHAR) AS id, k AS o_orderkey, CAST(d AS INTEGER) AS damage,
-         NOT refusal AS can_extract, target_text,
-    CASE d
-      WHEN 0 THEN base
-      WHEN 1 THEN {_sql_str(C.PROSE_HEAD)} || base || {_sql_str(C.PROSE_TAIL)}
-      WHEN 2 THEN base || {_sql_str(C.TRAILER)}
-      WHEN 3 THEN substr(base, 1, length(base) - {C.CUT_CHARS})
-      WHEN 4 THEN CASE WHEN refusal THEN {_refusal(C.WRONG_REASON)}
-                       ELSE {_pred_record(_members(cents_delta=1, float_amount=True))} END
-      WHEN 5 THEN CASE WHEN refusal THEN {_refusal(None)}
-                       ELSE {_pred_record(_members(drop_priority=True))} END
-      WHEN 6 THEN CASE WHEN refusal THEN {_refusal(extra=True)}
-                       ELSE {_pred_record(_members(extra=True))} END
-      WHEN 7 THEN CASE WHEN refusal THEN {_pred_record(_members())} ELSE {_refusal()} END
-      WHEN 8 THEN {_sql_str(C.NON_OBJECT)}
-      ELSE {_sql_str(C.BLANK)}
-    END AS raw_output
+  SELECT id, k AS o_orderkey, CAST(d AS INTEGER) AS damage, NOT refusal AS can_extract, target_text,
+         {damaged('d')} AS raw_output
   FROM corpus_base
 )"""
 
@@ -172,11 +185,13 @@ def f1_expr(tp: str, np_: str, nt: str, pred_null: str) -> str:
             f"ELSE 2.0::DOUBLE * {p} * {r} / ({p} + {r}) END)")
 
 
-SCORED = f"""
+def scored_ctes(source: str = "corpus", extra: str = "damage, can_extract, ") -> str:
+    """Per-row scores of ``source(id, raw_output, target_text, ...)`` as CTE ``scored``."""
+    return f"""
 parsed AS (
-  SELECT id, damage, can_extract, raw_output, {strict_block('raw_output')} AS pred,
+  SELECT id, {extra}raw_output, {strict_block('raw_output')} AS pred,
          CAST(target_text AS JSON) AS target
-  FROM corpus
+  FROM {source}
 ),
 {leaves_cte('pl', 'parsed', 'id', 'pred', 'p')},
 {leaves_cte('tl', 'parsed', 'id', 'target', 't')},
@@ -184,14 +199,13 @@ pcount AS (SELECT id, count(*) AS np FROM pl GROUP BY id),
 tcount AS (SELECT id, count(*) AS nt FROM tl GROUP BY id),
 tpcount AS (SELECT pl.id, count(*) AS tp FROM pl JOIN tl ON pl.id = tl.id AND pl.path = tl.path AND pl.lit = tl.lit GROUP BY pl.id),
 scored AS (
-  SELECT p.id, p.damage, p.can_extract, p.raw_output,
+  SELECT p.*,
          {canonical('p.pred')} AS parsed_output,
          {canonical('p.target')} AS target_json,
          p.pred IS NOT NULL AS json_valid,
          coalesce({canonical('p.pred')} = {canonical('p.target')}, false) AS exact_match,
          {f1_expr('coalesce(tp.tp, 0)', 'coalesce(pc.np, 0)', 'coalesce(tc.nt, 0)', 'p.pred IS NULL')} AS field_f1,
-         {refusal_ok('p.pred', 'p.target')} AS refusal_correct,
-         p.pred AS pred, p.target AS target
+         {refusal_ok('p.pred', 'p.target')} AS refusal_correct
   FROM parsed p
   LEFT JOIN pcount pc ON p.id = pc.id
   LEFT JOIN tcount tc ON p.id = tc.id
@@ -199,6 +213,9 @@ scored AS (
 )"""
 
 
+SCORED = scored_ctes()
+
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 

@@ -66,6 +66,7 @@ def oracle_sql() -> dict[str, str]:
         "schema_check": parsed + f"SELECT id, {_schema_ok('pred', ORDER_RECORD_FIELDS)} AS schema_ok FROM cparsed",
     }
     out.update(corpus_oracles())
+    out.update(pair_oracles())
     return out
 
 
@@ -204,3 +205,52 @@ def corpus_oracles() -> dict[str, str]:
         "sft_text": synth + f"SELECT {sft} AS text FROM split WHERE split = 'train'",
         "user_prompt": synth + f"SELECT id, {_user_prompt_sql('input_text', 'schema_hint')} AS prompt FROM corpus_all",
     }
+
+
+def pair_oracles() -> dict[str, str]:
+    from recordsmith.functions import prompts as P
+    from recordsmith.plans.catalog import ORDER_RECORD_FIELDS
+
+    cands = (f"cands AS (SELECT id, CAST(j AS INTEGER) AS candidate_index, "
+             f"{Q.damaged('((k + 3 * j) % 10)')} AS text FROM (SELECT *, unnest(range(4)) AS j FROM corpus_base))")
+    lists = ("lists AS (SELECT id, count(*) AS n_candidates, "
+             "CAST(to_json(list(text ORDER BY candidate_index)) AS VARCHAR) AS candidates_json FROM cands GROUP BY id)")
+    cand_src = ("cand_src AS (SELECT c.id || '#' || c.candidate_index AS id, c.id AS orig_id, c.candidate_index, "
+                "c.text AS raw_output, b.target_text FROM cands c JOIN corpus_base b ON c.id = b.id)")
+    ranked = (f"ranked AS (SELECT orig_id AS id, candidate_index, json_valid, "
+              f"{_schema_ok('pred', ORDER_RECORD_FIELDS)} AS schema_ok, field_f1, refusal_correct, "
+              f"row_number() OVER (PARTITION BY orig_id ORDER BY json_valid DESC, schema_ok DESC, field_f1 DESC, "
+              f"refusal_correct DESC, candidate_index ASC) AS rb, "
+              f"row_number() OVER (PARTITION BY orig_id ORDER BY json_valid ASC, schema_ok ASC, field_f1 ASC, "
+              f"refusal_correct ASC, candidate_index DESC) AS rw FROM scored)")
+
+    def describe(a):
+        return (f"'valid=' || CAST({a}.json_valid AS VARCHAR) || ' schema=' || CAST({a}.schema_ok AS VARCHAR) "
+                f"|| ' refusal=' || CAST({a}.refusal_correct AS VARCHAR)")
+    verdicts = (f"verdicts AS (SELECT b.id, b.candidate_index AS chosen_index, w.candidate_index AS rejected_index, "
+                f"'best [' || {describe('b')} || '] worst [' || {describe('w')} || ']' AS reason "
+                f"FROM ranked b JOIN ranked w ON b.id = w.id AND b.rb = 1 AND w.rw = 1)")
+    pairs = (f"pairs AS (SELECT v.id, {_user_prompt_sql('b.input_text', 'b.schema_hint')} AS prompt, "
+             f"cc.text AS chosen, cr.text AS rejected, v.reason AS label_reason, "
+             f"v.chosen_index = v.rejected_index AS same_choice, b.k "
+             f"FROM verdicts v JOIN corpus_base b ON v.id = b.id "
+             f"JOIN cands cc ON cc.id = v.id AND cc.candidate_index = v.chosen_index "
+             f"JOIN cands cr ON cr.id = v.id AND cr.candidate_index = v.rejected_index)")
+    rank_ctes = Q.with_ctes(Q.ORDER_SOURCE, cands, cand_src,
+                            Q.scored_ctes("cand_src", "orig_id, candidate_index, "), ranked, verdicts)
+    payload = (f"'{{\"instruction\":' || CAST(to_json({Q._sql_str(P.SYSTEM_PROMPT)}) AS VARCHAR) "
+               f"|| ',\"user_prompt\":' || CAST(to_json({_user_prompt_sql('b.input_text', 'b.schema_hint')}) AS VARCHAR) "
+               f"|| ',\"target_json\":' || b.target_text || ',\"candidates\":' || l.candidates_json || '}}'")
+    return {
+        "candidates_long": Q.with_ctes(Q.ORDER_SOURCE, cands) + "SELECT id, candidate_index, text FROM cands",
+        "candidate_lists": Q.with_ctes(Q.ORDER_SOURCE, cands, lists) + "SELECT * FROM lists",
+        "judge_payload": Q.with_ctes(Q.ORDER_SOURCE, cands, lists)
+        + f"SELECT b.id, {payload} AS payload FROM corpus_base b JOIN lists l ON b.id = l.id",
+        "rank_candidates": rank_ctes + "SELECT id, chosen_index, rejected_index, reason FROM verdicts",
+        "judge_parse": rank_ctes + "SELECT id, chosen_index, rejected_index, reason FROM verdicts",
+        "preference_pairs": rank_ctes.rstrip() + ",\n" + pairs
+        + "\nSELECT id, prompt, chosen, rejected, label_reason, same_choice FROM pairs",
+        "pair_split": rank_ctes.rstrip() + ",\n" + pairs
+        + ("\nSELECT id, CASE WHEN row_number() OVER (ORDER BY k) - 1 < floor(count(*) OVER () * 0.8::DOUBLE) "
+           "THEN 'train' ELSE 'val' END AS split FROM pairs"),
+    }

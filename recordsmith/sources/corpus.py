@@ -89,8 +89,16 @@ def _pred_record(members: Column) -> Column:
     return F.concat(F.lit('{"record": {'), members, F.lit('}, "can_extract": true, "refusal_reason": null}'))
 
 
-def order_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id, o_orderkey, damage, can_extract, target_text, raw_output`` -- one row per order."""
+ORDER_SCHEMA_HINT = "order_record_v1"
+
+
+def _fstr(col: Column) -> Column:
+    """f-string rendering of a value (None -> 'None')."""
+    return F.coalesce(col.cast("string"), F.lit("None"))
+
+
+def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined order facts every corpus text is built from (one row per order)."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select(
@@ -98,22 +106,32 @@ def order_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
          .join(nation, F.col("c_nationkey") == nation.n_nationkey, "left"))
-    c = {
-        "key": F.col("o_orderkey"),
-        "name": F.col("c_name"),
-        "date": F.date_format("o_orderdate", "yyyy-MM-dd"),
-        "priority": F.col("o_orderpriority"),
-        "cents": F.round(F.col("o_totalprice") * 100).cast("bigint"),
-        "status": F.col("o_orderstatus"),
-        "segment": F.col("c_mktsegment"),
-        "nation": F.col("n_name"),
-        "balance": F.round(F.col("c_acctbal") * 100).cast("bigint"),
-    }
-    refusal = F.coalesce(F.col("o_orderstatus") == "P", F.lit(False))
-    d = F.pmod(F.col("o_orderkey"), F.lit(10))
-    target = F.when(refusal, _target_refusal()).otherwise(_target_record(c))
+    base = j.select(
+        F.col("o_orderkey").alias("key"), F.col("c_name").alias("name"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_orderpriority").alias("priority"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+        F.col("o_orderstatus").alias("status"), F.col("c_mktsegment").alias("segment"),
+        F.col("n_name").alias("nation"), F.round(F.col("c_acctbal") * 100).cast("bigint").alias("balance"),
+        F.coalesce(F.col("o_orderstatus") == "P", F.lit(False)).alias("refusal"))
+    c = {k: F.col(k) for k in ("key", "name", "date", "priority", "cents", "status", "segment", "nation", "balance")}
+    input_text = F.concat(
+        F.lit("Order "), _fstr(c["key"]), F.lit(" for "), _fstr(c["name"]), F.lit(" ("), _fstr(c["nation"]),
+        F.lit(") placed "), _fstr(c["date"]), F.lit(", priority "), _fstr(c["priority"]),
+        F.lit(", status "), _fstr(c["status"]), F.lit(", segment "), _fstr(c["segment"]),
+        F.lit(". Total "), _fstr(c["cents"]), F.lit(" cents; customer balance "), _fstr(c["balance"]),
+        F.lit(" cents."))
+    target = F.when(F.col("refusal"), _target_refusal()).otherwise(_target_record(c))
+    return base.select("*", F.format_string("order-%d", F.col("key")).alias("id"),
+                       input_text.alias("input_text"), F.lit(ORDER_SCHEMA_HINT).alias("schema_hint"),
+                       target.alias("target_text"))
+
+
+def damaged_text(d: Column) -> Column:
+    """The prediction text of damage class ``d`` (0-9) for an ``order_source`` row."""
+    c = {k: F.col(k) for k in ("key", "name", "date", "priority", "cents", "status", "segment", "nation", "balance")}
+    refusal = F.col("refusal")
     base = F.when(refusal, _refusal()).otherwise(_pred_record(_members(c)))
-    damaged = (
+    return (
         F.when(d == 0, base)
         .when(d == 1, F.concat(F.lit(PROSE_HEAD), base, F.lit(PROSE_TAIL)))
         .when(d == 2, F.concat(base, F.lit(TRAILER)))
@@ -127,11 +145,22 @@ def order_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(d == 7, F.when(refusal, _pred_record(_members(c))).otherwise(_refusal()))
         .when(d == 8, F.lit(NON_OBJECT))
         .otherwise(F.lit(BLANK)))
-    return j.select(
-        F.format_string("order-%d", F.col("o_orderkey")).alias("id"),
-        F.col("o_orderkey"),
-        d.cast("int").alias("damage"),
-        (~refusal).alias("can_extract"),
-        target.alias("target_text"),
-        damaged.alias("raw_output"),
-    )
+
+
+def order_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id, o_orderkey, damage, can_extract, target_text, raw_output`` -- one row per order."""
+    src = order_source(spark, sf_dir)
+    d = F.pmod(F.col("key"), F.lit(10))
+    return src.select("id", F.col("key").alias("o_orderkey"), d.cast("int").alias("damage"),
+                      (~F.col("refusal")).alias("can_extract"), "target_text",
+                      damaged_text(d).alias("raw_output"))
+
+
+def order_candidates(src: DataFrame, k: int = 4, stride: int = 3) -> DataFrame:
+    """C19 with the damage classes as the generator: ``k`` candidates per row,
+    candidate ``j`` being damage class ``(key + stride*j) % 10``."""
+    j = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("candidate_index")
+    exploded = src.select("*", j)
+    d = F.pmod(F.col("key") + F.lit(stride) * F.col("candidate_index"), F.lit(10))
+    return exploded.select("id", F.col("candidate_index").cast("int").alias("candidate_index"),
+                           damaged_text(d).alias("text"))
