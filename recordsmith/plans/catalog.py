@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from recordsmith.functions import jsonparse as J
 from recordsmith.functions import scoring as S
 from recordsmith.operators import chat as CH
+from recordsmith.operators import extract as EX
 from recordsmith.operators import pairs as PR
+from recordsmith.operators import report as RP
+from recordsmith import schemas as SCH
 from recordsmith.operators import split as SP
 from recordsmith.operators import synth as SY
 from recordsmith.operators.evaluate import eval_report as _eval_report
@@ -304,5 +307,85 @@ def pair_split(spark, sf_dir):
     return SP.pair_split(_pairs(spark, sf_dir), ordinal_col="key").select("id", "split")
 
 
+# ----------------------------------------------------------------- 7. reports
+
+
+def _stage_reports(spark, sf_dir):
+    """One evaluation report per candidate position, read as a model stage."""
+    rows, cands = _pair_inputs(spark, sf_dir)
+    scored = score_predictions(cands.join(rows.select("id", "target_text"), "id").withColumnRenamed("text", "raw_output"),
+                               keep=("id", "candidate_index"))
+    rep = _eval_report(scored, group_cols=("candidate_index",))
+    return rep.select(F.concat(F.lit("stage_"), F.col("candidate_index").cast("string")).alias("stage"),
+                      F.col("candidate_index").alias("stage_no"), *rep.columns[1:])
+
+
+@register
+def stage_report(spark, sf_dir):
+    """The four metrics (and samples) per stage."""
+    return _stage_reports(spark, sf_dir)
+
+
+@register
+def stage_compare(spark, sf_dir):
+    """Stage reports as a long (stage, metric, value) table."""
+    rep = _stage_reports(spark, sf_dir)
+    return RP.unpivot_metrics(rep.select("stage", "stage_no", *SCH.METRIC_NAMES))
+
+
+@register
+def stage_delta(spark, sf_dir):
+    """Change of each metric from the previous stage."""
+    rep = _stage_reports(spark, sf_dir)
+    return RP.stage_delta(RP.unpivot_metrics(rep.select("stage", "stage_no", *SCH.METRIC_NAMES)))
+
+
+def _metric_log(spark, sf_dir):
+    """The event log read as a metric log: run = user, step = event, metric = value."""
+    return table(spark, sf_dir, "events").select("user_id", "event_id", "value")
+
+
+@register
+def best_checkpoint(spark, sf_dir):
+    """A10: per run, the step with the lowest metric (ties: lowest step)."""
+    return RP.best_checkpoint(_metric_log(spark, sf_dir), "user_id", "event_id", "value")
+
+
+@register
+def running_best(spark, sf_dir):
+    """Lowest metric so far at every step of every run."""
+    return RP.running_best(_metric_log(spark, sf_dir), "user_id", "event_id", "value")
+
+
+# -------------------------------------------------------------- 8. extraction
+
+
+@register
+def template_extract(spark, sf_dir):
+    """Records read back out of every synthetic note (round trip to the target)."""
+    corpus = SY.build_corpus(spark, _corpus_size(spark, sf_dir))
+    return EX.template_extract(corpus)
+
+
+@register
+def batch_extract(spark, sf_dir):
+    """Plug-in generator over every example, then parse and confidence."""
+    corpus = SY.build_corpus(spark, _corpus_size(spark, sf_dir))
+    return EX.batch_extract(corpus).select("id", "structured_json", "confidence")
+
+
+# -------------------------------------------------------------- 10. streaming
+
+
+@register
+def stream_extract(spark, sf_dir):
+    """Events.props arriving as files, parsed and scored by a stream."""
+    from recordsmith.streaming.extract_stream import run_extract_stream
+    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    out = run_extract_stream(spark, sf_dir.rstrip("/"), schema, "event_id", "props",
+                             glob_filter="events.parquet")
+    return out.select("event_id", "structured_json", "confidence")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -67,6 +67,7 @@ def oracle_sql() -> dict[str, str]:
     }
     out.update(corpus_oracles())
     out.update(pair_oracles())
+    out.update(report_oracles())
     return out
 
 
@@ -254,3 +255,40 @@ def pair_oracles() -> dict[str, str]:
         + ("\nSELECT id, CASE WHEN row_number() OVER (ORDER BY k) - 1 < floor(count(*) OVER () * 0.8::DOUBLE) "
            "THEN 'train' ELSE 'val' END AS split FROM pairs"),
     }
+
+
+def report_oracles() -> dict[str, str]:
+    from recordsmith.schemas import METRIC_NAMES
+
+    cands = (f"cands AS (SELECT id, CAST(j AS INTEGER) AS candidate_index, "
+             f"{Q.damaged('((k + 3 * j) % 10)')} AS text FROM (SELECT *, unnest(range(4)) AS j FROM corpus_base))")
+    cand_src = ("cand_src AS (SELECT c.id || '#' || c.candidate_index AS id, c.id AS orig_id, c.candidate_index, "
+                "c.text AS raw_output, b.target_text FROM cands c JOIN corpus_base b ON c.id = b.id)")
+    stages = Q.with_ctes(Q.ORDER_SOURCE, cands, cand_src, Q.scored_ctes("cand_src", "orig_id, candidate_index, "))
+    rep = ("reports AS (" + Q.report_select("scored", "candidate_index")
+           .replace("SELECT candidate_index, ", "SELECT 'stage_' || candidate_index AS stage, "
+                    "candidate_index AS stage_no, ") + ")")
+    long = ("long AS (" + " UNION ALL ".join(
+        f"SELECT stage, stage_no, '{m}' AS metric, {m} AS value FROM reports" for m in METRIC_NAMES) + ")")
+    delta = ("SELECT stage, stage_no, metric, value, delta FROM (SELECT *, "
+             "round(value - lag(value) OVER (PARTITION BY metric ORDER BY stage_no), 2) AS delta FROM long) "
+             "WHERE delta IS NOT NULL")
+    synth = Q.with_ctes(_synth_ctes())
+    conf_target = ("CASE WHEN can_extract THEN 0.99::DOUBLE ELSE 0.92::DOUBLE END")
+    ev_conf = _confidence("v")
+    return {
+        "stage_report": stages.rstrip() + ",\n" + rep + "\nSELECT * FROM reports",
+        "stage_compare": stages.rstrip() + ",\n" + rep + ",\n" + long + "\nSELECT * FROM long",
+        "stage_delta": stages.rstrip() + ",\n" + rep + ",\n" + long + "\n" + delta,
+        "best_checkpoint": ("SELECT user_id, first(event_id ORDER BY value, event_id) AS best_step, "
+                            "min(value) AS best_metric FROM events WHERE value IS NOT NULL GROUP BY user_id"),
+        "running_best": ("SELECT user_id, event_id, value, min(value) OVER (PARTITION BY user_id ORDER BY event_id "
+                         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_best "
+                         "FROM events WHERE value IS NOT NULL"),
+        "template_extract": synth + "SELECT id, target_json AS extracted_json FROM corpus_all",
+        "batch_extract": synth + (f"SELECT id, {Q.canonical('CAST(target_json AS JSON)')} AS structured_json, "
+                                  f"{conf_target} AS confidence FROM corpus_all"),
+        "stream_extract": Q.with_ctes(
+            "evs AS (SELECT event_id, " + Q.strict_block("props") + " AS v FROM events)")
+        + f"SELECT event_id, {Q.canonical('v')} AS structured_json, {ev_conf} AS confidence FROM evs",
+    }
