@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from recordsmith.functions import sqltext as Q
 from recordsmith.functions.text import brace_span, json_string, py_strip
 
 # Fixed value: marker appended after the text so a parse that stops early
@@ -28,12 +29,15 @@ _MAP_T = "map<string,variant>"
 _ARR_T = "array<variant>"
 
 
-def strict_parse(text: Column) -> Column:
+def strict_parse(text: Column | str) -> Column:
     """``json.loads`` semantics: the whole text must be exactly one JSON value.
 
     Returns VARIANT, or NULL when the text is invalid or is the JSON ``null``
-    (Python turns that into ``None``).
+    (Python turns that into ``None``). A column name builds the expression
+    from SQL text in one call (see ``sqltext``).
     """
+    if isinstance(text, str):
+        return F.expr(Q.strict_parse(Q.quote(text)))
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{SENTINEL}"]')))
     arr = wrapped.try_cast(_ARR_T)
     ok = ((F.size(arr) == 2)
@@ -43,8 +47,10 @@ def strict_parse(text: Column) -> Column:
     return F.when(ok & ~F.is_variant_null(value), value)
 
 
-def extract_json_block(raw: Column) -> Column:
+def extract_json_block(raw: Column | str) -> Column:
     """Strip; parse the whole text; else parse first-``{``-to-last-``}``."""
+    if isinstance(raw, str):
+        return F.expr(Q.extract_json_block(Q.quote(raw)))
     text = py_strip(raw)
     whole = F.when(F.length(text) > 0, strict_parse(text))
     return F.coalesce(whole, strict_parse(brace_span(text)))
@@ -105,7 +111,7 @@ def _expand(e: Column) -> Column:
     return F.when(e["m"].isNotNull(), from_obj).when(e["a"].isNotNull(), from_arr).otherwise(leaf)
 
 
-def flatten_leaves(v: Column, max_depth: int = MAX_DEPTH) -> Column:
+def flatten_leaves(v: Column | str, max_depth: int = MAX_DEPTH) -> Column:
     """C3 as a column: ``array<struct<path, literal>>`` of the leaves of ``v``.
 
     Paths are ``a.b[0].c`` and literals are ``json.dumps`` text, as the
@@ -116,6 +122,8 @@ def flatten_leaves(v: Column, max_depth: int = MAX_DEPTH) -> Column:
     A container still present after ``max_depth`` levels is one item whose
     literal is its JSON text.
     """
+    if isinstance(v, str):
+        return F.expr(Q.flatten_leaves(Q.quote(v), max_depth))
     nodes = F.array(_node(F.lit(""), v))
     for _ in range(max_depth):
         nodes = F.flatten(F.transform(F.transform(nodes, _typed), _expand))
@@ -123,13 +131,15 @@ def flatten_leaves(v: Column, max_depth: int = MAX_DEPTH) -> Column:
         nodes, lambda e: F.struct(e["path"].alias("path"), leaf_literal(e["v"]).alias("literal"))))
 
 
-def canonical_json(v: Column, max_depth: int = MAX_DEPTH) -> Column:
+def canonical_json(v: Column | str, max_depth: int = MAX_DEPTH) -> Column:
     """``json.dumps(v, sort_keys=True, separators=(',', ':'))``.
 
     VARIANT objects already keep keys sorted; the tree is re-printed bottom-up
     so integral decimals keep Python's ``.0``. Non-ASCII text stays UTF-8
     (Python would escape it; equality between canonical forms is unaffected).
     """
+    if isinstance(v, str):
+        return F.expr(Q.canonical_json(Q.quote(v), max_depth))
     def render(node: Column, depth: int) -> Column:
         m = as_object(node)
         a = as_array(node)

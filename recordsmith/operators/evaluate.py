@@ -39,13 +39,13 @@ def score_predictions(df: DataFrame, raw_col: str = "raw_output", target_col: st
     # Targets are JSON written by a JSON writer: a plain parse, failing loudly
     # on corrupt input. Predictions go through the two-attempt strict parse.
     parsed = df.select(*k, F.col(raw_col).alias("raw_output"),
-                       J.extract_json_block(F.col(raw_col)).alias("_pred"),
+                       J.extract_json_block(raw_col).alias("_pred"),
                        F.parse_json(F.col(target_col)).alias("_target"))
     flat = parsed.select(*k, "raw_output", "_pred", "_target",
-                         J.flatten_leaves(F.col("_pred")).alias("_pl"),
-                         J.flatten_leaves(F.col("_target")).alias("_tl"),
-                         J.canonical_json(F.col("_pred")).alias("parsed_output"),
-                         J.canonical_json(F.col("_target")).alias("target_json"))
+                         J.flatten_leaves("_pred").alias("_pl"),
+                         J.flatten_leaves("_target").alias("_tl"),
+                         J.canonical_json("_pred").alias("parsed_output"),
+                         J.canonical_json("_target").alias("target_json"))
     items = flat.select(*k, "raw_output", "_pred", "_target", "parsed_output", "target_json",
                         S.item_set(F.coalesce(F.col("_pl"), F.array())).alias("_pi"),
                         S.item_set(F.coalesce(F.col("_tl"), F.array())).alias("_ti"))

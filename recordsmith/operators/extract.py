@@ -97,6 +97,6 @@ def batch_extract(df: DataFrame, text_col: str = "input_text", hint_col: str = "
             yield out
 
     raw = df.select(id_col, text_col, hint_col).mapInPandas(run, f"{id_col} string, raw_output string")
-    parsed = raw.select(id_col, "raw_output", J.extract_json_block(F.col("raw_output")).alias("_p"))
-    return parsed.select(id_col, J.canonical_json(F.col("_p")).alias("structured_json"),
+    parsed = raw.select(id_col, "raw_output", J.extract_json_block("raw_output").alias("_p"))
+    return parsed.select(id_col, J.canonical_json("_p").alias("structured_json"),
                          S.confidence(F.col("_p")).alias("confidence"), "raw_output")

@@ -53,7 +53,7 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _parsed_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = ensure_parallelism(order_corpus(spark, sf_dir), "id")
-    return c.select("id", "raw_output", J.extract_json_block(F.col("raw_output")).alias("pred"))
+    return c.select("id", "raw_output", J.extract_json_block("raw_output").alias("pred"))
 
 
 # ------------------------------------------------------------ 1. evaluation
@@ -81,14 +81,15 @@ def parse_json_block(spark, sf_dir):
     p = _parsed_corpus(spark, sf_dir)
     return p.select("id", F.col("pred").isNotNull().alias("json_valid"),
                     J.kind(F.col("pred")).alias("parsed_kind"),
-                    J.canonical_json(F.col("pred")).alias("parsed_output"))
+                    J.canonical_json("pred").alias("parsed_output"))
 
 
 @register
 def canonical_json(spark, sf_dir):
     """Canonical text of every ``events.props`` document."""
     ev = ensure_parallelism(table(spark, sf_dir, "events").select("event_id", "props"), "event_id")
-    return ev.select("event_id", J.canonical_json(J.strict_parse(F.col("props"))).alias("canonical"))
+    parsed = ev.select("event_id", J.strict_parse("props").alias("v"))
+    return parsed.select("event_id", J.canonical_json("v").alias("canonical"))
 
 
 @register
@@ -101,7 +102,7 @@ def flatten_json(spark, sf_dir):
 def flatten_event_props(spark, sf_dir):
     """C3 over ``events.props``."""
     ev = ensure_parallelism(table(spark, sf_dir, "events").select("event_id", "props"), "event_id")
-    parsed = ev.select("event_id", J.strict_parse(F.col("props")).alias("v"))
+    parsed = ev.select("event_id", J.strict_parse("props").alias("v"))
     return _flatten_json(parsed, "event_id", "v")
 
 
@@ -124,7 +125,7 @@ def refusal_correct(spark, sf_dir):
 def extract_response(spark, sf_dir):
     """structured_json, confidence, raw_output per raw output."""
     p = _parsed_corpus(spark, sf_dir)
-    return p.select("id", J.canonical_json(F.col("pred")).alias("structured_json"),
+    return p.select("id", J.canonical_json("pred").alias("structured_json"),
                     S.confidence(F.col("pred")).alias("confidence"), "raw_output")
 
 

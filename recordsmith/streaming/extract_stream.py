@@ -22,8 +22,8 @@ from recordsmith.session import checkpoint_root
 
 def extraction_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     parsed = df.select(F.col(id_col), F.col(text_col).alias("raw_output"),
-                       J.extract_json_block(F.col(text_col)).alias("_p"))
-    return parsed.select(id_col, J.canonical_json(F.col("_p")).alias("structured_json"),
+                       J.extract_json_block(text_col).alias("_p"))
+    return parsed.select(id_col, J.canonical_json("_p").alias("structured_json"),
                          S.confidence(F.col("_p")).alias("confidence"), "raw_output")
 
 
