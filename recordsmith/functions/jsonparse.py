@@ -169,7 +169,7 @@ def get_field(v: Column, key: str) -> Column:
     A present JSON ``null`` comes back as a variant null (not SQL NULL), so
     missing and null stay distinguishable.
     """
-    return F.element_at(as_object(v), F.lit(key))
+    return F.try_variant_get(v, f"$['{key}']", "variant")
 
 
 def is_false(v: Column) -> Column:

@@ -22,9 +22,15 @@ CONF_EXPECTED_FIELDS = 9
 
 
 def item_set(leaves: Column) -> Column:
-    """Leaves as a path-keyed set: one literal per path (the smallest on a collision)."""
+    """Leaves as a path-keyed set: one literal per path (the smallest on a collision).
+
+    Paths are unique unless a key contains ``.`` or ``[``; the sort that
+    resolves a collision only runs on rows that have one.
+    """
     ordered = F.array_sort(leaves)
-    return F.filter(ordered, lambda x, i: (i == 0) | (F.get(ordered, i - 1)["path"] != x["path"]))
+    dedup = F.filter(ordered, lambda x, i: (i == 0) | (F.get(ordered, i - 1)["path"] != x["path"]))
+    unique = F.size(F.array_distinct(F.transform(leaves, lambda x: x["path"]))) == F.size(leaves)
+    return F.when(unique, leaves).otherwise(dedup)
 
 
 def f1_from_counts(tp: Column, n_pred: Column, n_target: Column, pred_missing: Column) -> Column:

@@ -8,6 +8,8 @@ Inputs are SQL expressions (usually a quoted column name).
 
 from __future__ import annotations
 
+import itertools
+
 SENTINEL = "#e7b1#"
 MAP_T = "map<string,variant>"
 ARR_T = "array<variant>"
@@ -26,15 +28,32 @@ def brace_span(x: str) -> str:
     return f"regexp_extract({x}, {lit(r'(?s)\{.*\}')}, 0)"
 
 
+_names = itertools.count()
+
+
+def let(expr: str, body) -> str:
+    """Evaluate ``expr`` once and use it several times in ``body``.
+
+    SQL text has no variables; binding through a one-element ``transform``
+    keeps an expensive value (a parse, a regex) from being recomputed at every
+    place it is referenced.
+    """
+    name = f"_v{next(_names)}"
+    return f"element_at(transform(array({expr}), {name} -> {body(name)}), 1)"
+
+
 def strict_parse(t: str) -> str:
-    arr = f"try_cast(try_parse_json(concat('[', {t}, {lit(',\"' + SENTINEL + '\"]')})) AS {ARR_T})"
-    return (f"(CASE WHEN size({arr}) = 2 AND to_json({arr}[1]) = {lit(chr(34) + SENTINEL + chr(34))} "
-            f"AND instr({t}, {lit(SENTINEL)}) = 0 AND NOT is_variant_null({arr}[0]) THEN {arr}[0] END)")
+    def check(tv: str) -> str:
+        arr = f"try_cast(try_parse_json(concat('[', {tv}, {lit(',\"' + SENTINEL + '\"]')})) AS {ARR_T})"
+        return let(arr, lambda a: (
+            f"CASE WHEN size({a}) = 2 AND try_variant_get({a}[1], '$', 'string') = {lit(SENTINEL)} "
+            f"AND instr({tv}, {lit(SENTINEL)}) = 0 AND NOT is_variant_null({a}[0]) THEN {a}[0] END"))
+    return let(t, check)
 
 
 def extract_json_block(raw: str) -> str:
-    t = py_strip(raw)
-    return f"coalesce(CASE WHEN length({t}) > 0 THEN {strict_parse(t)} END, {strict_parse(brace_span(t))})"
+    return let(py_strip(raw), lambda t: (
+        f"coalesce(CASE WHEN length({t}) > 0 THEN {strict_parse(t)} END, {strict_parse(brace_span(t))})"))
 
 
 def leaf_literal(x: str) -> str:
@@ -48,19 +67,32 @@ def json_string(x: str) -> str:
 
 
 def flatten_leaves(v: str, depth: int) -> str:
-    nodes = f"array(named_struct('path', '', 'v', {v}))"
+    """Leaves as ``array<struct<path, literal>>``; the state carries finished
+    leaves (``done``) apart from containers still to expand (``todo``), so a
+    level with nothing left to expand costs almost nothing."""
+    state = (f"named_struct('done', filter(array(named_struct('path', '', 'v', {v})), z -> false), "
+             f"'todo', array(named_struct('path', '', 'v', {v})))")
     for d in range(depth):
         e, en, x, i = f"e{d}", f"en{d}", f"x{d}", f"i{d}"
-        typed = (f"transform({nodes}, {e} -> named_struct('path', {e}.path, 'v', {e}.v, "
+        typed = (f"transform({{s}}.todo, {e} -> named_struct('path', {e}.path, 'v', {e}.v, "
                  f"'m', try_cast({e}.v AS {MAP_T}), 'a', try_cast({e}.v AS {ARR_T})))")
         expand = (f"{e} -> CASE WHEN {e}.m IS NOT NULL THEN transform(map_entries({e}.m), {en} -> named_struct("
                   f"'path', CASE WHEN {e}.path = '' THEN {en}.key ELSE concat({e}.path, '.', {en}.key) END, "
                   f"'v', {en}.value)) "
-                  f"WHEN {e}.a IS NOT NULL THEN transform({e}.a, ({x}, {i}) -> named_struct("
-                  f"'path', concat({e}.path, '[', cast({i} AS string), ']'), 'v', {x})) "
-                  f"ELSE array(named_struct('path', {e}.path, 'v', {e}.v)) END")
-        nodes = f"flatten(transform({typed}, {expand}))"
-    return (f"CASE WHEN {v} IS NOT NULL THEN transform({nodes}, lf -> named_struct('path', lf.path, "
+                  f"ELSE transform({e}.a, ({x}, {i}) -> named_struct("
+                  f"'path', concat({e}.path, '[', cast({i} AS string), ']'), 'v', {x})) END")
+
+        def step(sv: str, typed=typed, expand=expand, e=e) -> str:
+            def split(tv: str) -> str:
+                return (f"named_struct('done', concat({sv}.done, transform(filter({tv}, {e} -> {e}.m IS NULL AND "
+                        f"{e}.a IS NULL), {e} -> named_struct('path', {e}.path, 'v', {e}.v))), "
+                        f"'todo', flatten(transform(filter({tv}, {e} -> {e}.m IS NOT NULL OR {e}.a IS NOT NULL), "
+                        f"{expand})))")
+            return f"CASE WHEN size({sv}.todo) = 0 THEN {sv} ELSE {let(typed.replace('{s}', sv), split)} END"
+        state = let(state, step)
+    # Containers still unexpanded after ``depth`` levels are kept whole.
+    final = let(state, lambda sv: f"concat({sv}.done, {sv}.todo)")
+    return (f"CASE WHEN {v} IS NOT NULL THEN transform({final}, lf -> named_struct('path', lf.path, "
             f"'literal', {leaf_literal('lf.v')})) END")
 
 
@@ -68,15 +100,20 @@ def canonical_json(v: str, depth: int) -> str:
     def render(node: str, d: int) -> str:
         if d == 0:
             return leaf_literal(node)
-        m, a = f"try_cast({node} AS {MAP_T})", f"try_cast({node} AS {ARR_T})"
         en, x, e = f"cen{d}", f"cx{d}", f"ce{d}"
-        entries = (f"CASE WHEN {m} IS NOT NULL THEN transform(map_entries({m}), {en} -> named_struct("
-                   f"'pre', concat({json_string(en + '.key')}, ':'), 'v', {en}.value)) "
-                   f"WHEN {a} IS NOT NULL THEN transform({a}, {x} -> named_struct('pre', '', 'v', {x})) END")
-        body = f"array_join(transform({entries}, {e} -> concat({e}.pre, {render(e + '.v', d - 1)})), ',')"
-        wrapped = (f"concat(CASE WHEN {m} IS NOT NULL THEN '{{' ELSE '[' END, {body}, "
-                   f"CASE WHEN {m} IS NOT NULL THEN '}}' ELSE ']' END)")
-        return f"coalesce({wrapped}, {leaf_literal(node)})"
+
+        def body(t: str) -> str:
+            m, a = f"{t}.m", f"{t}.a"
+            entries = (f"CASE WHEN {m} IS NOT NULL THEN transform(map_entries({m}), {en} -> named_struct("
+                       f"'pre', concat({json_string(en + '.key')}, ':'), 'v', {en}.value)) "
+                       f"WHEN {a} IS NOT NULL THEN transform({a}, {x} -> named_struct('pre', '', 'v', {x})) END")
+            joined = f"array_join(transform({entries}, {e} -> concat({e}.pre, {render(e + '.v', d - 1)})), ',')"
+            wrapped = (f"concat(CASE WHEN {m} IS NOT NULL THEN '{{' ELSE '[' END, {joined}, "
+                       f"CASE WHEN {m} IS NOT NULL THEN '}}' ELSE ']' END)")
+            return f"coalesce({wrapped}, {leaf_literal(t + '.n')})"
+        typed = (f"named_struct('n', {node}, 'm', try_cast({node} AS {MAP_T}), "
+                 f"'a', try_cast({node} AS {ARR_T}))")
+        return let(typed, body)
     return f"CASE WHEN {v} IS NOT NULL THEN {render(v, depth)} END"
 
 
