@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from recordsmith.functions import sqltext as Q
+
 from recordsmith.functions.jsonparse import (MAX_DEPTH, as_array, as_object, canonical_json,
                                              flatten_leaves, get_field, is_false, kind,
                                              py_equal_scalar)
@@ -57,12 +59,15 @@ def exact_match(pred: Column, target: Column) -> Column:
     return canonical_json(pred).eqNullSafe(canonical_json(target))
 
 
-def refusal_correct(pred: Column, target: Column) -> Column:
+def refusal_correct(pred: Column | str, target: Column | str) -> Column:
     """``pred.get('can_extract') == target.get('can_extract')`` with Python ``==``.
 
     A prediction that parsed to a non-object would make ``.get`` raise in the
-    reference; it counts as not correct here.
+    reference; it counts as not correct here. Column names build the
+    expression from SQL text.
     """
+    if isinstance(pred, str) and isinstance(target, str):
+        return F.expr(Q.refusal_correct(Q.quote(pred), Q.quote(target)))
     return (F.when(pred.isNull() | (kind(pred) != "object"), F.lit(False))
             .otherwise(py_equal_scalar(get_field(pred, "can_extract"), get_field(target, "can_extract"))))
 
@@ -94,7 +99,7 @@ def json_valid(pred: Column) -> Column:
     return pred.isNotNull()
 
 
-def schema_conformance(v: Column, record_fields: dict[str, str]) -> Column:
+def schema_conformance(v: Column | str, record_fields: dict[str, str]) -> Column:
     """Envelope and record match the expected schema exactly.
 
     ``record_fields`` maps each record key to its JSON kind ('string',
@@ -102,6 +107,8 @@ def schema_conformance(v: Column, record_fields: dict[str, str]) -> Column:
     an object with exactly ``can_extract`` (boolean), ``refusal_reason``
     (string or null) and ``record`` (object with exactly those keys, or null).
     """
+    if isinstance(v, str):
+        return F.expr(Q.schema_conformance(Q.quote(v), record_fields))
     env = as_object(v)
     env_keys = F.array_sort(F.map_keys(env))
     can = get_field(v, "can_extract")

@@ -119,3 +119,60 @@ def canonical_json(v: str, depth: int) -> str:
 
 def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
+
+
+def kind(x: str) -> str:
+    """'object' | 'array' | 'string' | 'number' | 'boolean' | 'null'; NULL for SQL NULL."""
+    return let(f"schema_of_variant({x})", lambda s: (
+        f"CASE WHEN {s} IS NULL THEN NULL WHEN startswith({s}, 'OBJECT') THEN 'object' "
+        f"WHEN startswith({s}, 'ARRAY') THEN 'array' WHEN {s} = 'STRING' THEN 'string' "
+        f"WHEN {s} = 'BOOLEAN' THEN 'boolean' WHEN {s} = 'VOID' THEN 'null' ELSE 'number' END"))
+
+
+def get_field(x: str, key: str) -> str:
+    return f"try_variant_get({x}, {lit('$.' + key)}, 'variant')"
+
+
+def py_equal(a: str, b: str, depth: int = 6) -> str:
+    """Python ``==`` of two JSON values (SQL NULL = missing = None)."""
+    def body(t: str) -> str:
+        def none(side: str) -> str:
+            return f"({t}.{side} IS NULL OR {t}.k{side} = 'null')"
+
+        def num(side: str) -> str:
+            return (f"CASE WHEN {t}.k{side} = 'boolean' THEN CAST(try_cast({t}.{side} AS boolean) AS double) "
+                    f"ELSE try_cast({t}.{side} AS double) END")
+        numeric = "('number', 'boolean')"
+        return (f"CASE WHEN {none('a')} OR {none('b')} THEN {none('a')} AND {none('b')} "
+                f"WHEN {t}.ka IN {numeric} AND {t}.kb IN {numeric} THEN {num('a')} = {num('b')} "
+                f"WHEN {t}.ka = 'string' AND {t}.kb = 'string' THEN try_cast({t}.a AS string) = try_cast({t}.b AS string) "
+                f"WHEN {t}.ka = {t}.kb AND {t}.ka IN ('object', 'array') "
+                f"THEN {canonical_json(t + '.a', depth)} = {canonical_json(t + '.b', depth)} "
+                f"ELSE false END")
+    return let(f"named_struct('a', {a}, 'b', {b}, 'ka', {kind(a)}, 'kb', {kind(b)})", body)
+
+
+def refusal_correct(p: str, t: str) -> str:
+    return (f"CASE WHEN {p} IS NULL OR {kind(p)} <> 'object' THEN false "
+            f"ELSE {py_equal(get_field(p, 'can_extract'), get_field(t, 'can_extract'))} END")
+
+
+def schema_conformance(v: str, fields: dict[str, str]) -> str:
+    env_keys = "array('can_extract', 'record', 'refusal_reason')"
+    rec_keys = "array(" + ", ".join(lit(k) for k in sorted(fields)) + ")"
+
+    def body(t: str) -> str:
+        checks = []
+        for key, want in fields.items():
+            val = get_field(f"{t}.rec", key)
+            if want == "integer":
+                checks.append(f"schema_of_variant({val}) IN ('BIGINT', 'INT', 'SMALLINT', 'TINYINT')")
+            else:
+                checks.append(f"{kind(val)} = {lit(want)}")
+        rec_ok = (f"({kind(t + '.rec')} = 'null' OR ({kind(t + '.rec')} = 'object' AND "
+                  f"array_sort(map_keys(try_cast({t}.rec AS {MAP_T}))) = {rec_keys} AND " + " AND ".join(checks) + "))")
+        return (f"coalesce({t}.keys = {env_keys} AND {kind(t + '.can')} = 'boolean' "
+                f"AND {kind(t + '.reason')} IN ('string', 'null') AND {rec_ok}, false)")
+    return let(f"named_struct('keys', array_sort(map_keys(try_cast({v} AS {MAP_T}))), "
+               f"'can', {get_field(v, 'can_extract')}, 'reason', {get_field(v, 'refusal_reason')}, "
+               f"'rec', {get_field(v, 'record')})", body)

@@ -65,8 +65,8 @@ def score_predictions(df: DataFrame, raw_col: str = "raw_output", target_col: st
         (F.to_json("_pred").eqNullSafe(F.to_json("_target"))
          & (F.col("_pi") == F.col("_ti"))).alias("exact_match"),
         S.f1_from_counts(F.col("_tp"), F.col("_np"), F.col("_nt"), F.col("_pred").isNull()).alias("field_f1"),
-        S.refusal_correct(F.col("_pred"), F.col("_target")).alias("refusal_correct"),
-        *([S.schema_conformance(F.col("_pred"), record_fields).alias("schema_ok")] if record_fields else []),
+        S.refusal_correct("_pred", "_target").alias("refusal_correct"),
+        *([S.schema_conformance("_pred", record_fields).alias("schema_ok")] if record_fields else []),
     )
 
 

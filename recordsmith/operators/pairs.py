@@ -115,15 +115,16 @@ def parse_verdicts(texts: DataFrame, on_error: str = "fail") -> tuple[DataFrame,
     span = F.when(end >= start, F.expr("substring(output_text, instr(output_text, '{'), "
                                        "length(output_text) - instr(reverse(output_text), '}') + 2 "
                                        "- instr(output_text, '{'))")).otherwise(F.lit(""))
-    v = J.strict_parse(span)
-    ci, ri, rs = J.get_field(v, "chosen_index"), J.get_field(v, "rejected_index"), J.get_field(v, "reason")
+    spans = texts.select("id", "output_text", has_braces.alias("_braces"), span.alias("_span"))
+    v = spans.select("id", "output_text", "_braces", J.strict_parse("_span").alias("_v"))
+    ci, ri, rs = (J.get_field(F.col("_v"), k) for k in ("chosen_index", "rejected_index", "reason"))
 
     def as_int(x: Column) -> Column:
         return F.when(F.schema_of_variant(x).isin("BIGINT", "INT", "SMALLINT", "TINYINT"), x.try_cast("int"))
 
-    parsed = texts.select("id", "output_text", has_braces.alias("_braces"), as_int(ci).alias("chosen_index"),
-                          as_int(ri).alias("rejected_index"),
-                          F.when(J.kind(rs) == "string", rs.try_cast("string")).alias("reason"))
+    parsed = v.select("id", "output_text", "_braces", as_int(ci).alias("chosen_index"),
+                      as_int(ri).alias("rejected_index"),
+                      F.when(J.kind(rs) == "string", rs.try_cast("string")).alias("reason"))
     ok = (F.col("_braces") & F.col("chosen_index").isNotNull() & F.col("rejected_index").isNotNull()
           & F.col("reason").isNotNull())
     if on_error == "fail":
@@ -142,7 +143,8 @@ def py_index(arr: Column, i: Column, strict: bool = True) -> Column:
     return F.element_at(arr, pos) if strict else F.try_element_at(arr, pos)
 
 
-def preference_pairs(rows: DataFrame, verdicts: DataFrame, strict: bool = True) -> DataFrame:
+def preference_pairs(rows: DataFrame, verdicts: DataFrame, strict: bool = True,
+                     keep: tuple[str, ...] = ()) -> DataFrame:
     """``id, prompt, chosen, rejected, label_reason`` (+ same_choice flag).
 
     ``rows`` carry input_text, schema_hint and candidates; the prompt has no
@@ -156,4 +158,5 @@ def preference_pairs(rows: DataFrame, verdicts: DataFrame, strict: bool = True)
         py_index(F.col("candidates"), F.col("chosen_index"), strict).alias("chosen"),
         py_index(F.col("candidates"), F.col("rejected_index"), strict).alias("rejected"),
         F.col("reason").alias("label_reason"),
-        (F.col("chosen_index") == F.col("rejected_index")).alias("same_choice"))
+        (F.col("chosen_index") == F.col("rejected_index")).alias("same_choice"),
+        *keep)

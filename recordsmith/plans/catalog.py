@@ -133,7 +133,7 @@ def extract_response(spark, sf_dir):
 def schema_check(spark, sf_dir):
     """Does each parsed output match the record schema exactly."""
     p = _parsed_corpus(spark, sf_dir)
-    return p.select("id", S.schema_conformance(F.col("pred"), ORDER_RECORD_FIELDS).alias("schema_ok"))
+    return p.select("id", S.schema_conformance("pred", ORDER_RECORD_FIELDS).alias("schema_ok"))
 
 
 # ------------------------------------------------------------ 4. corpus
@@ -249,17 +249,20 @@ def _pair_inputs(spark, sf_dir):
     return rows, cands
 
 
-def _verdicts(spark, sf_dir):
-    rows, cands = _pair_inputs(spark, sf_dir)
+def _judge(rows, cands):
     with_target = cands.join(rows.select("id", "target_text"), "id")
     return PR.rule_judge(PR.score_candidates(with_target, ORDER_RECORD_FIELDS))
 
 
-def _pairs(spark, sf_dir):
+def _verdicts(spark, sf_dir):
+    return _judge(*_pair_inputs(spark, sf_dir))
+
+
+def _pairs(spark, sf_dir, keep=()):
     rows, cands = _pair_inputs(spark, sf_dir)
     attached = PR.attach_candidates(rows, PR.candidate_lists(cands))
-    parsed, _bad = PR.parse_verdicts(PR.verdict_text(_verdicts(spark, sf_dir)))
-    return PR.preference_pairs(attached, parsed).join(rows.select("id", "key"), "id")
+    parsed, _bad = PR.parse_verdicts(PR.verdict_text(_judge(rows, cands)))
+    return PR.preference_pairs(attached, parsed, keep=keep)
 
 
 @register
@@ -299,13 +302,14 @@ def judge_parse(spark, sf_dir):
 @register
 def preference_pairs(spark, sf_dir):
     """Prompt, chosen and rejected text per example."""
-    return _pairs(spark, sf_dir).drop("key")
+    return _pairs(spark, sf_dir)
 
 
 @register
 def pair_split(spark, sf_dir):
     """First int(n*0.8) pairs in input order are train, the rest val."""
-    return SP.pair_split(_pairs(spark, sf_dir), ordinal_col="key").select("id", "split")
+    # ``key`` (the order key) is the input ordinal of each pair.
+    return SP.pair_split(_pairs(spark, sf_dir, keep=("key",)), ordinal_col="key").select("id", "split")
 
 
 # ----------------------------------------------------------------- 7. reports
