@@ -176,3 +176,12 @@ def schema_conformance(v: str, fields: dict[str, str]) -> str:
     return let(f"named_struct('keys', array_sort(map_keys(try_cast({v} AS {MAP_T}))), "
                f"'can', {get_field(v, 'can_extract')}, 'reason', {get_field(v, 'refusal_reason')}, "
                f"'rec', {get_field(v, 'record')})", body)
+
+
+def confidence(p: str) -> str:
+    populated = (f"coalesce(size(filter(map_values(try_cast({get_field(p, 'record')} AS {MAP_T})), "
+                 f"y -> NOT (y IS NULL OR is_variant_null(y) OR to_json(y) IN ('\"\"', '[]', '{{}}')))), 0)")
+    can = get_field(p, "can_extract")
+    is_false = f"coalesce(schema_of_variant({can}) = 'BOOLEAN' AND NOT try_cast({can} AS boolean), false)"
+    return (f"CASE WHEN {p} IS NULL THEN 0.0D WHEN {is_false} THEN 0.92D "
+            f"ELSE round(least(0.99D, 0.45D + ({populated} / 9.0D) * 0.5D), 2) END")
