@@ -249,19 +249,21 @@ def _pair_inputs(spark, sf_dir):
     return rows, cands
 
 
-def _judge(rows, cands):
-    with_target = cands.join(rows.select("id", "target_text"), "id")
-    return PR.rule_judge(PR.score_candidates(with_target, ORDER_RECORD_FIELDS))
+def _judge(spark, sf_dir):
+    # Candidates are generated next to their target, so no join is needed to
+    # score them (a separately sourced candidate table joins on id instead).
+    cands = order_candidates(order_source(spark, sf_dir), keep=("target_text",))
+    return PR.rule_judge(PR.score_candidates(cands, ORDER_RECORD_FIELDS))
 
 
 def _verdicts(spark, sf_dir):
-    return _judge(*_pair_inputs(spark, sf_dir))
+    return _judge(spark, sf_dir)
 
 
 def _pairs(spark, sf_dir, keep=()):
     rows, cands = _pair_inputs(spark, sf_dir)
     attached = PR.attach_candidates(rows, PR.candidate_lists(cands))
-    parsed, _bad = PR.parse_verdicts(PR.verdict_text(_judge(rows, cands)))
+    parsed, _bad = PR.parse_verdicts(PR.verdict_text(_judge(spark, sf_dir)))
     return PR.preference_pairs(attached, parsed, keep=keep)
 
 
@@ -317,9 +319,8 @@ def pair_split(spark, sf_dir):
 
 def _stage_reports(spark, sf_dir):
     """One evaluation report per candidate position, read as a model stage."""
-    rows, cands = _pair_inputs(spark, sf_dir)
-    scored = score_predictions(cands.join(rows.select("id", "target_text"), "id").withColumnRenamed("text", "raw_output"),
-                               keep=("id", "candidate_index"))
+    cands = order_candidates(order_source(spark, sf_dir), keep=("target_text",))
+    scored = score_predictions(cands.withColumnRenamed("text", "raw_output"), keep=("id", "candidate_index"))
     rep = _eval_report(scored, group_cols=("candidate_index",))
     return rep.select(F.concat(F.lit("stage_"), F.col("candidate_index").cast("string")).alias("stage"),
                       F.col("candidate_index").alias("stage_no"), *rep.columns[1:])

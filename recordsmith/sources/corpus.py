@@ -157,11 +157,11 @@ def order_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
                       damaged_text(d).alias("raw_output"))
 
 
-def order_candidates(src: DataFrame, k: int = 4, stride: int = 3) -> DataFrame:
+def order_candidates(src: DataFrame, k: int = 4, stride: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
     """C19 with the damage classes as the generator: ``k`` candidates per row,
     candidate ``j`` being damage class ``(key + stride*j) % 10``."""
     j = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("candidate_index")
     exploded = src.select("*", j)
     d = F.pmod(F.col("key") + F.lit(stride) * F.col("candidate_index"), F.lit(10))
     return exploded.select("id", F.col("candidate_index").cast("int").alias("candidate_index"),
-                           damaged_text(d).alias("text"))
+                           damaged_text(d).alias("text"), *keep)
