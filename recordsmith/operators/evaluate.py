@@ -25,7 +25,8 @@ def join_predictions(predictions: DataFrame, examples: DataFrame, on: str = "id"
 
 
 def score_predictions(df: DataFrame, raw_col: str = "raw_output", target_col: str = "target_text",
-                      keep: tuple[str, ...] = ("id",), record_fields: dict[str, str] | None = None) -> DataFrame:
+                      keep: tuple[str, ...] = ("id",), record_fields: dict[str, str] | None = None,
+                      target_leaves_col: str | None = None) -> DataFrame:
     """Per-row detail: parsed output (canonical JSON text) and the four scores.
 
     ``target_col`` is JSON text (as written by the corpus sinks). Each side is
@@ -38,12 +39,16 @@ def score_predictions(df: DataFrame, raw_col: str = "raw_output", target_col: st
     df = ensure_parallelism(df, *keep)
     # Targets are JSON written by a JSON writer: a plain parse, failing loudly
     # on corrupt input. Predictions go through the two-attempt strict parse.
+    # A target given as VARIANT (and its leaves) is used as is: when several
+    # predictions share one target (k candidates per example) it is parsed
+    # and flattened once per example upstream, not once per prediction.
+    target = F.col(target_col) if dict(df.dtypes)[target_col] == "variant" else F.parse_json(F.col(target_col))
+    carried = [F.col(target_leaves_col).alias("_tl0")] if target_leaves_col else []
     parsed = df.select(*k, F.col(raw_col).alias("raw_output"),
-                       J.extract_json_block(raw_col).alias("_pred"),
-                       F.parse_json(F.col(target_col)).alias("_target"))
+                       J.extract_json_block(raw_col).alias("_pred"), target.alias("_target"), *carried)
     flat = parsed.select(*k, "raw_output", "_pred", "_target",
                          J.flatten_leaves("_pred").alias("_pl"),
-                         J.flatten_leaves("_target").alias("_tl"),
+                         (F.col("_tl0") if target_leaves_col else J.flatten_leaves("_target")).alias("_tl"),
                          J.canonical_json("_pred").alias("parsed_output"),
                          J.canonical_json("_target").alias("target_json"))
     items = flat.select(*k, "raw_output", "_pred", "_target", "parsed_output", "target_json",

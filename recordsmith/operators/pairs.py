@@ -61,10 +61,23 @@ def judge_payload(rows: DataFrame) -> DataFrame:
     return rows.select("id", payload.alias("payload"))
 
 
-def score_candidates(cands_with_target: DataFrame, record_fields: dict[str, str]) -> DataFrame:
-    """Per-candidate judge criteria: valid JSON, schema match, accuracy, refusal."""
-    return score_predictions(cands_with_target.withColumnRenamed("text", "raw_output"),
-                             keep=("id", "candidate_index"), record_fields=record_fields)
+def score_candidates(cands_with_target: DataFrame, record_fields: dict[str, str],
+                     target_col: str = "target_text", target_leaves_col: str | None = None) -> DataFrame:
+    """Per-candidate judge criteria: valid JSON, schema match, accuracy, refusal.
+
+    ``target_col`` may be JSON text or an already parsed VARIANT (with its
+    leaves in ``target_leaves_col``), computed once per example.
+    """
+    return score_predictions(cands_with_target.withColumnRenamed("text", "raw_output"), target_col=target_col,
+                             keep=("id", "candidate_index"), record_fields=record_fields,
+                             target_leaves_col=target_leaves_col)
+
+
+def with_parsed_target(rows: DataFrame, target_col: str = "target_text") -> DataFrame:
+    """Parse and flatten each example's target once (``_tv``, ``_tl``) before its
+    candidates are generated or joined, so k candidates share that work."""
+    parsed = rows.select("*", F.parse_json(F.col(target_col)).alias("_tv"))
+    return parsed.select("*", J.flatten_leaves("_tv").alias("_tl"))
 
 
 def rule_judge(scored: DataFrame) -> DataFrame:

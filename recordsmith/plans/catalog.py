@@ -252,8 +252,9 @@ def _pair_inputs(spark, sf_dir):
 def _judge(spark, sf_dir):
     # Candidates are generated next to their target, so no join is needed to
     # score them (a separately sourced candidate table joins on id instead).
-    cands = order_candidates(order_source(spark, sf_dir), keep=("target_text",))
-    return PR.rule_judge(PR.score_candidates(cands, ORDER_RECORD_FIELDS))
+    src = PR.with_parsed_target(order_source(spark, sf_dir))
+    cands = order_candidates(src, keep=("_tv", "_tl"))
+    return PR.rule_judge(PR.score_candidates(cands, ORDER_RECORD_FIELDS, "_tv", "_tl"))
 
 
 def _verdicts(spark, sf_dir):
@@ -319,8 +320,8 @@ def pair_split(spark, sf_dir):
 
 def _stage_reports(spark, sf_dir):
     """One evaluation report per candidate position, read as a model stage."""
-    cands = order_candidates(order_source(spark, sf_dir), keep=("target_text",))
-    scored = score_predictions(cands.withColumnRenamed("text", "raw_output"), keep=("id", "candidate_index"))
+    cands = order_candidates(PR.with_parsed_target(order_source(spark, sf_dir)), keep=("_tv", "_tl"))
+    scored = PR.score_candidates(cands, {}, "_tv", "_tl")
     rep = _eval_report(scored, group_cols=("candidate_index",))
     return rep.select(F.concat(F.lit("stage_"), F.col("candidate_index").cast("string")).alias("stage"),
                       F.col("candidate_index").alias("stage_no"), *rep.columns[1:])
