@@ -16,6 +16,8 @@ exactly one example.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recordsmith.functions.text import json_string
@@ -128,7 +130,18 @@ def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged_text(d: Column) -> Column:
-    """The prediction text of damage class ``d`` (0-9) for an ``order_source`` row."""
+    """The prediction text of damage class ``d`` (0-9) for an ``order_source`` row.
+
+    The expression only names columns, so it is built once per process (``_d``
+    stands for the class) and reused; ``d`` is substituted through a
+    projection by the callers below.
+    """
+    return _damaged_template()
+
+
+@functools.lru_cache(maxsize=1)
+def _damaged_template() -> Column:
+    d = F.col("_d")
     c = {k: F.col(k) for k in ("key", "name", "date", "priority", "cents", "status", "segment", "nation", "balance")}
     refusal = F.col("refusal")
     base = F.when(refusal, _refusal()).otherwise(_pred_record(_members(c)))
@@ -150,18 +163,17 @@ def damaged_text(d: Column) -> Column:
 
 def order_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, o_orderkey, damage, can_extract, target_text, raw_output`` -- one row per order."""
-    src = order_source(spark, sf_dir)
-    d = F.pmod(F.col("key"), F.lit(10))
-    return src.select("id", F.col("key").alias("o_orderkey"), d.cast("int").alias("damage"),
+    src = order_source(spark, sf_dir).withColumn("_d", F.pmod(F.col("key"), F.lit(10)))
+    return src.select("id", F.col("key").alias("o_orderkey"), F.col("_d").cast("int").alias("damage"),
                       (~F.col("refusal")).alias("can_extract"), "target_text",
-                      damaged_text(d).alias("raw_output"))
+                      damaged_text(F.col("_d")).alias("raw_output"))
 
 
 def order_candidates(src: DataFrame, k: int = 4, stride: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
     """C19 with the damage classes as the generator: ``k`` candidates per row,
     candidate ``j`` being damage class ``(key + stride*j) % 10``."""
     j = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("candidate_index")
-    exploded = src.select("*", j)
-    d = F.pmod(F.col("key") + F.lit(stride) * F.col("candidate_index"), F.lit(10))
+    exploded = src.select("*", j).withColumn(
+        "_d", F.pmod(F.col("key") + F.lit(stride) * F.col("candidate_index"), F.lit(10)))
     return exploded.select("id", F.col("candidate_index").cast("int").alias("candidate_index"),
-                           damaged_text(d).alias("text"), *keep)
+                           damaged_text(F.col("_d")).alias("text"), *keep)
