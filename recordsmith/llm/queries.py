@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from recordsmith.llm.bpe import op1_bpe_roundtrip
+from recordsmith.llm.quality import OP9_SQL, op9_quality_rules
 
 
 def queries() -> dict:
     return {
         "op1_bpe_roundtrip": op1_bpe_roundtrip,
+        "op9_quality_rules": op9_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op9_quality_rules": OP9_SQL,
+    }
