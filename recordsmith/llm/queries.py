@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from recordsmith.llm.bpe import op1_bpe_roundtrip
+from recordsmith.llm.lines import OP3_SQL, op3_line_dedup
 from recordsmith.llm.quality import OP9_SQL, op9_quality_rules
 
 
 def queries() -> dict:
     return {
         "op1_bpe_roundtrip": op1_bpe_roundtrip,
+        "op3_line_dedup": op3_line_dedup,
         "op9_quality_rules": op9_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_line_dedup": OP3_SQL,
         "op9_quality_rules": OP9_SQL,
     }
