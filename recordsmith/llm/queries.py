@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from recordsmith.llm.bpe import op1_bpe_roundtrip
+from recordsmith.llm.chat_format import OP4_SQL, op4_chat_format
 from recordsmith.llm.lines import OP3_SQL, op3_line_dedup
 from recordsmith.llm.quality import OP9_SQL, op9_quality_rules
 
@@ -11,6 +12,7 @@ def queries() -> dict:
     return {
         "op1_bpe_roundtrip": op1_bpe_roundtrip,
         "op3_line_dedup": op3_line_dedup,
+        "op4_chat_format": op4_chat_format,
         "op9_quality_rules": op9_quality_rules,
     }
 
@@ -18,5 +20,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_dedup": OP3_SQL,
+        "op4_chat_format": OP4_SQL,
         "op9_quality_rules": OP9_SQL,
     }
