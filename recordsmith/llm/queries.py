@@ -5,12 +5,14 @@ from __future__ import annotations
 from recordsmith.llm.bpe import op1_bpe_roundtrip
 from recordsmith.llm.chat_format import OP4_SQL, op4_chat_format
 from recordsmith.llm.lines import OP3_SQL, op3_line_dedup
+from recordsmith.llm.minhash import op2_minhash_dedup
 from recordsmith.llm.quality import OP9_SQL, op9_quality_rules
 
 
 def queries() -> dict:
     return {
         "op1_bpe_roundtrip": op1_bpe_roundtrip,
+        "op2_minhash_dedup": op2_minhash_dedup,
         "op3_line_dedup": op3_line_dedup,
         "op4_chat_format": op4_chat_format,
         "op9_quality_rules": op9_quality_rules,
