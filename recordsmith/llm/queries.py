@@ -7,6 +7,7 @@ from recordsmith.llm.chat_format import OP4_SQL, op4_chat_format
 from recordsmith.llm.lines import OP3_SQL, op3_line_dedup
 from recordsmith.llm.minhash import op2_minhash_dedup
 from recordsmith.llm.quality import OP9_SQL, op9_quality_rules
+from recordsmith.llm.toxicity import op10_toxicity
 
 
 def queries() -> dict:
@@ -16,6 +17,7 @@ def queries() -> dict:
         "op3_line_dedup": op3_line_dedup,
         "op4_chat_format": op4_chat_format,
         "op9_quality_rules": op9_quality_rules,
+        "op10_toxicity": op10_toxicity,
     }
 
 
