@@ -83,10 +83,10 @@ def signature_bytes(least: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, sh, bands, sig) of (doc_id, text): set size, 128-bit hash of the set
-    (null for an empty one), band keys and signature."""
+    """(doc_id, n, sh, bands, sig, short) of (doc_id, text): set size, 128-bit hash of the
+    set (null for an empty one), band keys, signature, and 32 bits of every band key."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n, sh, bands, sig = [], [], [], []
+        n, sh, bands, sig, short = [], [], [], [], []
         for text in batch.column("text").to_pylist():
             s = shingle_set(text)
             n.append(len(s))
@@ -94,15 +94,16 @@ def signatures(docs: DataFrame) -> DataFrame:
                 least = minima(s)
                 sh.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 bands.append(band_keys(least))
+                short.append(bands[-1].astype(np.uint64).astype(np.uint32).tobytes())
                 sig.append(signature_bytes(least))
             else:
-                sh.append(None), bands.append(None), sig.append(None)
+                sh.append(None), bands.append(None), sig.append(None), short.append(None)
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sh, pa.binary()),
-             pa.array(bands, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
-            ["doc_id", "n", "sh", "bands", "sig"])
+             pa.array(bands, pa.list_(pa.int64())), pa.array(sig, pa.binary()), pa.array(short, pa.binary())],
+            ["doc_id", "n", "sh", "bands", "sig", "short"])
 
-    return map_slices(docs, run, "doc_id long, n long, sh binary, bands array<long>, sig binary", "text")
+    return map_slices(docs, run, "doc_id long, n long, sh binary, bands array<long>, sig binary, short binary", "text")
 
 
 def linked(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -129,17 +130,19 @@ def linked(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFra
 def _screened(rows: DataFrame) -> DataFrame:
     """Pairs of different labels in one block group whose signatures agree enough.
 
-    ``rows`` (key, i, j, side, rep, label, n, sig) are dealt and sorted by group; a group
+    ``rows`` (key, i, j, side, rep, label, n, sig, short) are dealt and sorted by group; a group
     has the classes of one block, or of two blocks whose classes are held against each
     other, so it is bounded by the block size.
     """
-    def pairs(group: list[tuple]) -> tuple[list, list]:
+    def pairs(key: int, group: list[tuple]) -> tuple[list, list]:
         rep = np.array([g[1] for g in group], np.int64)
         label = np.array([g[2] for g in group], np.int64)
         if (label == label[0]).all():
             return [], []
         side = np.array([g[0] for g in group], np.int8)
         size = np.array([g[3] for g in group], np.int64)
+        bands = np.frombuffer(b"".join([g[5] for g in group]), np.uint32).reshape(len(group), BANDS)
+        here = np.int64(key).astype(np.uint64).astype(np.uint32)
         sig = np.frombuffer(b"".join([g[4] for g in group]), np.uint8).reshape(len(group), HASHES)
         a, b = [], []
         need = (SCREEN * (1 - 1 / 256) + 1 / 256) * HASHES
@@ -150,7 +153,9 @@ def _screened(rows: DataFrame) -> DataFrame:
             test = (side == 1) if two else (np.arange(len(group)) > x)
             test &= (label != label[x]) & (100 * np.minimum(size, size[x]) >= PERCENT * np.maximum(size, size[x]))
             at = np.flatnonzero(test)
-            at = at[(sig[at] == sig[x]).sum(axis=1) >= need] if len(at) else at
+            if len(at):     # of the buckets that a pair shares, only the first one makes it
+                first = (bands[at] == bands[x]).argmax(axis=1)
+                at = at[(bands[x, first] == here) & ((sig[at] == sig[x]).sum(axis=1) >= need)]
             a += [max(rep[x], rep[y]) for y in at]
             b += [min(rep[x], rep[y]) for y in at]
         return a, b
@@ -165,23 +170,23 @@ def _screened(rows: DataFrame) -> DataFrame:
             return done
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "i", "j", "side", "rep", "label", "n", "sig")]
+            columns = [batch.column(c).to_pylist() for c in ("key", "i", "j", "side", "rep", "label", "n", "sig", "short")]
             for row in zip(*columns):
                 if row[:3] != held:
                     if len(group) > 1:
-                        x, y = pairs(group)
+                        x, y = pairs(held[0], group)
                         a.extend(x), b.extend(y)
                     held, group = row[:3], []
                     if len(a) > 50_000:
                         yield out()
                 group.append(row[3:])
         if len(group) > 1:
-            x, y = pairs(group)
+            x, y = pairs(held[0], group)
             a.extend(x), b.extend(y)
         yield out()
 
     dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return shipped(dealt).mapInArrow(run, "a long, b long").distinct()
+    return shipped(dealt).mapInArrow(run, "a long, b long")
 
 
 def _rest(buckets: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
@@ -192,11 +197,11 @@ def _rest(buckets: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
     still = (b.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"),
                                   F.count("*").alias("c"))
               .where("low < high").select("key", F.ceil(F.col("c") / BLOCK).alias("blocks")))
-    b = (b.join(still, "key").join(reps.select("rep", "n", "sig"), "rep")
+    b = (b.join(still, "key").join(reps.select("rep", "n", "sig", "short"), "rep")
           .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
           .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
     return b.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                    (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "label", "n", "sig")
+                    (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "label", "n", "sig", "short")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -211,8 +216,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     sigs = stash(signatures(docs), "signatures")
     reps = stash(sigs.where("n > 0 AND doc_id IS NOT NULL").groupBy("sh")
-                     .agg(F.min(F.struct("doc_id", "n", "bands", "sig")).alias("r"))
-                     .select("sh", F.col("r.doc_id").alias("rep"), "r.n", "r.bands", "r.sig"), "classes")
+                     .agg(F.min(F.struct("doc_id", "n", "bands", "sig", "short")).alias("r"))
+                     .select("sh", F.col("r.doc_id").alias("rep"), "r.n", "r.bands", "r.sig", "r.short"), "classes")
     spread = reps.select("rep", F.explode("bands").alias("key"))
     shared = spread.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     buckets = stash(spread.join(shared, "key"), "buckets")
