@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from recordsmith.llm.bpe import op1_bpe_roundtrip
 from recordsmith.llm.chat_format import OP4_SQL, op4_chat_format
+from recordsmith.llm.decontaminate import op7_decontaminate
 from recordsmith.llm.lines import OP3_SQL, op3_line_dedup
 from recordsmith.llm.minhash import op2_minhash_dedup
 from recordsmith.llm.quality import OP9_SQL, op9_quality_rules
@@ -16,6 +17,7 @@ def queries() -> dict:
         "op2_minhash_dedup": op2_minhash_dedup,
         "op3_line_dedup": op3_line_dedup,
         "op4_chat_format": op4_chat_format,
+        "op7_decontaminate": op7_decontaminate,
         "op9_quality_rules": op9_quality_rules,
         "op10_toxicity": op10_toxicity,
     }
