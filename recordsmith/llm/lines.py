@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordsmith.llm.common import read_table, words_of
+from recordsmith.llm.common import read_table, stash, words_of
 
 MIN_WORDS = 5        # shorter lines are never touched
 NEAR_WORDS = 8       # shorter lines are removed only for an equal line
@@ -35,12 +35,9 @@ def _halves() -> Column:
 
     One edit leaves the first or the last half of the shorter line whole.
     """
-    pieces = []
-    for h in (F.floor(F.col("n") / 2), F.floor((F.col("n") - 1) / 2)):
-        h = h.cast("int")
-        pieces += [F.struct(F.lit(side).alias("side"), h.alias("h"), *_key(F.slice("w", start, h)))
-                   for side, start in (("p", F.lit(1)), ("s", F.col("n") - h + 1))]
-    return F.array_distinct(F.array(*pieces))
+    return F.expr(
+        "array_distinct(flatten(transform(array(n div 2, (n - 1) div 2), h -> array("
+        "xxhash64('first', h, slice(wh, 1, int(h))), xxhash64('last', h, slice(wh, int(n - h + 1), int(h)))))))")
 
 
 def _variants() -> Column:
@@ -66,25 +63,24 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """(id, rid, removed, near): per document the numbers of the lines to remove, and how
     many of them go for a near line rather than an equal one."""
     lines = (docs.select("id", "rid", F.posexplode(F.split("text", "\n")).alias("line", "s"))
-                 .select("id", "rid", "line", words_of(F.col("s")).alias("w"))
-                 .withColumn("n", F.size("w")).where(F.col("n") >= MIN_WORDS))
-    keyed = lines.select(*LOC, "n", *_key(F.col("w")),
-                         F.when(F.col("n") >= NEAR_WORDS, _halves()).alias("halves"))
-    distinct = keyed.groupBy("k1", "k2", "n").agg(
+                 .select(*LOC, F.transform(words_of(F.col("s")), lambda w: F.xxhash64(w)).alias("wh"))
+                 .withColumn("n", F.size("wh")).where(F.col("n") >= MIN_WORDS))
+    keyed = stash(lines.select(*LOC, *_key(F.col("wh")),
+                               F.when(F.col("n") >= NEAR_WORDS, _halves()).alias("halves")), "lines")
+    distinct = stash(keyed.groupBy("k1", "k2").agg(
         F.min(_loc()).alias("first"), F.count("*").alias("times"),
-        F.first("halves").alias("halves"))
+        F.first("halves").alias("halves")), "distinct")
     # Equal lines: every occurrence but the first.
-    equal = (keyed.select(*LOC, "k1", "k2", "n")
-                  .join(distinct.where("times > 1").select("k1", "k2", "n", "first"), ["k1", "k2", "n"])
+    equal = (keyed.join(distinct.where("times > 1").select("k1", "k2", "first"), ["k1", "k2"])
                   .where(_loc() != F.col("first")).select(*LOC, F.lit(False).alias("near")))
     # Lines that share a half with another line, at the place of their first occurrence.
     half = distinct.select("first", F.explode("halves").alias("half"))
     shared = half.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half")
     suspects = (half.join(shared, "half").select("first.*")
                     .groupBy("id", "rid").agg(F.collect_set("line").alias("numbers")))
-    texts = (_joined(docs, suspects)
-             .select("id", "rid", F.split("text", "\n").alias("s"), F.explode("numbers").alias("line"))
-             .select(*LOC, words_of(F.expr("s[line]")).alias("w")).withColumn("n", F.size("w")))
+    texts = stash(_joined(docs, suspects)
+                  .select("id", "rid", F.split("text", "\n").alias("s"), F.explode("numbers").alias("line"))
+                  .select(*LOC, words_of(F.expr("s[line]")).alias("w")).withColumn("n", F.size("w")), "suspects")
     variants = (texts.select(_loc().alias("f"), F.explode(_variants()).alias("x"))
                      .select("f", F.col("x.pos").alias("pos"), *_key(F.col("x.v"))))
     same = variants.groupBy("k1", "k2", "pos").agg(F.min("f").alias("same"))
@@ -121,8 +117,9 @@ def line_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     and do not remove each other's lines. Other columns pass through, nulls included.
     """
     new = ("clean_text", "n_lines", "n_equal", "n_near")
-    rest = [f"`{c}`" for c in df.columns if c not in new]
-    located = df.select(F.struct(*rest).alias("row"), F.col(f"`{doc_id}`").alias("id"),
+    rest = [c for c in df.columns if c not in new]
+    carried = [f"`{c}`" for c in rest if c not in (doc_id, text)]
+    located = df.select(F.struct(F.lit(0).alias("__"), *carried).alias("row"), F.col(f"`{doc_id}`").alias("id"),
                         F.col(f"`{text}`").alias("text")).withColumn("rid", F.xxhash64("id", "text"))
     found = removed_lines(located.select("id", "text", "rid").where(F.col("text").isNotNull()))
     out = _joined(located, found, "left").withColumn("lines", F.split("text", "\n"))
@@ -130,7 +127,9 @@ def line_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     cleaned = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(keep, "\n"))
     gone = F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed"))
     near = F.coalesce("near", F.lit(0))
-    return out.select("row.*", cleaned.alias("clean_text"),
+    back = {doc_id: F.col("id"), text: F.col("text")}
+    columns = [back[c].alias(c) if c in back else F.col(f"row.`{c}`") for c in rest]
+    return out.select(*columns, cleaned.alias("clean_text"),
                       F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
                       (gone - near).cast("long").alias("n_equal"), near.cast("long").alias("n_near"))
 
