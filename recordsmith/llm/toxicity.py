@@ -20,7 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordsmith.llm.common import map_slices, read_table
+from recordsmith.llm.common import map_slices, read_table, stash
+from recordsmith.ship import shipped
 
 MAX_TRAIN_ROWS = 20_000      # labelled rows that are fitted, the first in order of a hash
 BITS = 20                    # 2^BITS hashed features
@@ -93,36 +94,65 @@ def text_features(text: str | None) -> tuple[np.ndarray, np.ndarray | None]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
-    """(toxic, own, twin) of at most ``max_rows`` labelled texts, in order of a hash of doc_id.
+    """(doc_id, toxic, text) of at most ``max_rows`` labels, in order of a hash of doc_id.
 
     A doc_id labelled twice counts as toxic if any label says so; null labels are left out.
     """
     chosen = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
-                    .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+                    .groupBy("doc_id").agg(F.greatest(F.lit(0), F.least(F.lit(1), F.max("toxic"))).cast("int").alias("toxic"))
                     .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
-    rows = docs.join(F.broadcast(chosen), "doc_id")          # at most max_rows pairs of numbers
-
+    return docs.join(F.broadcast(chosen), "doc_id")          # at most max_rows pairs of numbers
+
+
+def select_features(sample: DataFrame, count: int = MAX_FEATURES) -> np.ndarray:
+    """Hashed features whose share of texts differs most between the labels, in order."""
+    def run(batches):
+        both = np.zeros((2, 1 << BITS), np.int64)
+        for batch in batches:
+            for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
+                both[toxic, np.unique(text_features(text)[0])] += 1
+        f = np.flatnonzero(both.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()), pa.array(both[0, f]), pa.array(both[1, f])],
+                                         ["f", "good", "bad"])
+
+    totals = sample.agg(F.count("*").alias("n"), F.avg("toxic").alias("rate")).first()
+    if not totals["n"]:
+        return np.empty(0, np.int64)
+    counted = (shipped(sample.select("toxic", "text")).mapInArrow(run, "f long, good long, bad long")
+               .groupBy("f").agg(F.sum("bad").alias("bad"), (F.sum("good") + F.sum("bad")).alias("n"))
+               .where(F.col("n") >= MIN_DOCS))
+    gap = F.abs(F.col("bad") - F.col("n") * totals["rate"]) / F.sqrt(
+        F.col("n") * (1 - F.col("n") / F.lit(float(totals["n"]))) + 1e-9)
+    top = counted.select("f", F.round(gap, 9).alias("gap")).orderBy(F.desc("gap"), "f").limit(count)
+    return np.sort(np.array([r["f"] for r in top.collect()], np.int64))
+
+
+def _own_and_twin(sample: DataFrame, used: np.ndarray) -> DataFrame:
+    """(doc_id, toxic, own, twin): positions in ``used`` of every text's features."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        def packed(features):
+            if features is None:
+                return None
+            at = np.searchsorted(used, features)
+            return at[(at < len(used)) & (used[np.minimum(at, len(used) - 1)] == features)].astype(np.int32).tobytes()
+
         both = [text_features(t) for t in batch.column("text").to_pylist()]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("toxic").cast(pa.int32()),
-             pa.array([a.tobytes() for a, _ in both], pa.binary()),
-             pa.array([None if b is None else b.tobytes() for _, b in both], pa.binary())],
-            ["doc_id", "toxic", "own", "twin"])
+             pa.array([packed(a) for a, _ in both], pa.binary()),
+             pa.array([packed(b) for _, b in both], pa.binary())], ["doc_id", "toxic", "own", "twin"])
 
-    return map_slices(rows.select("doc_id", "toxic", "text"), run,
+    return map_slices(sample.select("doc_id", "toxic", "text"), run,
                       "doc_id long, toxic int, own binary, twin binary", "text")
 
 
 class _Rows:
     """Sparse rows: sums by row and by feature."""
 
-    def __init__(self, rows: list[np.ndarray], index: np.ndarray):
-        sizes = np.array([len(r) for r in rows], np.int64)
-        at = np.repeat(np.arange(len(rows)), sizes)
-        f = index[np.concatenate(rows)] if len(rows) and sizes.sum() else np.empty(0, np.int64)
-        keep = f >= 0
-        self.n, self.at, self.f = len(rows), at[keep], f[keep]
+    def __init__(self, rows: list[np.ndarray]):
+        self.n = len(rows)
+        self.at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        self.f = np.concatenate([*rows, np.empty(0, np.int32)]).astype(np.int64)
 
     def times(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.at, w[self.f], self.n)
@@ -131,36 +161,16 @@ class _Rows:
         return np.bincount(self.f, r[self.at], size)
 
 
-def fit(own: list[np.ndarray], twin: list[np.ndarray | None], toxic: np.ndarray,
+def fit(own: list[np.ndarray], twin: list[np.ndarray | None], toxic: np.ndarray, size: int,
         fairness: float = FAIRNESS) -> tuple[np.ndarray, float]:
-    """(weights by hashed feature, bias), by proximal steps with momentum estimates."""
-    weights = np.zeros(1 << BITS, np.float32)
+    """(weights of ``size`` features, bias), by proximal steps with momentum estimates."""
     if not len(toxic):
-        return weights, 0.0
+        return np.zeros(size), 0.0
     rate = float(np.clip(toxic.mean(), 1e-3, 1 - 1e-3))
     bias = math.log(rate / (1 - rate))
-    docs, bad = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
-    for r, label in zip(own, toxic):
-        r = np.unique(r)
-        docs[r] += 1
-        if label:
-            bad[r] += 1
-    used = np.flatnonzero(docs >= MIN_DOCS)
-    share = docs[used] / len(toxic)
-    gap = np.abs(bad[used] - docs[used] * toxic.mean()) / np.sqrt(docs[used] * (1 - share) + 1e-9)
-    used = np.sort(used[np.argsort(-gap, kind="stable")[:MAX_FEATURES]])
-    index = np.full(1 << BITS, -1, np.int64)
-    index[used] = np.arange(len(used))
     pairs = [k for k, t in enumerate(twin) if t is not None]
-    for k in pairs:                                # terms of twins count even if rare
-        new = np.setdiff1d(np.setxor1d(own[k], twin[k]), used)
-        new = new[index[new] < 0]
-        index[new] = np.arange(len(new)) + (index.max() + 1)
-    size = int(index.max()) + 1
-    if not size:
-        return weights, bias
-    x = _Rows(own, index)
-    a, b = _Rows([own[k] for k in pairs], index), _Rows([twin[k] for k in pairs], index)
+    x = _Rows(own)
+    a, b = _Rows([own[k] for k in pairs]), _Rows([twin[k] for k in pairs])
     n, w = len(toxic), np.zeros(size)
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
     step = 0.1
@@ -177,8 +187,7 @@ def fit(own: list[np.ndarray], twin: list[np.ndarray | None], toxic: np.ndarray,
         w = w - scale * m / (1 - 0.9 ** t)
         w = np.sign(w) * np.maximum(np.abs(w) - scale * SPARSITY, 0)
         bias -= step * (mb / (1 - 0.9 ** t)) / (math.sqrt(vb / (1 - 0.99 ** t)) + 1e-4)
-    weights[np.flatnonzero(index >= 0)] = w[index[index >= 0]]
-    return weights, float(bias)
+    return w, float(bias)
 
 
 class _WordScores(dict):
@@ -199,16 +208,16 @@ def score_text(text: str | None, scores: _WordScores, bias: float) -> float:
     return 1 / (1 + math.exp(-min(max(z, -500.0), 500.0)))
 
 
-def score_toxicity(df: DataFrame, model: tuple[np.ndarray, float], text: str = "text",
+def score_toxicity(df: DataFrame, model: tuple, text: str = "text",
                    score: str = "score") -> DataFrame:
     """Add ``score`` (0 to 1) to every row (replacing a column so named).
 
     It depends on the text alone. A null or empty text gets the score of no words, so do
     texts without a letter or digit; repeated rows repeat their score.
     """
-    weights, bias = model
-    at = np.flatnonzero(weights)
-    packed = (at.astype(np.int32), weights[at], float(bias))     # at most 2^BITS numbers
+    features, weights, bias = model
+    on = np.flatnonzero(weights)
+    packed = (features[on], weights[on], float(bias))            # at most MAX_FEATURES pairs
     memo = _Model(packed)
     kept = [f for f in df.schema.fields if f.name.lower() != score.lower()]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + f", `{score}` double"
@@ -243,13 +252,19 @@ class _Model:
         return self.words
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS):
-    """Fit on a bounded sample; no labelled rows give a model that scores 0.5 throughout."""
-    rows = labelled_sample(docs, labels, max_rows).collect()     # bounded by max_rows
-    rows.sort(key=lambda r: (r["doc_id"], bytes(r["own"])))
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> tuple:
+    """(features, weights, bias), fitted on a bounded sample; features are chosen by counts
+    made in tasks, and only their positions come to the driver. No labelled rows give a
+    model that scores 0.5 throughout."""
+    sample = stash(labelled_sample(docs, labels, max_rows), "sample")    # at most max_rows texts
+    used = select_features(sample)
+    if not len(used):
+        toxic = np.array([r["toxic"] for r in sample.select("toxic").collect()], float)
+        return used, *fit([np.empty(0, np.int32)] * len(toxic), [None] * len(toxic), toxic, 0)
+    rows = _own_and_twin(sample, used).orderBy("doc_id").collect()       # bounded by max_rows
     own = [np.frombuffer(r["own"], np.int32) for r in rows]
     twin = [None if r["twin"] is None else np.frombuffer(r["twin"], np.int32) for r in rows]
-    return fit(own, twin, np.array([min(max(r["toxic"], 0), 1) for r in rows], float))
+    return used, *fit(own, twin, np.array([r["toxic"] for r in rows], float), len(used))
 
 
 def op10_toxicity(spark, sf_dir):
