@@ -41,6 +41,12 @@ def drop_stash(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def settled(value: Column) -> Column:
+    """``value``, kept where it is computed: a filter on it is not pushed below the
+    projection, which would copy the whole chain of expressions behind it."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def words_of(text: Column) -> Column:
     """Words of a text (null or blank: empty array), by built-in functions."""
     parts = F.split(F.coalesce(text, F.lit("")), WORD_GAP)

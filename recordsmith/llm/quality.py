@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordsmith.llm.common import WORD_GAP, read_table, words_of
+from recordsmith.llm.common import WORD_GAP, read_table, settled, words_of
 
 WINDOW = 8              # words of a repetition window
 MIN_WORDS = 20          # base rule: fewer words fail
@@ -102,7 +102,7 @@ def quality(df: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> Da
     a = (a.withColumn("lost", F.when(F.col("word_chars") > 0, lost).otherwise(F.lit(0.0)))
           .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                       | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))))
-    return (a.withColumn("kept", ~F.col("base_failed") & (F.col("lost") <= max_lost))
+    return (a.withColumn("kept", settled(~F.col("base_failed") & (F.col("lost") <= max_lost)))
              .drop("__t", "__w", "__lines", "__good", "__full", "__h", "__s", "__p"))
 
 
