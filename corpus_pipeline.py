@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordsmith.llm.bpe import bpe_decode, bpe_encode
-from recordsmith.llm.common import read_table, stash
+from recordsmith.llm.common import read_table, settled, stash
 from recordsmith.llm.decontaminate import drop_leaks
 from recordsmith.llm.lines import line_dedup
 from recordsmith.llm.minhash import near_duplicates
@@ -44,7 +44,8 @@ def line_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier line go; a document whose words all went goes too."""
     done = line_dedup(_carried(docs))
     emptied = F.col("text").rlike(WORD) & ~F.col("clean_text").rlike(WORD)
-    return _back(done.where(~F.coalesce(emptied, F.lit(False))), docs, F.col("clean_text"))
+    done = done.withColumn("__keep", settled(~F.coalesce(emptied, F.lit(False)))).where("__keep")
+    return _back(done, docs, F.col("clean_text"))
 
 
 def near_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
