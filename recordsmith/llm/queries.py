@@ -9,6 +9,7 @@ from recordsmith.llm.lines import OP3_SQL, op3_line_dedup
 from recordsmith.llm.minhash import op2_minhash_dedup
 from recordsmith.llm.quality import OP9_SQL, op9_quality_rules
 from recordsmith.llm.substrings import op8_substring_dedup
+from recordsmith.llm.token_counts import op6_token_counts
 from recordsmith.llm.toxicity import op10_toxicity
 
 
@@ -18,6 +19,7 @@ def queries() -> dict:
         "op2_minhash_dedup": op2_minhash_dedup,
         "op3_line_dedup": op3_line_dedup,
         "op4_chat_format": op4_chat_format,
+        "op6_token_counts": op6_token_counts,
         "op7_decontaminate": op7_decontaminate,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_rules": op9_quality_rules,
