@@ -6,6 +6,7 @@ from recordsmith.llm.bpe import op1_bpe_roundtrip
 from recordsmith.llm.chat_format import OP4_SQL, op4_chat_format
 from recordsmith.llm.decontaminate import op7_decontaminate
 from recordsmith.llm.lines import OP3_SQL, op3_line_dedup
+from recordsmith.llm.lm_score import op5_lm_score
 from recordsmith.llm.minhash import op2_minhash_dedup
 from recordsmith.llm.quality import OP9_SQL, op9_quality_rules
 from recordsmith.llm.substrings import op8_substring_dedup
@@ -19,6 +20,7 @@ def queries() -> dict:
         "op2_minhash_dedup": op2_minhash_dedup,
         "op3_line_dedup": op3_line_dedup,
         "op4_chat_format": op4_chat_format,
+        "op5_lm_score": op5_lm_score,
         "op6_token_counts": op6_token_counts,
         "op7_decontaminate": op7_decontaminate,
         "op8_substring_dedup": op8_substring_dedup,
