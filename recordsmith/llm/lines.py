@@ -11,7 +11,7 @@ on the words themselves.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordsmith.llm.common import read_table, stash, words_of
@@ -40,11 +40,27 @@ def _halves() -> Column:
         "xxhash64('first', h, slice(wh, 1, int(h))), xxhash64('last', h, slice(wh, int(n - h + 1), int(h)))))))")
 
 
-def _variants() -> Column:
-    """The whole line (position 0) and the line without its i-th word."""
-    return F.expr(
-        "transform(sequence(0, n), i -> struct(i AS pos,"
-        " CASE WHEN i = 0 THEN w ELSE concat(slice(w, 1, i - 1), slice(w, i + 1, n)) END AS v))")
+def _variants(texts: DataFrame) -> DataFrame:
+    """(f, pos, k1, k2): keys of every whole line (position 0) and of the line without its
+    i-th word, from running sums of word hashes, so a line makes one row a word.
+
+    A word counts by its hash with its place; behind a deleted word all places move by one.
+    """
+    def place(at: Column, salt: int) -> Column:
+        return F.expr("0L") + F.shiftrightunsigned(F.xxhash64("word", at, F.lit(salt)), 28)
+
+    words = texts.select(_loc().alias("f"), "n", F.posexplode("w").alias("at", "word"))
+    line = Window.partitionBy("f")
+    so_far = line.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keys, whole = [], []
+    for salt in (1, 2):
+        own, moved = place(F.col("at"), salt), place(F.col("at") - 1, salt)
+        keys.append((F.sum(own).over(so_far) - own) + (F.sum(moved).over(line) - F.sum(moved).over(so_far)))
+        whole.append(F.sum(own).alias(f"k{salt}"))
+    without = words.select("f", (F.col("at") + 1).alias("pos"), (F.col("n") - 1).alias("left"),
+                           *(k.alias(f"k{i}") for i, k in enumerate(keys, 1)))
+    full = words.groupBy("f", F.col("n").alias("left")).agg(*whole)
+    return without.unionByName(full.select("f", F.lit(0).alias("pos"), "left", "k1", "k2"))
 
 
 def _within_one_edit(a: Column, b: Column) -> Column:
@@ -81,14 +97,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     texts = stash(_joined(docs, suspects)
                   .select("id", "rid", F.split("text", "\n").alias("s"), F.explode("numbers").alias("line"))
                   .select(*LOC, words_of(F.expr("s[line]")).alias("w")).withColumn("n", F.size("w")), "suspects")
-    variants = (texts.select(_loc().alias("f"), F.explode(_variants()).alias("x"))
-                     .select("f", F.col("x.pos").alias("pos"), *_key(F.col("x.v"))))
-    same = variants.groupBy("k1", "k2", "pos").agg(F.min("f").alias("same"))
-    each = same.groupBy("k1", "k2").agg(
+    variants = _variants(texts)
+    key = ["k1", "k2", "left"]
+    same = variants.groupBy(*key, "pos").agg(F.min("f").alias("same"))
+    each = same.groupBy(*key).agg(
         F.min("same").alias("any"), F.min(F.when(F.col("pos") == 0, F.col("same"))).alias("whole"))
     partner = F.when(F.col("pos") == 0, F.col("any")).otherwise(
         F.when(F.col("whole") < F.col("same"), F.col("whole")).otherwise(F.col("same")))
-    near = (variants.join(same, ["k1", "k2", "pos"]).join(each, ["k1", "k2"])
+    near = (variants.join(same, [*key, "pos"]).join(each, key)
                     .select("f", partner.alias("partner")).where(F.col("partner") < F.col("f"))
                     .groupBy("f").agg(F.min("partner").alias("partner")))
     words = texts.select(_loc().alias("f"), "w")
