@@ -36,4 +36,4 @@ def sample(seed: Column, idx: Column, field: str, values: list[str], k: Column)
     """``k`` distinct picks -- the list ordered by a per-item hash, first ``k`` kept."""
     arr = F.array(*[F.lit(v) for v in values])
     keyed = F.transform(arr, lambda x: F.concat(F.md5(_key(seed, idx, field, x)), x))
-    return F.transform(F.slice(F.array_sort(keyed), 1, k), lambda s: F.substring(s, 33, 1 << 20))
+    return F.transform(F.slice(F.array_sort(keyed), 1, k), lambda s: F.substr(s, F.lit(33)))

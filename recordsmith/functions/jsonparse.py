@@ -13,11 +13,6 @@ from pyspark.sql import Column, functions as F
 from recordsmith.functions import sqltext as Q
 from recordsmith.functions.text import brace_span, json_string, py_strip
 
-# Fixed value: marker appended after the text so a parse that stops early
-# (Spark's parser accepts and drops trailing text) can be told apart from a
-# parse that consumed the whole input.
-SENTINEL = "#e7b1#"
-
 # Default bound on nesting depth for canonical/flatten. The plan (and the
 # optimizer's work on it) is linear in this number. The extraction schema
 # nests four levels (record.medications[0].name); subtrees below the bound are
@@ -38,11 +33,11 @@ def strict_parse(text: Column | str) -> Column:
     """
     if isinstance(text, str):
         return F.expr(Q.strict_parse(Q.quote(text)))
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{SENTINEL}"]')))
+    mark = F.md5(text)                   # a text cannot contain its own digest
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
     arr = wrapped.try_cast(_ARR_T)
     ok = ((F.size(arr) == 2)
-          & (F.to_json(F.get(arr, 1)) == F.lit(f'"{SENTINEL}"'))
-          & ~F.instr(text, SENTINEL).cast("boolean"))
+          & (F.get(arr, 1).try_cast("string") == mark))
     value = F.get(arr, 0)
     return F.when(ok & ~F.is_variant_null(value), value)
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import itertools
 
-SENTINEL = "#e7b1#"
 MAP_T = "map<string,variant>"
 ARR_T = "array<variant>"
 
@@ -44,10 +43,11 @@ def let(expr: str, body) -> str:
 
 def strict_parse(t: str) -> str:
     def check(tv: str) -> str:
-        arr = f"try_cast(try_parse_json(concat('[', {tv}, {lit(',\"' + SENTINEL + '\"]')})) AS {ARR_T})"
+        # The marker is the text's own digest, which the text cannot contain.
+        arr = f"try_cast(try_parse_json(concat('[', {tv}, ',\"', md5({tv}), '\"]')) AS {ARR_T})"
         return let(arr, lambda a: (
-            f"CASE WHEN size({a}) = 2 AND try_variant_get({a}[1], '$', 'string') = {lit(SENTINEL)} "
-            f"AND instr({tv}, {lit(SENTINEL)}) = 0 AND NOT is_variant_null({a}[0]) THEN {a}[0] END"))
+            f"CASE WHEN size({a}) = 2 AND try_variant_get({a}[1], '$', 'string') = md5({tv}) "
+            f"AND NOT is_variant_null({a}[0]) THEN {a}[0] END"))
     return let(t, check)
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from recordsmith.functions import jsonparse as J
 from recordsmith.functions import scoring as S
-from recordsmith.operators.parallel import ensure_parallelism
 
 
 def join_predictions(predictions: DataFrame, examples: DataFrame, on: str = "id") -> DataFrame:
@@ -36,7 +35,6 @@ def score_predictions(df: DataFrame, raw_col: str = "raw_output", target_col: st
     than once. Everything stays row-local: no explode, no shuffle.
     """
     k = [F.col(c) for c in keep]
-    df = ensure_parallelism(df, *keep)
     # Targets are JSON written by a JSON writer: a plain parse, failing loudly
     # on corrupt input. Predictions go through the two-attempt strict parse.
     # A target given as VARIANT (and its leaves) is used as is: when several

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from recordsmith.functions import jsonparse as J
 from recordsmith.functions import scoring as S
 from recordsmith.operators.synth import REFUSAL_REASON
+from recordsmith.ship import shipped
 
 # Fixed value: the synthetic note layout, one group per record field.
 NOTE_PATTERN = (r"^ED/Clinic note :: Pt (.+?), (\d+) y/o (\S+)\. Seen on (\S+) for (.+?)\. "
@@ -96,7 +97,7 @@ def batch_extract(df: DataFrame, text_col: str = "input_text", hint_col: str = "
             out["raw_output"] = gen(pdf.rename(columns={text_col: "text", hint_col: "schema_hint"})).astype(str)
             yield out
 
-    raw = df.select(id_col, text_col, hint_col).mapInPandas(run, f"{id_col} string, raw_output string")
+    raw = shipped(df.select(id_col, text_col, hint_col)).mapInPandas(run, f"{id_col} string, raw_output string")
     parsed = raw.select(id_col, "raw_output", J.extract_json_block("raw_output").alias("_p"))
     return parsed.select(id_col, J.canonical_json("_p").alias("structured_json"),
                          S.confidence(F.col("_p")).alias("confidence"), "raw_output")

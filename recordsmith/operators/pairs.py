@@ -137,13 +137,15 @@ def parse_verdicts(texts: DataFrame, on_error: str = "fail") -> tuple[DataFrame,
 
     parsed = v.select("id", "output_text", "_braces", as_int(ci).alias("chosen_index"),
                       as_int(ri).alias("rejected_index"),
-                      F.when(J.kind(rs) == "string", rs.try_cast("string")).alias("reason"))
+                      F.when(J.kind(rs) == "string", rs.try_cast("string"))
+                      .otherwise(J.canonical_json(rs)).alias("reason"))
     ok = (F.col("_braces") & F.col("chosen_index").isNotNull() & F.col("rejected_index").isNotNull()
           & F.col("reason").isNotNull())
     if on_error == "fail":
-        good = parsed.select("id", F.when(ok, F.col("chosen_index")).otherwise(
-            F.raise_error(F.concat(F.lit("bad judge verdict for id "), F.col("id"))).cast("int")).alias("chosen_index"),
-            "rejected_index", "reason")
+        # As a filter: column pruning cannot take the check away.
+        good = parsed.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(
+            F.concat(F.lit("bad judge verdict for id "), F.col("id"))).cast("boolean")))
+        good = good.select("id", "chosen_index", "rejected_index", "reason")
         return good, parsed.where(F.lit(False)).select("id", "output_text")
     return (parsed.where(ok).select("id", "chosen_index", "rejected_index", "reason"),
             parsed.where(~ok).select("id", "output_text"))
@@ -161,10 +163,14 @@ def preference_pairs(rows: DataFrame, verdicts: DataFrame, strict: bool = True,
     """``id, prompt, chosen, rejected, label_reason`` (+ same_choice flag).
 
     ``rows`` carry input_text, schema_hint and candidates; the prompt has no
-    system text. Chosen = rejected is kept and flagged, as the reference does
+    system text. A row without a verdict fails the run (strict) or keeps null texts.
+    Chosen = rejected is kept and flagged, as the reference does
     not guard against it.
     """
-    j = rows.join(verdicts, "id", "inner")
+    j = rows.join(verdicts, "id", "left")
+    if strict:
+        j = j.where(F.when(F.col("chosen_index").isNotNull(), F.lit(True)).otherwise(F.raise_error(
+            F.concat(F.lit("no judge verdict for id "), F.col("id"))).cast("boolean")))
     return j.select(
         "id",
         user_prompt(F.col("input_text"), F.col("schema_hint")).alias("prompt"),

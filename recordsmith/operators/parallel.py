@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 
 
 def ensure_parallelism(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread rows over at least ``defaultParallelism`` partitions.
+    """Spread the rows of a table scan over at least ``defaultParallelism`` partitions.
+
+    For scans only: counting the partitions of a scan runs no job, while a plan with a
+    shuffle would be executed to count them.
 
     Parsing and flattening cost CPU per row, not I/O. A large input already
     arrives in thousands of splits and is left untouched; a small one (a

@@ -14,7 +14,8 @@ count), and:
 
 The result equals the plain window exactly; ties in step keep input order
 irrelevant because min is order-insensitive within equal steps only when
-steps are unique per run -- steps are assumed unique within a run.
+steps are unique per run -- steps are assumed unique within a run. Rows without
+a run form a run of their own; rows without a step come first in their run.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def running_min(df: DataFrame, run_col: str, step_col: str, metric_col: str,
     if not stats["n"]:
         return df.withColumn(out_col, F.lit(None).cast("double"))
     n_chunks = max(1, math.ceil(stats["n"] / max(1, rows_per_chunk)))
-    lo, hi = float(stats["lo"]), float(stats["hi"])
+    lo, hi = float(stats["lo"] or 0), float(stats["hi"] or 0)
     width = max((hi - lo + 1.0) / n_chunks, 1.0)
     chunked = df.withColumn("_chunk", F.floor((F.col(step_col).cast("double") - F.lit(lo)) / F.lit(width)).cast("bigint"))
 
@@ -43,7 +44,9 @@ def running_min(df: DataFrame, run_col: str, step_col: str, metric_col: str,
     before = Window.partitionBy(run_col).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = chunk_min.select(run_col, "_chunk", F.min("_cmin").over(before).alias("_carry"))
 
-    return (local.join(carry, [run_col, "_chunk"], "left")
+    carry = carry.withColumnsRenamed({run_col: "_run", "_chunk": "_c"})
+    same = local[run_col].eqNullSafe(carry["_run"]) & local["_chunk"].eqNullSafe(carry["_c"])
+    return (local.join(carry, same, "left")
             .withColumn(out_col, F.when(F.col("_carry").isNull(), F.col("_local"))
                         .otherwise(F.least(F.col("_local"), F.col("_carry"))))
-            .drop("_chunk", "_local", "_carry"))
+            .drop("_chunk", "_local", "_carry", "_run", "_c"))

@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # At most this many buckets, so the offsets table broadcast stays < ~40 MB.
 MAX_BUCKETS = 1 << 20
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
+# Most buckets of a numeric key, cut at its approximate quantiles.
+QUANTILES = 1024
 
 
 def _bucket_count(n: int, rows_per_bucket: int) -> int:
@@ -69,18 +71,26 @@ def rank_by_hash(df: DataFrame, hash_col: str, tie_col: str, n: int | None = Non
     return exact_rank(df, [hash_col, tie_col], md5_bucket(F.col(hash_col), nb), nb, rank_col)
 
 
-def rank_by_key(df: DataFrame, key_col: str, n: int | None = None,
-                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, rank_col: str = "rank") -> DataFrame:
-    """Rank by a numeric key (the row's ordinal in file order, an order key...)."""
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.min(key_col).alias("lo"), F.max(key_col).alias("hi")).first()
-    n = stats["n"] if n is None else n
+def rank_by_key(df: DataFrame, key_col: str, tie_cols: list[str] | None = None,
+                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, rank_col: str = "rank") -> tuple[DataFrame, int]:
+    """Rank by a numeric key (the row's ordinal in file order, an order key...), then by
+    ``tie_cols``; rows without a key come first. Returns the frame and its row count.
+
+    Buckets are cut at quantiles of the key, so an outlying key does not empty the others.
+    """
+    probes = [k / QUANTILES for k in range(1, QUANTILES)]
+    stats = df.agg(F.count(F.lit(1)).alias("n"),
+                   F.percentile_approx(F.col(key_col).cast("double"), probes, 10_000).alias("cuts")).first()
+    n = stats["n"]
     if not n:
-        return df.withColumn(rank_col, F.lit(None).cast("bigint"))
-    nb = _bucket_count(n, rows_per_bucket)
-    lo, hi = float(stats["lo"]), float(stats["hi"])
-    width = (hi - lo + 1.0) / nb
-    bucket = F.least(F.lit(nb - 1), F.floor((F.col(key_col).cast("double") - F.lit(lo)) / F.lit(width))).cast("bigint")
-    return exact_rank(df, [key_col], bucket, nb, rank_col)
+        return df.withColumn(rank_col, F.lit(None).cast("bigint")), 0
+    nb = min(QUANTILES, _bucket_count(n, rows_per_bucket))
+    cuts = sorted({stats["cuts"][k * QUANTILES // nb - 1] for k in range(1, nb)}) if stats["cuts"] else []
+    bucket = F.lit(0).cast("bigint")
+    if cuts:
+        above = F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(key_col).cast("double"))
+        bucket = F.when(F.col(key_col).isNull(), F.lit(0)).otherwise(F.size(above)).cast("bigint")
+    return exact_rank(df, [key_col, *(tie_cols or [])], bucket, len(cuts) + 1, rank_col), n
 
 
 def split_bounds(n: int, ratios: list[float]) -> list[int]:
@@ -117,8 +127,8 @@ def exact_split(df: DataFrame, hash_col: str = "shuffle_key", tie_col: str = "id
 def pair_split(df: DataFrame, ordinal_col: str = "ordinal", train_ratio: float = 0.8,
                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """First ``int(n*train_ratio)`` rows by input ordinal are train, the rest val."""
-    ranked = rank_by_key(df, ordinal_col, rows_per_bucket=rows_per_bucket, rank_col="_pos")
-    n = df.count()
+    ties = ["id"] if "id" in df.columns and ordinal_col != "id" else None
+    ranked, n = rank_by_key(df, ordinal_col, ties, rows_per_bucket, "_pos")
     return ranked.withColumn("split", assign_split(F.col("_pos"), n, ["train", "val"], [train_ratio])).drop("_pos")
 
 

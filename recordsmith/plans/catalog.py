@@ -52,8 +52,7 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = ensure_parallelism(order_corpus(spark, sf_dir), "id")
-    return c.select("id", "raw_output", J.extract_json_block("raw_output").alias("pred"))
+    return order_corpus(spark, sf_dir).select("id", "raw_output", J.extract_json_block("raw_output").alias("pred"))
 
 
 # ------------------------------------------------------------ 1. evaluation
@@ -388,9 +387,8 @@ def batch_extract(spark, sf_dir):
 def stream_extract(spark, sf_dir):
     """Events.props arriving as files, parsed and scored by a stream."""
     from recordsmith.streaming.extract_stream import run_extract_stream
-    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-    out = run_extract_stream(spark, sf_dir.rstrip("/"), schema, "event_id", "props",
-                             glob_filter="events.parquet")
+    schema = table(spark, sf_dir, "events").schema
+    out = run_extract_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", schema, "event_id", "props")
     return out.select("event_id", "structured_json", "confidence")
 
 

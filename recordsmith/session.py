@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,6 +39,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="recordsmith-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
         spark.sparkContext.setCheckpointDir(configured)
@@ -48,16 +49,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "recordsmith", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     builder = (builder
                .config("spark.ui.enabled", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", os.environ.get("RECORDSMITH_DRIVER_MEMORY", "16g"))
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in RUNTIME_CONFS.items():
         builder = builder.config(key, value)
     for key, value in (extra or {}).items():

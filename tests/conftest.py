@@ -14,7 +14,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     ckpt = tempfile.mkdtemp(prefix="recordsmith-test-ckpt-")
-    s = build_session("local[4]", shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt})
+    s = build_session("local[4]", shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "8g"})
     yield s
     s.stop()
 
