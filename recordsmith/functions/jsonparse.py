@@ -13,13 +13,6 @@ from pyspark.sql import Column, functions as F
 from recordsmith.functions import sqltext as Q
 from recordsmith.functions.text import brace_span, json_string, py_strip
 
-# Default bound on nesting depth for canonical/flatten. The plan (and the
-# optimizer's work on it) is linear in this number. The extraction schema
-# nests four levels (record.medications[0].name); subtrees below the bound are
-# kept whole: flatten emits them as one item with their JSON text, canonical
-# prints them with Spark's JSON writer.
-MAX_DEPTH = 6
-
 _MAP_T = "map<string,variant>"
 _ARR_T = "array<variant>"
 
@@ -83,79 +76,83 @@ def leaf_literal(v: Column) -> Column:
     return F.when(integral_decimal, F.concat(js, F.lit(".0"))).otherwise(js)
 
 
-def _node(path: Column, value: Column) -> Column:
-    return F.struct(path.alias("path"), value.alias("v"))
-
+def _levels(v: Column) -> Column:
+    """At least as many rounds as ``v`` nests levels: one for each opening bracket, and one."""
+    text = F.to_json(v)
+    return F.sequence(F.lit(0), F.length(text) - F.length(F.translate(text, "[{", "")))
 
-def _typed(e: Column) -> Column:
-    """Attach the object/array views of a node once, so each cast runs once."""
-    return F.struct(e["path"].alias("path"), e["v"].alias("v"),
-                    as_object(e["v"]).alias("m"), as_array(e["v"]).alias("a"))
 
-
-def _expand(e: Column) -> Column:
-    """One level of expansion: a container's children, ``[e]`` for a leaf."""
-    p = e["path"]
-    from_obj = F.transform(
-        F.map_entries(e["m"]),
-        lambda en: _node(F.when(p == "", en["key"]).otherwise(F.concat(p, F.lit("."), en["key"])),
-                         en["value"]))
-    from_arr = F.transform(
-        e["a"], lambda x, i: _node(F.concat(p, F.lit("["), i.cast("string"), F.lit("]")), x))
-    leaf = F.array(_node(p, e["v"]))
-    return F.when(e["m"].isNotNull(), from_obj).when(e["a"].isNotNull(), from_arr).otherwise(leaf)
+def _node(path: Column, value: Column) -> Column:
+    return F.struct(path.alias("path"), value.alias("v"))
 
 
-def flatten_leaves(v: Column | str, max_depth: int = MAX_DEPTH) -> Column:
+def flatten_leaves(v: Column | str) -> Column:
     """C3 as a column: ``array<struct<path, literal>>`` of the leaves of ``v``.
 
-    Paths are ``a.b[0].c`` and literals are ``json.dumps`` text, as the
-    reference's flatten. Empty containers yield nothing; a scalar root has
-    path ''. NULL input gives NULL. The expansion is a fixed chain of
-    ``transform`` steps, one per nesting level, each referencing the previous
-    step once, so the plan stays linear in ``max_depth`` and row-local.
-    A container still present after ``max_depth`` levels is one item whose
-    literal is its JSON text.
+    Paths are ``a.b[0].c`` and literals are ``json.dumps`` text, as the reference's
+    flatten, at any depth: a fold expands the containers that are left, one level a
+    round. Empty containers yield nothing; a scalar root has path ''. NULL input gives
+    NULL. A column name builds the expression from SQL text in one call.
     """
     if isinstance(v, str):
-        return F.expr(Q.flatten_leaves(Q.quote(v), max_depth))
-    nodes = F.array(_node(F.lit(""), v))
-    for _ in range(max_depth):
-        nodes = F.flatten(F.transform(F.transform(nodes, _typed), _expand))
-    return F.when(v.isNotNull(), F.transform(
-        nodes, lambda e: F.struct(e["path"].alias("path"), leaf_literal(e["v"]).alias("literal"))))
+        return F.expr(Q.flatten_leaves(Q.quote(v)))
+
+    def children(e: Column) -> Column:
+        p = e["path"]
+        members = F.transform(F.map_entries(e["m"]), lambda en: _node(
+            F.when(p == "", en["key"]).otherwise(F.concat(p, F.lit("."), en["key"])), en["value"]))
+        items = F.transform(e["a"], lambda x, i: _node(
+            F.concat(p, F.lit("["), i.cast("string"), F.lit("]")), x))
+        return F.when(e["m"].isNotNull(), members).otherwise(items)
+
+    def level(s: Column, _) -> Column:
+        typed = F.transform(s["todo"], lambda e: F.struct(
+            e["path"].alias("path"), e["v"].alias("v"), as_object(e["v"]).alias("m"), as_array(e["v"]).alias("a")))
+        ended = F.transform(F.filter(typed, lambda e: e["m"].isNull() & e["a"].isNull()), lambda e: F.struct(
+            e["path"].alias("path"), leaf_literal(e["v"]).alias("literal")))
+        more = F.flatten(F.transform(F.filter(typed, lambda e: e["m"].isNotNull() | e["a"].isNotNull()), children))
+        return F.when(F.size(s["todo"]) == 0, s).otherwise(
+            F.struct(F.concat(s["done"], ended).alias("done"), more.alias("todo")))
+
+    none = F.filter(F.array(F.struct(F.lit("").alias("path"), F.lit("").alias("literal"))), lambda x: F.lit(False))
+    start = F.struct(none.alias("done"), F.array(_node(F.lit(""), v)).alias("todo"))
+    return F.when(v.isNotNull(), F.aggregate(_levels(v), start, level, lambda s: s["done"]))
+
+
+def canonical_json(v: Column | str) -> Column:
+    """``json.dumps(v, sort_keys=True, separators=(',', ':'))``, at any depth.
+
+    VARIANT objects already keep keys sorted; the tree is re-printed so integral
+    decimals keep Python's ``.0``: a fold rewrites pieces (a text and perhaps a value
+    behind it) until no value is left. Non-ASCII text stays UTF-8 (Python would escape
+    it; equality between canonical forms is unaffected).
+    """
+    if isinstance(v, str):
+        return F.expr(Q.canonical_json(Q.quote(v)))
 
+    def piece(text: Column, value: Column | None = None) -> Column:
+        return F.struct(text.alias("t"), (F.lit(None).cast("variant") if value is None else value).alias("v"))
 
-def canonical_json(v: Column | str, max_depth: int = MAX_DEPTH) -> Column:
-    """``json.dumps(v, sort_keys=True, separators=(',', ':'))``.
+    def expand(p: Column) -> Column:
+        m, a = as_object(p["v"]), as_array(p["v"])
+        members = F.transform(F.map_entries(m), lambda en, i: piece(F.concat(
+            F.when(i == 0, F.concat(p["t"], F.lit("{"))).otherwise(","), json_string(en["key"]), F.lit(":")), en["value"]))
+        items = F.transform(a, lambda x, i: piece(F.when(i == 0, F.concat(p["t"], F.lit("["))).otherwise(","), x))
 
-    VARIANT objects already keep keys sorted; the tree is re-printed bottom-up
-    so integral decimals keep Python's ``.0``. Non-ASCII text stays UTF-8
-    (Python would escape it; equality between canonical forms is unaffected).
-    """
-    if isinstance(v, str):
-        return F.expr(Q.canonical_json(Q.quote(v), max_depth))
-    def render(node: Column, depth: int) -> Column:
-        m = as_object(node)
-        a = as_array(node)
-        if depth == 0:
-            return leaf_literal(node)
-        # Object members and array elements share one shape, (prefix, value),
-        # so each level recurses once and the plan stays linear in depth.
-        entries = (F.when(m.isNotNull(), F.transform(
-                       F.map_entries(m),
-                       lambda en: F.struct(F.concat(json_string(en["key"]), F.lit(":")).alias("pre"),
-                                           en["value"].alias("v"))))
-                   .when(a.isNotNull(), F.transform(
-                       a, lambda x: F.struct(F.lit("").alias("pre"), x.alias("v")))))
-        body = F.array_join(F.transform(entries, lambda e: F.concat(e["pre"], render(e["v"], depth - 1))), ",")
-        is_obj = m.isNotNull()
-        wrapped = F.concat(F.when(is_obj, F.lit("{")).otherwise(F.lit("[")), body,
-                           F.when(is_obj, F.lit("}")).otherwise(F.lit("]")))
-        # ``body`` is NULL for a leaf (no entries), so coalesce picks the literal.
-        return F.coalesce(wrapped, leaf_literal(node))
-
-    return F.when(v.isNotNull(), render(v, max_depth))
+        def closed(entries, size, opening, closing):
+            return F.concat(entries, F.array(piece(
+                F.when(size == 0, F.concat(p["t"], F.lit(opening + closing))).otherwise(closing))))
+
+        return (F.when(p["v"].isNull(), F.array(p)).when(m.isNotNull(), closed(members, F.size(m), "{", "}"))
+                .when(a.isNotNull(), closed(items, F.size(a), "[", "]"))
+                .otherwise(F.array(piece(F.concat(p["t"], leaf_literal(p["v"]))))))
+
+    def level(s: Column, _) -> Column:
+        return F.when(F.exists(s, lambda p: p["v"].isNotNull()), F.flatten(F.transform(s, expand))).otherwise(s)
+
+    return F.when(v.isNotNull(), F.aggregate(
+        _levels(v), F.array(piece(F.lit(""), v)), level,
+        lambda s: F.array_join(F.transform(s, lambda p: p["t"]), "")))
 
 
 def get_field(v: Column, key: str) -> Column:

@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from recordsmith.functions import sqltext as Q
-from recordsmith.functions.jsonparse import MAX_DEPTH
 
 
 def definitions(prefix: str = "rs_") -> dict[str, str]:
@@ -15,9 +14,9 @@ def definitions(prefix: str = "rs_") -> dict[str, str]:
         f"{prefix}py_strip": f"(s STRING) RETURNS STRING RETURN {Q.py_strip('s')}",
         f"{prefix}strict_parse": f"(t STRING) RETURNS VARIANT RETURN {Q.strict_parse('t')}",
         f"{prefix}extract_json_block": f"(raw STRING) RETURNS VARIANT RETURN {Q.extract_json_block('raw')}",
-        f"{prefix}canonical_json": f"(v VARIANT) RETURNS STRING RETURN {Q.canonical_json('v', MAX_DEPTH)}",
+        f"{prefix}canonical_json": f"(v VARIANT) RETURNS STRING RETURN {Q.canonical_json('v')}",
         f"{prefix}flatten_json": ("(v VARIANT) RETURNS ARRAY<STRUCT<path: STRING, literal: STRING>> RETURN "
-                                  f"{Q.flatten_leaves('v', MAX_DEPTH)}"),
+                                  f"{Q.flatten_leaves('v')}"),
         f"{prefix}refusal_correct": f"(p VARIANT, t VARIANT) RETURNS BOOLEAN RETURN {Q.refusal_correct('p', 't')}",
         f"{prefix}confidence": f"(p VARIANT) RETURNS DOUBLE RETURN {Q.confidence('p')}",
     }

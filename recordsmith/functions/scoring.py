@@ -11,7 +11,7 @@ from pyspark.sql import Column, functions as F
 
 from recordsmith.functions import sqltext as Q
 
-from recordsmith.functions.jsonparse import (MAX_DEPTH, as_array, as_object, canonical_json,
+from recordsmith.functions.jsonparse import (as_array, as_object, canonical_json,
                                              flatten_leaves, get_field, is_false, kind,
                                              py_equal_scalar)
 
@@ -46,10 +46,10 @@ def f1_from_counts(tp: Column, n_pred: Column, n_target: Column, pred_missing: C
             .otherwise(F.lit(2.0) * precision * recall / (precision + recall)))
 
 
-def field_f1(pred: Column, target: Column, max_depth: int = MAX_DEPTH) -> Column:
+def field_f1(pred: Column, target: Column) -> Column:
     """C4: field-level F1 over flattened ``(path, literal)`` items of two VARIANTs."""
-    p_items = item_set(F.coalesce(flatten_leaves(pred, max_depth), F.array()))
-    t_items = item_set(F.coalesce(flatten_leaves(target, max_depth), F.array()))
+    p_items = item_set(F.coalesce(flatten_leaves(pred), F.array()))
+    t_items = item_set(F.coalesce(flatten_leaves(target), F.array()))
     tp = F.size(F.array_intersect(p_items, t_items))
     return f1_from_counts(tp, F.size(p_items), F.size(t_items), pred.isNull())
 

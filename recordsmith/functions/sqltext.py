@@ -2,7 +2,7 @@
 
 The same expressions as ``jsonparse`` but written as Spark SQL text: one
 py4j call builds the whole tree on the JVM side instead of one call per
-node, which matters for the depth-unrolled flatten and canonical chains.
+node, which matters for the long flatten and canonical expressions.
 Inputs are SQL expressions (usually a quoted column name).
 """
 
@@ -66,55 +66,67 @@ def json_string(x: str) -> str:
     return f"substring(to_json(array({x})), 2, length(to_json(array({x}))) - 2)"
 
 
-def flatten_leaves(v: str, depth: int) -> str:
-    """Leaves as ``array<struct<path, literal>>``; the state carries finished
-    leaves (``done``) apart from containers still to expand (``todo``), so a
-    level with nothing left to expand costs almost nothing."""
-    state = (f"named_struct('done', filter(array(named_struct('path', '', 'v', {v})), z -> false), "
+def levels(v: str) -> str:
+    """At least as many rounds as ``v`` nests levels: one for each opening bracket, and one."""
+    return let(f"to_json({v})", lambda j: f"sequence(0, length({j}) - length(translate({j}, '[{{', '')))")
+
+
+def _typed(x: str) -> str:
+    return f"'m', try_cast({x} AS {MAP_T}), 'a', try_cast({x} AS {ARR_T})"
+
+
+def flatten_leaves(v: str) -> str:
+    """Leaves as ``array<struct<path, literal>>``, at any depth.
+
+    The state of the fold carries finished leaves (``done``) apart from containers still
+    to expand (``todo``); a round with nothing left to expand costs almost nothing.
+    """
+    start = (f"named_struct('done', filter(array(named_struct('path', '', 'literal', '')), z -> false), "
              f"'todo', array(named_struct('path', '', 'v', {v})))")
-    for d in range(depth):
-        e, en, x, i = f"e{d}", f"en{d}", f"x{d}", f"i{d}"
-        typed = (f"transform({{s}}.todo, {e} -> named_struct('path', {e}.path, 'v', {e}.v, "
-                 f"'m', try_cast({e}.v AS {MAP_T}), 'a', try_cast({e}.v AS {ARR_T})))")
-        expand = (f"{e} -> CASE WHEN {e}.m IS NOT NULL THEN transform(map_entries({e}.m), {en} -> named_struct("
-                  f"'path', CASE WHEN {e}.path = '' THEN {en}.key ELSE concat({e}.path, '.', {en}.key) END, "
-                  f"'v', {en}.value)) "
-                  f"ELSE transform({e}.a, ({x}, {i}) -> named_struct("
-                  f"'path', concat({e}.path, '[', cast({i} AS string), ']'), 'v', {x})) END")
-
-        def step(sv: str, typed=typed, expand=expand, e=e) -> str:
-            def split(tv: str) -> str:
-                return (f"named_struct('done', concat({sv}.done, transform(filter({tv}, {e} -> {e}.m IS NULL AND "
-                        f"{e}.a IS NULL), {e} -> named_struct('path', {e}.path, 'v', {e}.v))), "
-                        f"'todo', flatten(transform(filter({tv}, {e} -> {e}.m IS NOT NULL OR {e}.a IS NOT NULL), "
-                        f"{expand})))")
-            return f"CASE WHEN size({sv}.todo) = 0 THEN {sv} ELSE {let(typed.replace('{s}', sv), split)} END"
-        state = let(state, step)
-    # Containers still unexpanded after ``depth`` levels are kept whole.
-    final = let(state, lambda sv: f"concat({sv}.done, {sv}.todo)")
-    return (f"CASE WHEN {v} IS NOT NULL THEN transform({final}, lf -> named_struct('path', lf.path, "
-            f"'literal', {leaf_literal('lf.v')})) END")
-
-
-def canonical_json(v: str, depth: int) -> str:
-    def render(node: str, d: int) -> str:
-        if d == 0:
-            return leaf_literal(node)
-        en, x, e = f"cen{d}", f"cx{d}", f"ce{d}"
-
-        def body(t: str) -> str:
-            m, a = f"{t}.m", f"{t}.a"
-            entries = (f"CASE WHEN {m} IS NOT NULL THEN transform(map_entries({m}), {en} -> named_struct("
-                       f"'pre', concat({json_string(en + '.key')}, ':'), 'v', {en}.value)) "
-                       f"WHEN {a} IS NOT NULL THEN transform({a}, {x} -> named_struct('pre', '', 'v', {x})) END")
-            joined = f"array_join(transform({entries}, {e} -> concat({e}.pre, {render(e + '.v', d - 1)})), ',')"
-            wrapped = (f"concat(CASE WHEN {m} IS NOT NULL THEN '{{' ELSE '[' END, {joined}, "
-                       f"CASE WHEN {m} IS NOT NULL THEN '}}' ELSE ']' END)")
-            return f"coalesce({wrapped}, {leaf_literal(t + '.n')})"
-        typed = (f"named_struct('n', {node}, 'm', try_cast({node} AS {MAP_T}), "
-                 f"'a', try_cast({node} AS {ARR_T}))")
-        return let(typed, body)
-    return f"CASE WHEN {v} IS NOT NULL THEN {render(v, depth)} END"
+    typed = f"transform(s.todo, e -> named_struct('path', e.path, 'v', e.v, {_typed('e.v')}))"
+    expand = ("e -> CASE WHEN e.m IS NOT NULL THEN transform(map_entries(e.m), en -> named_struct("
+              "'path', CASE WHEN e.path = '' THEN en.key ELSE concat(e.path, '.', en.key) END, 'v', en.value)) "
+              "ELSE transform(e.a, (x, i) -> named_struct("
+              "'path', concat(e.path, '[', cast(i AS string), ']'), 'v', x)) END")
+
+    def split(t: str) -> str:
+        return (f"named_struct('done', concat(s.done, transform(filter({t}, e -> e.m IS NULL AND e.a IS NULL), "
+                f"e -> named_struct('path', e.path, 'literal', {leaf_literal('e.v')}))), "
+                f"'todo', flatten(transform(filter({t}, e -> e.m IS NOT NULL OR e.a IS NOT NULL), {expand})))")
+
+    fold = (f"aggregate({levels(v)}, {start}, (s, r) -> CASE WHEN size(s.todo) = 0 THEN s "
+            f"ELSE {let(typed, split)} END, s -> s.done)")
+    return f"CASE WHEN {v} IS NOT NULL THEN {fold} END"
+
+
+def canonical_json(v: str) -> str:
+    """Sorted keys, no spaces, at any depth.
+
+    The fold rewrites a list of pieces, each a text and perhaps a value that follows it,
+    until no piece holds a value.
+    """
+    start = f"array(named_struct('t', '', 'v', {v}))"
+
+    def body(e: str) -> str:
+        pair = (f"transform(map_entries({e}.m), (en, i) -> named_struct('t', concat(CASE WHEN i = 0 "
+                f"THEN concat({e}.t, '{{') ELSE ',' END, {json_string('en.key')}, ':'), 'v', en.value))")
+        item = (f"transform({e}.a, (x, i) -> named_struct('t', CASE WHEN i = 0 THEN concat({e}.t, '[') "
+                f"ELSE ',' END, 'v', x))")
+
+        def closed(entries: str, size: str, opening: str, closing: str) -> str:
+            return (f"concat({entries}, array(named_struct('t', CASE WHEN {size} = 0 THEN concat({e}.t, '{opening}{closing}') "
+                    f"ELSE '{closing}' END, 'v', CAST(NULL AS variant))))")
+
+        return (f"CASE WHEN {e}.m IS NOT NULL THEN {closed(pair, f'size({e}.m)', '{', '}')} "
+                f"WHEN {e}.a IS NOT NULL THEN {closed(item, f'size({e}.a)', '[', ']')} "
+                f"ELSE array(named_struct('t', concat({e}.t, {leaf_literal(e + '.v')}), 'v', CAST(NULL AS variant))) END")
+
+    expand = (f"p -> CASE WHEN p.v IS NULL THEN array(p) ELSE "
+              f"{let('named_struct(' + chr(39) + 't' + chr(39) + ', p.t, ' + chr(39) + 'v' + chr(39) + ', p.v, ' + _typed('p.v') + ')', body)} END")
+    fold = (f"aggregate({levels(v)}, {start}, (s, r) -> CASE WHEN exists(s, p -> p.v IS NOT NULL) "
+            f"THEN flatten(transform(s, {expand})) ELSE s END, "
+            f"s -> array_join(transform(s, p -> p.t), ''))")
+    return f"CASE WHEN {v} IS NOT NULL THEN {fold} END"
 
 
 def quote(name: str) -> str:
@@ -133,7 +145,7 @@ def get_field(x: str, key: str) -> str:
     return f"try_variant_get({x}, {lit('$.' + key)}, 'variant')"
 
 
-def py_equal(a: str, b: str, depth: int = 6) -> str:
+def py_equal(a: str, b: str) -> str:
     """Python ``==`` of two JSON values (SQL NULL = missing = None)."""
     def body(t: str) -> str:
         def none(side: str) -> str:
@@ -147,7 +159,7 @@ def py_equal(a: str, b: str, depth: int = 6) -> str:
                 f"WHEN {t}.ka IN {numeric} AND {t}.kb IN {numeric} THEN {num('a')} = {num('b')} "
                 f"WHEN {t}.ka = 'string' AND {t}.kb = 'string' THEN try_cast({t}.a AS string) = try_cast({t}.b AS string) "
                 f"WHEN {t}.ka = {t}.kb AND {t}.ka IN ('object', 'array') "
-                f"THEN {canonical_json(t + '.a', depth)} = {canonical_json(t + '.b', depth)} "
+                f"THEN {canonical_json(t + '.a')} = {canonical_json(t + '.b')} "
                 f"ELSE false END")
     return let(f"named_struct('a', {a}, 'b', {b}, 'ka', {kind(a)}, 'kb', {kind(b)})", body)
 

@@ -8,7 +8,7 @@ from recordsmith.functions import jsonparse as J
 from recordsmith.functions import scoring as S
 
 
-def flatten_json(df: DataFrame, id_col: str, json_col: str, max_depth: int = J.MAX_DEPTH) -> DataFrame:
+def flatten_json(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """Leaves of a VARIANT column as a long table.
 
     Row-local: the leaves are built inside each row, deduplicated per path
@@ -16,7 +16,7 @@ def flatten_json(df: DataFrame, id_col: str, json_col: str, max_depth: int = J.M
     needed. An unparsable (NULL) or empty document yields no rows, like the
     empty dict of the reference.
     """
-    leaves = df.select(F.col(id_col), J.flatten_leaves(json_col, max_depth).alias("_l"))
+    leaves = df.select(F.col(id_col), J.flatten_leaves(json_col).alias("_l"))
     items = leaves.select(F.col(id_col), S.item_set(F.col("_l")).alias("_i"))
     # ``inline_outer`` + a filter on the generated column: a plain ``inline``
     # makes the optimizer infer ``size(_i) > 0`` and push that predicate below
