@@ -1,4 +1,4 @@
-"""recordsmith: Spark-native data work around structured JSON extraction.
+"""recordsmith: Spark-native data work around extraction records and training corpora.
 
 Layers:
   functions/  Column -> Column expressions (parse, canonicalize, flatten, score, render)
