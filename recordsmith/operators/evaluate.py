@@ -17,10 +17,15 @@ from recordsmith.functions import scoring as S
 def join_predictions(predictions: DataFrame, examples: DataFrame, on: str = "id") -> DataFrame:
     """Predictions (id, raw_output) with their examples (id, target...).
 
-    Inner join on the example id, shuffled on the id hash; AQE switches to a
-    broadcast when one side turns out small and splits skewed partitions.
+    Left join on the example id, shuffled on the id hash; AQE switches to a broadcast when
+    one side turns out small and splits skewed partitions. A prediction without an example
+    fails the run: scored rows must not get lost. The check is a filter, so column pruning
+    cannot take it away.
     """
-    return predictions.join(examples, on=on, how="inner")
+    known = examples.withColumn("_known", F.lit(True))
+    joined = predictions.join(known, on=on, how="left")
+    return joined.where(F.when(F.col("_known"), F.lit(True)).otherwise(F.raise_error(
+        F.concat(F.lit("no example for prediction "), F.col(on).cast("string"))).cast("boolean"))).drop("_known")
 
 
 def score_predictions(df: DataFrame, raw_col: str = "raw_output", target_col: str = "target_text",

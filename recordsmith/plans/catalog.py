@@ -20,8 +20,9 @@ from recordsmith import schemas as SCH
 from recordsmith.operators import split as SP
 from recordsmith.operators import synth as SY
 from recordsmith.operators.evaluate import eval_report as _eval_report
-from recordsmith.operators.evaluate import score_predictions
+from recordsmith.operators.evaluate import join_predictions, score_predictions
 from recordsmith.operators.flatten import flatten_json as _flatten_json
+from recordsmith.operators.jsonsafe import json_safe
 from recordsmith.operators.parallel import ensure_parallelism
 from recordsmith.session import configure
 from recordsmith.sources.corpus import order_candidates, order_corpus, order_source
@@ -64,6 +65,27 @@ def eval_report(spark, sf_dir):
     return _eval_report(_scored(spark, sf_dir))
 
 
+@register
+def eval_report_joined(spark, sf_dir):
+    """The same report with predictions and examples as tables of their own."""
+    corpus = order_corpus(spark, sf_dir)
+    joined = join_predictions(corpus.select("id", "raw_output"), corpus.select("id", "target_text"))
+    return _eval_report(score_predictions(joined, keep=("id",)))
+
+
+@register
+def json_safe_rows(spark, sf_dir):
+    """Orders and their lines as JSON text, dates and timestamps in ISO form."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    lines = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
+        "l_linenumber", "l_shipdate", F.to_date("l_shipdate").alias("ship_day")))).alias("lines")))
+    both = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    safe = json_safe(both.select("o_orderkey", "o_orderdate", "lines"))
+    shown = F.array_join(F.transform("lines", lambda x: F.concat_ws(
+        " ", x["l_linenumber"].cast("string"), x["l_shipdate"], x["ship_day"])), ",")
+    return safe.select("o_orderkey", "o_orderdate", F.coalesce(shown, F.lit("")).alias("lines"))
+
+
 @register
 def prediction_detail(spark, sf_dir):
     """Per-row parsed output, target and the four scores."""
@@ -388,7 +410,8 @@ def stream_extract(spark, sf_dir):
     """Events.props arriving as files, parsed and scored by a stream."""
     from recordsmith.streaming.extract_stream import run_extract_stream
     schema = table(spark, sf_dir, "events").schema
-    out = run_extract_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", schema, "event_id", "props")
+    # As a glob, so that a table of one file and a folder of files are both taken whole.
+    out = run_extract_stream(spark, f"{sf_dir.rstrip('/')}/events.[p]arquet", schema, "event_id", "props")
     return out.select("event_id", "structured_json", "confidence")
 
 

@@ -80,3 +80,12 @@ def test_eval_report_files(spark, tmp_dir):
                        "field_level_f1": 2.0, "refusal_correctness": 3.0, "predictions": []}, fh, indent=2)
     rep = R.read_eval_reports(spark, [f"{tmp_dir}/baseline_eval.json", f"{tmp_dir}/sft_eval.json"])
     assert {r.stage: r.json_validity_rate for r in rep.collect()} == {"baseline_eval": 45.0, "sft_eval": 91.0}
+
+
+def test_stream_reads_a_table_of_several_files(spark, tmp_path):
+    from recordsmith.plans.catalog import queries
+    rows = spark.createDataFrame([(k, '{"k": %d}' % k) for k in range(30)], "event_id long, props string")
+    rows.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    out = queries()["stream_extract"](spark, str(tmp_path)).collect()
+    assert sorted(r["event_id"] for r in out) == list(range(30))
+    assert all(r["structured_json"] == '{"k":%d}' % r["event_id"] for r in out)
