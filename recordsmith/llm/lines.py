@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordsmith.llm.common import read_table, stash, words_of
+from recordsmith.llm.common import drop_stash, read_table, stash, words_of
 
 MIN_WORDS = 5        # shorter lines are never touched
 NEAR_WORDS = 8       # shorter lines are removed only for an equal line
@@ -87,8 +87,8 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         F.min(_loc()).alias("first"), F.count("*").alias("times"),
         F.first("halves").alias("halves")), "distinct")
     # Equal lines: every occurrence but the first.
-    equal = (keyed.join(distinct.where("times > 1").select("k1", "k2", "first"), ["k1", "k2"])
-                  .where(_loc() != F.col("first")).select(*LOC, F.lit(False).alias("near")))
+    equal = stash(keyed.join(distinct.where("times > 1").select("k1", "k2", "first"), ["k1", "k2"])
+                  .where(_loc() != F.col("first")).select(*LOC, F.lit(False).alias("near")), "equal")
     # Lines that share a half with another line, at the place of their first occurrence.
     half = distinct.select("first", F.explode("halves").alias("half"))
     shared = half.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half")
@@ -97,7 +97,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     texts = stash(_joined(docs, suspects)
                   .select("id", "rid", F.split("text", "\n").alias("s"), F.explode("numbers").alias("line"))
                   .select(*LOC, words_of(F.expr("s[line]")).alias("w")).withColumn("n", F.size("w")), "suspects")
-    variants = _variants(texts)
+    drop_stash(keyed)                    # nothing below reads them again
+    drop_stash(distinct)
+    variants = stash(_variants(texts), "variants")
     key = ["k1", "k2", "left"]
     same = variants.groupBy(*key, "pos").agg(F.min("f").alias("same"))
     each = same.groupBy(*key).agg(
