@@ -14,6 +14,7 @@ from recordsmith.llm.bpe import default_vocabulary, load_coder
 from recordsmith.llm.components import connected_components
 from recordsmith.llm.decontaminate import BenchmarkIndex, drop_leaks, leaks, word_hashes
 from recordsmith.llm.lines import OP3_SQL, line_dedup, op3_line_dedup
+from recordsmith.llm import lm_score
 from recordsmith.llm.lm_score import (END, IDS, STRIDE, WIDTH, Model, _Subwords, score_texts, text_log10, windows,
                                       words_in)
 from recordsmith.llm.minhash import near_duplicates
@@ -281,3 +282,33 @@ def test_lm_gradients():
             values.append(model.log_probs(w[0], w[2], w[1]).astype(float).sum())
         a[at] = old
         assert math.isclose((values[0] - values[1]) / 2e-2, grads[name][at], rel_tol=0.05)
+
+
+def test_lm_trains_on_a_small_table_of_many_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 8 << 10)
+    pairs = [(k, helpers.prose(k % 37, 40)) for k in range(120)] + [(k, "one text " * 9) for k in range(30)] + [(1, None)]
+    docs = helpers.docs(spark, pairs).select("text")
+    blocks = collections.Counter(r["block"] for r in lm_score.training_blocks(docs).collect())
+    assert sum(blocks.values()) == len(pairs) and max(blocks.values()) < 4 * min(blocks.values())
+    size = len(load_coder(*default_vocabulary()).table) + 1
+    rng = np.random.default_rng(5)
+    start = (np.arange(END), np.zeros(size), rng.integers(0, 9, (IDS, IDS)).astype(float))
+    got = [lm_score.trained(docs.repartition(n), Model(*start), default_vocabulary()) for n in (60, 1)]
+    for model in got:
+        assert np.abs(model.uo).max() > 0 and np.abs(model.ui).max() > 0
+    assert np.allclose(got[0].packed(), got[1].packed(), atol=1e-5)
+
+
+def test_lm_learns_from_every_token_and_no_padding():
+    rng = np.random.default_rng(6)
+    coder = load_coder(*default_vocabulary())
+    model = Model(np.arange(END), np.zeros(len(coder.table) + 1), rng.integers(0, 9, (IDS, IDS)).astype(float))
+    texts = [words_in(helpers.prose(k, 30 + k)) for k in range(3)]
+    learner = lm_score._Learner(model)
+    learner.learn(texts, _Subwords(coder))
+    assert learner.tokens == sum(len(b"".join(map(_Subwords(coder).__getitem__, t))) // 4 + 1 for t in texts)
+    assert np.abs(learner.model.ui).max() > 0
+    x = rng.integers(0, 40, 70)
+    grads = [model.log_probs(wx, wd, wy, learn=True)[1]["uo"] for wx, wy, wd in [
+        windows(x, np.append(x[1:], y), np.repeat([0, -2], [64, 6])) for y in (3, 900)]]
+    assert np.array_equal(*grads)
