@@ -312,3 +312,14 @@ def test_lm_learns_from_every_token_and_no_padding():
     grads = [model.log_probs(wx, wd, wy, learn=True)[1]["uo"] for wx, wy, wd in [
         windows(x, np.append(x[1:], y), np.repeat([0, -2], [64, 6])) for y in (3, 900)]]
     assert np.array_equal(*grads)
+
+
+def test_lm_rows_of_one_id_are_dealt_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 4 << 10)
+    same = helpers.prose(1, 60)
+    docs = helpers.docs(spark, [(None, same)] * 150 + [(3, same)] * 50 + [(k, helpers.prose(k, 60)) for k in range(9, 200)])
+    sizes = collections.Counter(r["block"] for r in lm_score.scoring_blocks(docs).select("block").collect())
+    assert sum(sizes.values()) == docs.count() and max(sizes.values()) <= 3 * docs.count() / len(sizes)
+    got = score_texts(docs, docs).collect()
+    scores = [r["score"] for r in got if r["doc_id"] in (None, 3)]
+    assert len(got) == docs.count() and len(scores) == 200 and max(scores) - min(scores) < 1e-3
