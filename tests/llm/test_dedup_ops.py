@@ -181,6 +181,34 @@ def test_leak_recall_at_the_edit_bound():
     assert sum((n, k) in found for n, k in enumerate(truth)) >= 0.95 * len(truth)
 
 
+def test_leak_recall_for_every_item_length():
+    for n in range(5, 61):
+        r = random.Random(n)
+        index = BenchmarkIndex([(k, " ".join(f"w{r.getrandbits(60)}" for _ in range(n))) for k in range(120)])
+        texts = []
+        for k in range(120):
+            h = index.items[k][1].tolist()
+            for _ in range(index.bound[k]):
+                at = r.randrange(len(h))
+                h[at:at + 1] = r.choice([[], [r.getrandbits(60) | 1], [h[at], r.getrandbits(60) | 1]])
+            around = [r.getrandbits(60) | 1 for _ in range(60)]
+            texts.append(np.array(around[:30] + h + around[30:], np.uint64))
+        found = {(t, k) for t, k, *_ in index.matches(texts)}
+        assert sum((k, k) in found for k in range(120)) >= 0.98 * 120, n
+
+
+def test_leak_edits_in_the_first_words():
+    for n in (5, 8, 16):
+        item = " ".join(f"w{k}" for k in range(n))
+        index = BenchmarkIndex([(1, item)])
+        for at in (0, 1):
+            for new in ([], ["other"]):
+                words = item.split()
+                words[at:at + 1] = new
+                found = index.matches([word_hashes("a b c " + " ".join(words) + " d e f")])
+                assert [m[:3] for m in found] == [(0, 0, 1)]
+
+
 def _cover(pairs):
     first, out = {}, {}
     for i, t in sorted(pairs, key=lambda p: p[0]):
