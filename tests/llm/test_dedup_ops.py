@@ -232,6 +232,27 @@ def test_substrings_against_brute_force(spark, monkeypatch):
         assert (row["n_bytes"], row["n_removed"], row["n_spans"], bytes(row["kept"])) == want[row["doc_id"]]
 
 
+def test_common_minimizers_form_no_group(spark, monkeypatch):
+    r = random.Random(10)
+    footer = helpers.prose(77, 30)
+    pairs = [(k, helpers.prose(3000 + k, 12) + (footer if k % 3 else r.choice(["", helpers.prose(k % 7, 20)])) + str(k))
+             for k in range(90)] + [(90, "a" * 200), (91, "b" + "a" * 300), (None, footer), (92, None)]
+    monkeypatch.setattr(substrings, "HOT_ROWS", 20)
+    monkeypatch.setattr(substrings, "SHARD_ROWS", 7)
+    asked, groups = [], []
+    each, largest = substrings.covered_windows, substrings.segments
+    monkeypatch.setattr(substrings, "covered_windows", lambda d, c: asked.append(len(c)) or each(d, c))
+    monkeypatch.setattr(substrings, "segments", lambda d, *c: groups.append(
+        largest(d, *c).groupBy("fp").count().agg({"count": "max"}).first()[0]) or largest(d, *c))
+    named = [(i if i is not None else -1, t) for i, t in pairs]
+    want = _cover(named)
+    got = substring_dedup(helpers.docs(spark, pairs)).collect()
+    assert len(got) == len(pairs) and asked[0] > 0 and groups[0] < 20
+    for row in got:
+        i = -1 if row["doc_id"] is None else row["doc_id"]
+        assert (row["n_bytes"], row["n_removed"], row["n_spans"], bytes(row["kept"])) == want[i]
+
+
 def test_shards_merge_to_the_same(monkeypatch):
     r = random.Random(9)
     pieces = [bytes(r.choice(b"ab\x00") for _ in range(r.randint(50, 90))) for _ in range(40)]
