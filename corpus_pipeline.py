@@ -49,16 +49,15 @@ def line_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one of the smallest id. Of rows
-    that repeat an id the smallest row stays; rows without an id all stay."""
-    kept = (near_duplicates(docs).where("kept").groupBy("doc_id").agg(F.count("*").alias("__n")))
-    once = docs.join(kept.where("__n = 1").select("doc_id"), "doc_id", "left_semi")
-    several = (docs.join(kept.where("__n > 1").select("doc_id"), "doc_id", "left_semi")
-                   .groupBy(F.col("doc_id").alias("__id"))
-                   .agg(F.min(F.struct(*[f"`{c}`" for c in docs.columns])).alias("r")).select("r.*"))
-    nameless = docs.where("doc_id IS NULL")
-    return (once.select(*[f"`{c}`" for c in docs.columns])
-                .unionByName(several).unionByName(nameless))
+    """One row of each group of near copies stays, the one of the smallest id (rows without
+    an id come last), of these the one of the smallest text. Rows that share an id but not
+    their text are judged apart."""
+    row = F.monotonically_increasing_id()                    # parts equal rows in the sort
+    order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_last(), "__at"]
+    keyed = _carried(docs).withColumn("__at", row).orderBy(*order).withColumn("__key", row).drop("__at")
+    keyed = stash(keyed, "keyed")                            # one number a row, for good
+    kept = near_duplicates(keyed, doc_id="__key").where("kept").select(F.col("doc_id").alias("__key"))
+    return keyed.join(kept, "__key", "left_semi").select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
 
 
 def decontamination_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

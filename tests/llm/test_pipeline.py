@@ -44,6 +44,18 @@ def test_stages(spark, tmp_path):
             assert bytes(r["ids"]) == coder.encode(texts[r["doc_id"]])
 
 
+def test_near_stage_keeps_one_row_of_each_group(spark):
+    near = [helpers.prose(k, 80) for k in (50, 51, 52, 53)]
+    pairs = [(None, near[0]), (None, near[0] + " more"), (None, near[1]), (4, near[1]), (7, near[2]), (7, near[3]),
+             (9, near[3]), (9, "other words than all of them here"), (None, None), (None, "")]
+    got = [tuple(r) for r in pipeline.near_stage(spark, helpers.docs(spark, pairs), "").collect()]
+    first = [g for g in got if g[0] is None and g[1] and g[1].startswith(near[0])]
+    assert len(first) == 1
+    assert sorted((g for g in got if g not in first), key=str) == sorted(
+        [(4, near[1]), (7, near[2]), (7, near[3]), (9, "other words than all of them here"), (None, None), (None, "")],
+        key=str)
+
+
 def test_empty(spark, tmp_path):
     sf = str(tmp_path)
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
