@@ -12,6 +12,7 @@ from recordsmith.llm.quality import OP9_SQL, op9_quality_rules
 from recordsmith.llm.substrings import op8_substring_dedup
 from recordsmith.llm.token_counts import op6_token_counts
 from recordsmith.llm.toxicity import op10_toxicity
+from recordsmith.llm.whitening import op13_embedding_whitening
 
 
 def queries() -> dict:
@@ -26,6 +27,7 @@ def queries() -> dict:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_toxicity": op10_toxicity,
+        "op13_embedding_whitening": op13_embedding_whitening,
     }
 
 
