@@ -53,24 +53,25 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str | None = None) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str | None = None,
+           most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into pieces of bounded rows and (by ``text``) bounded bytes."""
     for batch in batches:
         start = 0
         while start < batch.num_rows:
             rows = min(SLICE_ROWS, batch.num_rows - start)
             if text is not None:
-                while rows > 1 and batch.column(text).slice(start, rows).nbytes > SLICE_BYTES:
+                while rows > 1 and batch.column(text).slice(start, rows).nbytes > most:
                     rows //= 2
             yield batch.slice(start, rows)
             start += rows
 
 
 def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema,
-               text: str | None = None) -> DataFrame:
+               text: str | None = None, most: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` over bounded slices; the package travels to the workers."""
     def run(batches):
-        for piece in slices(batches, text):
+        for piece in slices(batches, text, most):
             out = fn(piece)
             if out is not None:
                 yield out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from recordsmith.llm.align import op11_token_alignment
 from recordsmith.llm.bpe import op1_bpe_roundtrip
 from recordsmith.llm.chat_format import OP4_SQL, op4_chat_format
 from recordsmith.llm.decontaminate import op7_decontaminate
@@ -27,6 +28,7 @@ def queries() -> dict:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_toxicity": op10_toxicity,
+        "op11_token_alignment": op11_token_alignment,
         "op13_embedding_whitening": op13_embedding_whitening,
     }
 
