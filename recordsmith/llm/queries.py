@@ -9,6 +9,7 @@ from recordsmith.llm.decontaminate import op7_decontaminate
 from recordsmith.llm.lines import OP3_SQL, op3_line_dedup
 from recordsmith.llm.lm_score import op5_lm_score
 from recordsmith.llm.minhash import op2_minhash_dedup
+from recordsmith.llm.pii import op12_pii_sanitise
 from recordsmith.llm.quality import OP9_SQL, op9_quality_rules
 from recordsmith.llm.substrings import op8_substring_dedup
 from recordsmith.llm.token_counts import op6_token_counts
@@ -29,6 +30,7 @@ def queries() -> dict:
         "op9_quality_rules": op9_quality_rules,
         "op10_toxicity": op10_toxicity,
         "op11_token_alignment": op11_token_alignment,
+        "op12_pii_sanitise": op12_pii_sanitise,
         "op13_embedding_whitening": op13_embedding_whitening,
     }
 
