@@ -232,25 +232,44 @@ def test_substrings_against_brute_force(spark, monkeypatch):
         assert (row["n_bytes"], row["n_removed"], row["n_spans"], bytes(row["kept"])) == want[row["doc_id"]]
 
 
-def test_common_minimizers_form_no_group(spark, monkeypatch):
+def test_large_minimizer_groups_are_split(spark, monkeypatch):
     r = random.Random(10)
     footer = helpers.prose(77, 30)
     pairs = [(k, helpers.prose(3000 + k, 12) + (footer if k % 3 else r.choice(["", helpers.prose(k % 7, 20)])) + str(k))
              for k in range(90)] + [(90, "a" * 200), (91, "b" + "a" * 300), (None, footer), (92, None)]
-    monkeypatch.setattr(substrings, "HOT_ROWS", 20)
-    monkeypatch.setattr(substrings, "SHARD_ROWS", 7)
-    asked, groups = [], []
-    each, largest = substrings.covered_windows, substrings.segments
-    monkeypatch.setattr(substrings, "covered_windows", lambda d, c: asked.append(len(c)) or each(d, c))
-    monkeypatch.setattr(substrings, "segments", lambda d, *c: groups.append(
-        largest(d, *c).groupBy("fp").count().agg({"count": "max"}).first()[0]) or largest(d, *c))
     named = [(i if i is not None else -1, t) for i, t in pairs]
     want = _cover(named)
-    got = substring_dedup(helpers.docs(spark, pairs)).collect()
-    assert len(got) == len(pairs) and asked[0] > 0 and groups[0] < 20
-    for row in got:
-        i = -1 if row["doc_id"] is None else row["doc_id"]
-        assert (row["n_bytes"], row["n_removed"], row["n_spans"], bytes(row["kept"])) == want[i]
+    largest, each = [], substrings.covered
+
+    def looked_at(pieces):
+        largest.append(pieces.groupBy("key").agg({"piece": "count"}).agg({"count(piece)": "max"}).first()[0])
+        largest.append(pieces.select("key", "piece").distinct().groupBy("key").count().agg({"count": "max"}).first()[0])
+        return each(pieces)
+
+    monkeypatch.setattr(substrings, "covered", looked_at)
+    for runs in (1000, 20, 0):                               # 0: every window is dealt by its own hash
+        monkeypatch.setattr(substrings, "GROUP_RUNS", runs)
+        # One slice a partition, as at scale: copies of a window in a slice are one row.
+        got = substring_dedup(helpers.docs(spark, pairs).coalesce(2)).collect()
+        assert len(got) == len(pairs)
+        for row in got:
+            i = -1 if row["doc_id"] is None else row["doc_id"]
+            assert (row["n_bytes"], row["n_removed"], row["n_spans"], bytes(row["kept"])) == want[i]
+    assert largest[1] > 40 and largest[3] <= 20 and largest[5] == 1
+
+
+def test_suffix_array_and_kasai(monkeypatch):
+    rng = np.random.default_rng(3)
+    for lanes, text in ((4096, b"banana"), (2, b"a" * 300), (7, b"ab" * 200 + b"b"), (3, bytes(rng.integers(0, 2, 500).astype(np.uint8))),
+                        (64, bytes(rng.integers(0, 256, 400).astype(np.uint8)) * 2), (5, b"\x00" * 90), (1, b"\xff" * 70 + b"\xfe" * 70)):
+        monkeypatch.setattr(substrings, "LANES", lanes)
+        b = np.frombuffer(text, np.uint8)
+        order = substrings.suffix_order(b)
+        want = sorted(range(len(text)), key=lambda k: text[k:])
+        assert order.tolist() == want
+        common = [0] + [next((n for n in range(50) if text[x + n:x + n + 1] != text[y + n:y + n + 1] or y + n >= len(text)
+                              or x + n >= len(text)), 50) for x, y in zip(want, want[1:])]
+        assert substrings.common_prefixes(b, order).tolist() == common
 
 
 def test_shards_merge_to_the_same(monkeypatch):
