@@ -1,7 +1,8 @@
 """JSON text -> VARIANT with Python ``json`` semantics, and VARIANT -> text.
 
 Covers C1 (extract_json_block), C2 (canonical_json), C3 (flatten, column
-form), X13 (dict.get), X15 (strict parse) and X19 (Python equality).
+form), X13 (dict.get), X15 (strict parse) and X18 (ASCII escapes). Columns other
+than plain names go through the SQL functions, whose bodies are the same SQL text.
 Everything is a Column expression, evaluated row-locally inside the JVM:
 no shuffle, no Python worker.
 """
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from recordsmith.functions import sqltext as Q
-from recordsmith.functions.text import brace_span, json_string, py_strip
+from recordsmith.functions.register import sql_function
 
 _MAP_T = "map<string,variant>"
 _ARR_T = "array<variant>"
@@ -26,22 +27,14 @@ def strict_parse(text: Column | str) -> Column:
     """
     if isinstance(text, str):
         return F.expr(Q.strict_parse(Q.quote(text)))
-    mark = F.md5(text)                   # a text cannot contain its own digest
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
-    arr = wrapped.try_cast(_ARR_T)
-    ok = ((F.size(arr) == 2)
-          & (F.get(arr, 1).try_cast("string") == mark))
-    value = F.get(arr, 0)
-    return F.when(ok & ~F.is_variant_null(value), value)
+    return sql_function("strict_parse", text)
 
 
 def extract_json_block(raw: Column | str) -> Column:
     """Strip; parse the whole text; else parse first-``{``-to-last-``}``."""
     if isinstance(raw, str):
         return F.expr(Q.extract_json_block(Q.quote(raw)))
-    text = py_strip(raw)
-    whole = F.when(F.length(text) > 0, strict_parse(text))
-    return F.coalesce(whole, strict_parse(brace_span(text)))
+    return sql_function("extract_json_block", raw)
 
 
 def as_object(v: Column) -> Column:
@@ -58,34 +51,13 @@ def kind(v: Column) -> Column:
     return (F.when(v.isNull(), F.lit(None).cast("string"))
             .when(s.startswith("OBJECT"), "object")
             .when(s.startswith("ARRAY"), "array")
+            .when((s == "STRING") & F.coalesce(v.try_cast("string").startswith(Q.NUMBER_MARK), F.lit(False)), "number")
             .when(s == "STRING", "string")
             .when(s == "BOOLEAN", "boolean")
             .when(s == "VOID", "null")
             .otherwise("number"))
 
 
-def leaf_literal(v: Column) -> Column:
-    """``json.dumps(leaf)`` for a scalar VARIANT.
-
-    VARIANT stores ``54.0`` as DECIMAL(2,0) and prints ``54``; Python prints
-    ``54.0``. Integral decimals therefore get their ``.0`` back. (Integers
-    beyond 64 bits are also DECIMAL(p,0) and would wrongly get it.)
-    """
-    js = F.to_json(v)
-    integral_decimal = F.schema_of_variant(v).rlike(r"^DECIMAL\(\d+,0\)$")
-    return F.when(integral_decimal, F.concat(js, F.lit(".0"))).otherwise(js)
-
-
-def _levels(v: Column) -> Column:
-    """At least as many rounds as ``v`` nests levels: one for each opening bracket, and one."""
-    text = F.to_json(v)
-    return F.sequence(F.lit(0), F.length(text) - F.length(F.translate(text, "[{", "")))
-
-
-def _node(path: Column, value: Column) -> Column:
-    return F.struct(path.alias("path"), value.alias("v"))
-
-
 def flatten_leaves(v: Column | str) -> Column:
     """C3 as a column: ``array<struct<path, literal>>`` of the leaves of ``v``.
 
@@ -94,65 +66,32 @@ def flatten_leaves(v: Column | str) -> Column:
     round. Empty containers yield nothing; a scalar root has path ''. NULL input gives
     NULL. A column name builds the expression from SQL text in one call.
     """
-    if isinstance(v, str):
-        return F.expr(Q.flatten_leaves(Q.quote(v)))
-
-    def children(e: Column) -> Column:
-        p = e["path"]
-        members = F.transform(F.map_entries(e["m"]), lambda en: _node(
-            F.when(p == "", en["key"]).otherwise(F.concat(p, F.lit("."), en["key"])), en["value"]))
-        items = F.transform(e["a"], lambda x, i: _node(
-            F.concat(p, F.lit("["), i.cast("string"), F.lit("]")), x))
-        return F.when(e["m"].isNotNull(), members).otherwise(items)
-
-    def level(s: Column, _) -> Column:
-        typed = F.transform(s["todo"], lambda e: F.struct(
-            e["path"].alias("path"), e["v"].alias("v"), as_object(e["v"]).alias("m"), as_array(e["v"]).alias("a")))
-        ended = F.transform(F.filter(typed, lambda e: e["m"].isNull() & e["a"].isNull()), lambda e: F.struct(
-            e["path"].alias("path"), leaf_literal(e["v"]).alias("literal")))
-        more = F.flatten(F.transform(F.filter(typed, lambda e: e["m"].isNotNull() | e["a"].isNotNull()), children))
-        return F.when(F.size(s["todo"]) == 0, s).otherwise(
-            F.struct(F.concat(s["done"], ended).alias("done"), more.alias("todo")))
-
-    none = F.filter(F.array(F.struct(F.lit("").alias("path"), F.lit("").alias("literal"))), lambda x: F.lit(False))
-    start = F.struct(none.alias("done"), F.array(_node(F.lit(""), v)).alias("todo"))
-    return F.when(v.isNotNull(), F.aggregate(_levels(v), start, level, lambda s: s["done"]))
+    return F.expr(Q.flatten_leaves(Q.quote(v))) if isinstance(v, str) else sql_function("flatten_json", v)
+
+
+def flatten_nodes(v: str) -> Column:
+    """All nodes of a column's documents, see ``sqltext.flatten_nodes``."""
+    return F.expr(Q.flatten_nodes(Q.quote(v)))
 
 
 def canonical_json(v: Column | str) -> Column:
     """``json.dumps(v, sort_keys=True, separators=(',', ':'))``, at any depth.
 
-    VARIANT objects already keep keys sorted; the tree is re-printed so integral
-    decimals keep Python's ``.0``: a fold rewrites pieces (a text and perhaps a value
-    behind it) until no value is left. Non-ASCII text stays UTF-8 (Python would escape
-    it; equality between canonical forms is unaffected).
+    VARIANT objects already keep keys sorted; the tree is re-printed so that numbers keep
+    Python's kind and form. Non-ASCII text stays UTF-8; ``ascii_escape`` gives Python's
+    escapes. A column name builds the expression from SQL text in one call.
     """
-    if isinstance(v, str):
-        return F.expr(Q.canonical_json(Q.quote(v)))
-
-    def piece(text: Column, value: Column | None = None) -> Column:
-        return F.struct(text.alias("t"), (F.lit(None).cast("variant") if value is None else value).alias("v"))
-
-    def expand(p: Column) -> Column:
-        m, a = as_object(p["v"]), as_array(p["v"])
-        members = F.transform(F.map_entries(m), lambda en, i: piece(F.concat(
-            F.when(i == 0, F.concat(p["t"], F.lit("{"))).otherwise(","), json_string(en["key"]), F.lit(":")), en["value"]))
-        items = F.transform(a, lambda x, i: piece(F.when(i == 0, F.concat(p["t"], F.lit("["))).otherwise(","), x))
+    return F.expr(Q.canonical_json(Q.quote(v))) if isinstance(v, str) else sql_function("canonical_json", v)
 
-        def closed(entries, size, opening, closing):
-            return F.concat(entries, F.array(piece(
-                F.when(size == 0, F.concat(p["t"], F.lit(opening + closing))).otherwise(closing))))
 
-        return (F.when(p["v"].isNull(), F.array(p)).when(m.isNotNull(), closed(members, F.size(m), "{", "}"))
-                .when(a.isNotNull(), closed(items, F.size(a), "[", "]"))
-                .otherwise(F.array(piece(F.concat(p["t"], leaf_literal(p["v"]))))))
+def ascii_escape(text: Column | str) -> Column:
+    """A JSON text with all but printable ASCII as ``\\uXXXX``, as ``ensure_ascii``."""
+    return F.expr(Q.ascii_escape(Q.quote(text))) if isinstance(text, str) else sql_function("ascii_escape", text)
 
-    def level(s: Column, _) -> Column:
-        return F.when(F.exists(s, lambda p: p["v"].isNotNull()), F.flatten(F.transform(s, expand))).otherwise(s)
 
-    return F.when(v.isNotNull(), F.aggregate(
-        _levels(v), F.array(piece(F.lit(""), v)), level,
-        lambda s: F.array_join(F.transform(s, lambda p: p["t"]), "")))
+def parse_target(text: str) -> Column:
+    """A target's JSON text (a column name) as VARIANT; fails on invalid text."""
+    return F.expr(Q.parse_target(Q.quote(text)))
 
 
 def get_field(v: Column, key: str) -> Column:
@@ -167,23 +106,3 @@ def get_field(v: Column, key: str) -> Column:
 def is_false(v: Column) -> Column:
     """Python ``x is False``: BOOLEAN false only (``0`` is not ``False``)."""
     return F.coalesce((F.schema_of_variant(v) == "BOOLEAN") & ~v.try_cast("boolean"), F.lit(False))
-
-
-def py_equal_scalar(a: Column, b: Column) -> Column:
-    """Python ``==`` between two JSON values given as VARIANT (SQL NULL = missing = None).
-
-    bool and numbers compare numerically (``True == 1``), strings by value,
-    None only equals None, containers by canonical text.
-    """
-    ka, kb = kind(a), kind(b)
-    a_none = a.isNull() | (ka == "null")
-    b_none = b.isNull() | (kb == "null")
-    numeric = F.array(F.lit("number"), F.lit("boolean"))
-    num_a = F.when(ka == "boolean", a.try_cast("boolean").cast("double")).otherwise(a.try_cast("double"))
-    num_b = F.when(kb == "boolean", b.try_cast("boolean").cast("double")).otherwise(b.try_cast("double"))
-    return (F.when(a_none | b_none, a_none & b_none)
-            .when(F.array_contains(numeric, ka) & F.array_contains(numeric, kb), num_a == num_b)
-            .when((ka == "string") & (kb == "string"), a.try_cast("string") == b.try_cast("string"))
-            .when((ka == kb) & F.array_contains(F.array(F.lit("object"), F.lit("array")), ka),
-                  canonical_json(a) == canonical_json(b))
-            .otherwise(F.lit(False)))

@@ -4,7 +4,7 @@ bodies are the same SQL text the DataFrame API uses."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession, functions as F
 
 from recordsmith.functions import sqltext as Q
 
@@ -18,6 +18,7 @@ def definitions(prefix: str = "rs_") -> dict[str, str]:
         f"{prefix}flatten_json": ("(v VARIANT) RETURNS ARRAY<STRUCT<path: STRING, literal: STRING>> RETURN "
                                   f"{Q.flatten_leaves('v')}"),
         f"{prefix}refusal_correct": f"(p VARIANT, t VARIANT) RETURNS BOOLEAN RETURN {Q.refusal_correct('p', 't')}",
+        f"{prefix}ascii_escape": f"(j STRING) RETURNS STRING RETURN {Q.ascii_escape('j')}",
         f"{prefix}confidence": f"(p VARIANT) RETURNS DOUBLE RETURN {Q.confidence('p')}",
     }
 
@@ -28,3 +29,13 @@ def register_functions(spark: SparkSession, prefix: str = "rs_") -> list[str]:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{body}")
         names.append(name)
     return names
+
+
+def sql_function(name: str, *args: Column) -> Column:
+    """A call of one of the functions on columns of any kind, registered in the active session
+    where it is not yet."""
+    spark = SparkSession.active()
+    if not getattr(spark, "_rs_registered", False):
+        register_functions(spark)
+        spark._rs_registered = True
+    return F.call_function(f"rs_{name}", *args)

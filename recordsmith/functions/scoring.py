@@ -12,8 +12,8 @@ from pyspark.sql import Column, functions as F
 from recordsmith.functions import sqltext as Q
 
 from recordsmith.functions.jsonparse import (as_array, as_object, canonical_json,
-                                             flatten_leaves, get_field, is_false, kind,
-                                             py_equal_scalar)
+                                             flatten_leaves, get_field, is_false, kind)
+from recordsmith.functions.register import sql_function
 
 # Fixed values of the confidence heuristic.
 CONF_REFUSAL = 0.92
@@ -29,8 +29,9 @@ def item_set(leaves: Column) -> Column:
     Paths are unique unless a key contains ``.`` or ``[``; the sort that
     resolves a collision only runs on rows that have one.
     """
-    ordered = F.array_sort(leaves)
-    dedup = F.filter(ordered, lambda x, i: (i == 0) | (F.get(ordered, i - 1)["path"] != x["path"]))
+    # The sorted leaves are bound once, so that the lambda does not sort them again.
+    dedup = F.element_at(F.transform(F.array(F.array_sort(leaves)), lambda s: F.filter(
+        s, lambda x, i: (i == 0) | (F.get(s, i - 1)["path"] != x["path"]))), 1)
     unique = F.size(F.array_distinct(F.transform(leaves, lambda x: x["path"]))) == F.size(leaves)
     return F.when(unique, leaves).otherwise(dedup)
 
@@ -68,8 +69,7 @@ def refusal_correct(pred: Column | str, target: Column | str) -> Column:
     """
     if isinstance(pred, str) and isinstance(target, str):
         return F.expr(Q.refusal_correct(Q.quote(pred), Q.quote(target)))
-    return (F.when(pred.isNull() | (kind(pred) != "object"), F.lit(False))
-            .otherwise(py_equal_scalar(get_field(pred, "can_extract"), get_field(target, "can_extract"))))
+    return sql_function("refusal_correct", pred, target)
 
 
 def is_populated(v: Column) -> Column:

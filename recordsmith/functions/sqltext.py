@@ -41,6 +41,89 @@ def let(expr: str, body) -> str:
     return f"element_at(transform(array({expr}), {name} -> {body(name)}), 1)"
 
 
+# Texts with a number that VARIANT holds in another kind than Python does: exponents, long
+# integers and fractions, negative zeros, small fractions; and the mark of kept literals.
+_UNUSUAL = r"[0-9][eE]|[0-9.]{17,}|-0|0\.0000|\\u0001"
+_JSON_TOKEN = r'"(?:[^"\\]++|\\.)*+"|[0-9-][0-9.eE+-]*+|[^"0-9-]++|"'
+_INTEGER = r"^-?(0|[1-9][0-9]*)$"
+_FRACTION = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+_HELD = r"^-?(0|[1-9][0-9]{0,15})\.[0-9]{1,20}$"
+#: Begins a string that stands for a number's literal. Strings of the text that hold this
+#: character get it twice, so the two cannot be mixed up.
+NUMBER_MARK = "\x01n"
+_MARK_JSON = r'"\u0001n'
+
+
+def py_float(x: str) -> str:
+    """``repr`` of a double: shortest digits, an exponent below 1e-4 and from 1e16 on."""
+    def digits(t: str) -> str:
+        # Digits and place of the point of Java's text, such as 1.25E-7.
+        point = f"(length(substring_index({t}.m, '.', 1)) + {t}.e)"
+        raw = f"concat(substring_index({t}.m, '.', 1), substring_index({t}.m, '.', -1))"
+        return let(f"named_struct('r', {raw}, 'p', {point})", lambda r: (
+            f"named_struct('d', rtrim('0', ltrim('0', {r}.r)), "
+            f"'p', {r}.p - (length({r}.r) - length(ltrim('0', {r}.r))))"))
+
+    def shorter(v: str) -> str:
+        # Java may print one digit too many: drop the last one if the value stays the same.
+        def text(d: str) -> str:
+            return f"concat('0.', {d}, 'e', {v}.p)"
+        cut = f"left({v}.d, length({v}.d) - 1)"
+        up = f"cast(cast({cut} AS decimal(20,0)) + 1 AS string)"
+        fits = {cut: f"cast({text(cut)} AS double) = {v}.x",
+                up: f"length({up}) = length({cut}) AND cast({text(up)} AS double) = {v}.x"}
+        rest = " ".join(f"WHEN {more}{fits[d]} THEN named_struct('d', {d}, 'p', {v}.p, 'x', {v}.x)" for more, d in (
+            (f"right({v}.d, 1) >= '5' AND ", up), ("", cut), ("", up)))        # the nearer one first
+        return f"CASE WHEN length({v}.d) < 2 THEN {v} {rest} ELSE {v} END"
+
+    def shown(v: str) -> str:
+        n = f"length({v}.d)"
+        exponent = (f"concat(left({v}.d, 1), CASE WHEN {n} > 1 THEN concat('.', substring({v}.d, 2)) ELSE '' END, "
+                    f"CASE WHEN {v}.p > 0 THEN 'e+' ELSE 'e-' END, "
+                    f"CASE WHEN abs({v}.p - 1) < 10 THEN '0' ELSE '' END, cast(abs({v}.p - 1) AS string))")
+        return (f"CASE WHEN {v}.d = '' THEN '0.0' WHEN {v}.p < -3 OR {v}.p > 16 THEN {exponent} "
+                f"WHEN {v}.p <= 0 THEN concat('0.', repeat('0', -{v}.p), {v}.d) "
+                f"WHEN {v}.p >= {n} THEN concat({v}.d, repeat('0', {v}.p - {n}), '.0') "
+                f"ELSE concat(left({v}.d, {v}.p), '.', substring({v}.d, {v}.p + 1)) END")
+
+    def whole(a: str) -> str:
+        java = f"cast(abs({a}) AS string)"
+        parts = let(java, lambda j: (f"named_struct('m', substring_index({j}, 'E', 1), 'e', "
+                                     f"CASE WHEN contains({j}, 'E') THEN cast(substring_index({j}, 'E', -1) AS int) ELSE 0 END)"))
+        found = let(parts, lambda t: let(digits(t), lambda d: f"named_struct('d', {d}.d, 'p', {d}.p, 'x', abs({a}))"))
+        text = let(found, lambda v: let(shorter(v), lambda w: let(shorter(w), shown)))
+        sign = f"CASE WHEN startswith(cast({a} AS string), '-') THEN '-' ELSE '' END"
+        return f"CASE WHEN abs({a}) = double('Infinity') THEN concat({sign}, 'Infinity') ELSE concat({sign}, {text}) END"
+
+    return let(x, whole)
+
+
+def keep_numbers(t: str) -> str:
+    """A JSON text whose numbers keep the kind and the literal that Python gives them: those
+    that VARIANT holds are written plainly, the others as marked strings. Numbers that are
+    no JSON stay as they are, so an invalid text stays invalid."""
+    def number(k: str) -> str:
+        literal = (f"CASE WHEN {k} RLIKE {lit(_INTEGER)} THEN CASE WHEN {k} = '-0' THEN '0' ELSE {k} END "
+                   f"ELSE {py_float(f'cast({k} AS double)')} END")
+        return let(literal, lambda n: (
+            f"CASE WHEN {n} RLIKE {lit(_INTEGER)} AND length({n}) < 19 OR {n} RLIKE {lit(_HELD)} AND {n} <> '-0.0' THEN {n} "
+            f"ELSE concat({lit(_MARK_JSON)}, {n}, '\"') END"))
+
+    doubled = f"regexp_replace(k, {lit(r'(?<!\\)((?:\\\\)*)\\u0001')}, {lit(r'$1\\u0001\\u0001')})"
+    return (f"array_join(transform(regexp_extract_all({t}, {lit(_JSON_TOKEN)}, 0), k -> CASE "
+            f"WHEN startswith(k, '\"') THEN {doubled} WHEN k RLIKE {lit(_FRACTION)} THEN {number('k')} ELSE k END), '')")
+
+
+def is_marked(x: str) -> str:
+    """Does a VARIANT stand for a kept number literal?"""
+    return f"coalesce(startswith(try_variant_get({x}, '$', 'string'), {lit(NUMBER_MARK)}), false)"
+
+
+def _unmarked(text: str) -> str:
+    """A string of the text as it was before ``keep_numbers``."""
+    return f"replace({text}, '\x01\x01', '\x01')"
+
+
 def strict_parse(t: str) -> str:
     def check(tv: str) -> str:
         # The marker is the text's own digest, which the text cannot contain.
@@ -48,7 +131,13 @@ def strict_parse(t: str) -> str:
         return let(arr, lambda a: (
             f"CASE WHEN size({a}) = 2 AND try_variant_get({a}[1], '$', 'string') = md5({tv}) "
             f"AND NOT is_variant_null({a}[0]) THEN {a}[0] END"))
-    return let(t, check)
+    kept = let(t, lambda tv: f"CASE WHEN {tv} RLIKE {lit(_UNUSUAL)} THEN {keep_numbers(tv)} ELSE {tv} END")
+    return let(kept, check)
+
+
+def parse_target(t: str) -> str:
+    """A target's JSON text as VARIANT, numbers kept; fails on a text that is not JSON."""
+    return let(t, lambda tv: f"CASE WHEN {tv} IS NOT NULL THEN coalesce({strict_parse(tv)}, parse_json({tv})) END")
 
 
 def extract_json_block(raw: str) -> str:
@@ -57,9 +146,13 @@ def extract_json_block(raw: str) -> str:
 
 
 def leaf_literal(x: str) -> str:
-    s = f"schema_of_variant({x})"
-    return (f"(CASE WHEN startswith({s}, 'DECIMAL(') AND endswith({s}, ',0)') "
-            f"THEN concat(to_json({x}), '.0') ELSE to_json({x}) END)")
+    """``json.dumps`` of a scalar VARIANT. Integral decimals (floats of the text) get their
+    ``.0`` back, kept literals stand for themselves."""
+    s, mark = f"schema_of_variant({x})", lit(_MARK_JSON)
+    return let(f"to_json({x})", lambda j: (
+        f"CASE WHEN startswith({s}, 'DECIMAL(') AND endswith({s}, ',0)') THEN concat({j}, '.0') "
+        f"WHEN startswith({j}, {mark}) THEN substring({j}, {len(_MARK_JSON) + 1}, length({j}) - {len(_MARK_JSON) + 1}) "
+        f"ELSE replace({j}, {lit(r'\u0001' * 2)}, {lit(r'\u0001')}) END"))
 
 
 def json_string(x: str) -> str:
@@ -67,8 +160,14 @@ def json_string(x: str) -> str:
 
 
 def levels(v: str) -> str:
-    """At least as many rounds as ``v`` nests levels: one for each opening bracket, and one."""
-    return let(f"to_json({v})", lambda j: f"sequence(0, length({j}) - length(translate({j}, '[{{', '')))")
+    """As many rounds as ``v`` nests levels, and one: the deepest running count of brackets
+    outside strings."""
+    quoted = lit(r'"(?:[^"\\]++|\\.)*+"|[^"\[\]{}]++')
+    brackets = f"split(translate(regexp_replace(to_json({v}), {quoted}, ''), '{{}}', '[]'), '')"
+    deepest = (f"aggregate({brackets}, named_struct('d', 0, 'm', 0), (s, c) -> CASE "
+               f"WHEN c = '[' THEN named_struct('d', s.d + 1, 'm', greatest(s.m, s.d + 1)) "
+               f"WHEN c = ']' THEN named_struct('d', s.d - 1, 'm', s.m) ELSE s END, s -> s.m)")
+    return f"sequence(0, {deepest})"
 
 
 def _typed(x: str) -> str:
@@ -85,7 +184,8 @@ def flatten_leaves(v: str) -> str:
              f"'todo', array(named_struct('path', '', 'v', {v})))")
     typed = f"transform(s.todo, e -> named_struct('path', e.path, 'v', e.v, {_typed('e.v')}))"
     expand = ("e -> CASE WHEN e.m IS NOT NULL THEN transform(map_entries(e.m), en -> named_struct("
-              "'path', CASE WHEN e.path = '' THEN en.key ELSE concat(e.path, '.', en.key) END, 'v', en.value)) "
+              f"'path', CASE WHEN e.path = '' THEN {_unmarked('en.key')} ELSE concat(e.path, '.', {_unmarked('en.key')}) END, "
+              "'v', en.value)) "
               "ELSE transform(e.a, (x, i) -> named_struct("
               "'path', concat(e.path, '[', cast(i AS string), ']'), 'v', x)) END")
 
@@ -99,6 +199,52 @@ def flatten_leaves(v: str) -> str:
     return f"CASE WHEN {v} IS NOT NULL THEN {fold} END"
 
 
+def flatten_nodes(v: str) -> str:
+    """All nodes, containers too, as ``array<struct<path, pattern, parent, kind>>``: the pattern
+    is the path with ``[]`` for every index, the parent the path of the container around it
+    (null for the root), the kind ``kind``'s, with integers told apart from other numbers."""
+    start = (f"named_struct('done', filter(array(named_struct('path', '', 'pattern', '', 'parent', CAST(NULL AS string), 'kind', CAST(NULL AS string))), z -> false), "
+             f"'todo', array(named_struct('path', '', 'pattern', '', 'parent', CAST(NULL AS string), 'v', {v})))")
+    typed = f"transform(s.todo, e -> named_struct('path', e.path, 'pattern', e.pattern, 'parent', e.parent, 'v', e.v, {_typed('e.v')}))"
+    key = _unmarked("en.key")
+    expand = (f"e -> CASE WHEN e.m IS NOT NULL THEN transform(map_entries(e.m), en -> named_struct("
+              f"'path', CASE WHEN e.path = '' THEN {key} ELSE concat(e.path, '.', {key}) END, "
+              f"'pattern', CASE WHEN e.pattern = '' THEN {key} ELSE concat(e.pattern, '.', {key}) END, "
+              f"'parent', e.path, 'v', en.value)) "
+              f"ELSE transform(e.a, (x, i) -> named_struct('path', concat(e.path, '[', cast(i AS string), ']'), "
+              f"'pattern', concat(e.pattern, '[]'), 'parent', e.path, 'v', x)) END")
+
+    def split(t: str) -> str:
+        kind_of = f"CASE WHEN {is_integer('e.v')} THEN 'integer' ELSE {kind('e.v')} END"
+        return (f"named_struct('done', concat(s.done, transform({t}, e -> named_struct('path', e.path, 'pattern', e.pattern, "
+                f"'parent', e.parent, 'kind', {kind_of}))), "
+                f"'todo', flatten(transform(filter({t}, e -> e.m IS NOT NULL OR e.a IS NOT NULL), {expand})))")
+
+    fold = (f"aggregate({levels(v)}, {start}, (s, r) -> CASE WHEN size(s.todo) = 0 THEN s "
+            f"ELSE {let(typed, split)} END, s -> s.done)")
+    return f"CASE WHEN {v} IS NOT NULL THEN {fold} END"
+
+
+def ascii_escape(j: str) -> str:
+    """A JSON text with every character outside printable ASCII as ``\\uXXXX`` in lower-case
+    hex (two of them, a surrogate pair, beyond the basic plane), as Python's ``ensure_ascii``
+    writes it."""
+    # An escape is taken whole, so that an escaped backslash before a u is not read as one.
+    token = lit(r"\\u[0-9A-Fa-f]{4}|\\.|[\x00-\x5B\x5D-\x7E]++|[^\x00-\x7E]")
+
+    def unit(code: str) -> str:
+        return f"concat({lit(chr(92) + 'u')}, lower(lpad(hex({code}), 4, '0')))"
+
+    def escaped(c: str) -> str:
+        return (f"CASE WHEN {c} < 65536 THEN {unit(c)} ELSE concat({unit(f'55296 + shiftright({c} - 65536, 10)')}, "
+                f"{unit(f'56320 + (({c} - 65536) & 1023)')}) END")
+    whole = (f", {token}, 0), k -> CASE "
+             f"WHEN k RLIKE {lit(r'^\\u')} THEN concat('{chr(92)}{chr(92)}u', lower(substring(k, 3))) "
+             f"WHEN k RLIKE {lit(r'^[^\x00-\x7E]')} THEN {let('ascii(k)', escaped)} ELSE k END), '')")
+    return let(j, lambda t: f"CASE WHEN {t} RLIKE {lit(r'[^\x00-\x7E]|\\u')} "
+                          f"THEN array_join(transform(regexp_extract_all({t}{whole} ELSE {t} END")
+
+
 def canonical_json(v: str) -> str:
     """Sorted keys, no spaces, at any depth.
 
@@ -109,7 +255,7 @@ def canonical_json(v: str) -> str:
 
     def body(e: str) -> str:
         pair = (f"transform(map_entries({e}.m), (en, i) -> named_struct('t', concat(CASE WHEN i = 0 "
-                f"THEN concat({e}.t, '{{') ELSE ',' END, {json_string('en.key')}, ':'), 'v', en.value))")
+                f"THEN concat({e}.t, '{{') ELSE ',' END, {json_string(_unmarked('en.key'))}, ':'), 'v', en.value))")
         item = (f"transform({e}.a, (x, i) -> named_struct('t', CASE WHEN i = 0 THEN concat({e}.t, '[') "
                 f"ELSE ',' END, 'v', x))")
 
@@ -123,8 +269,7 @@ def canonical_json(v: str) -> str:
 
     expand = (f"p -> CASE WHEN p.v IS NULL THEN array(p) ELSE "
               f"{let('named_struct(' + chr(39) + 't' + chr(39) + ', p.t, ' + chr(39) + 'v' + chr(39) + ', p.v, ' + _typed('p.v') + ')', body)} END")
-    fold = (f"aggregate({levels(v)}, {start}, (s, r) -> CASE WHEN exists(s, p -> p.v IS NOT NULL) "
-            f"THEN flatten(transform(s, {expand})) ELSE s END, "
+    fold = (f"aggregate({levels(v)}, {start}, (s, r) -> flatten(transform(s, {expand})), "
             f"s -> array_join(transform(s, p -> p.t), ''))")
     return f"CASE WHEN {v} IS NOT NULL THEN {fold} END"
 
@@ -137,10 +282,17 @@ def kind(x: str) -> str:
     """'object' | 'array' | 'string' | 'number' | 'boolean' | 'null'; NULL for SQL NULL."""
     return let(f"schema_of_variant({x})", lambda s: (
         f"CASE WHEN {s} IS NULL THEN NULL WHEN startswith({s}, 'OBJECT') THEN 'object' "
-        f"WHEN startswith({s}, 'ARRAY') THEN 'array' WHEN {s} = 'STRING' THEN 'string' "
+        f"WHEN startswith({s}, 'ARRAY') THEN 'array' WHEN {s} = 'STRING' THEN "
+        f"CASE WHEN {is_marked(x)} THEN 'number' ELSE 'string' END "
         f"WHEN {s} = 'BOOLEAN' THEN 'boolean' WHEN {s} = 'VOID' THEN 'null' ELSE 'number' END"))
 
 
+def is_integer(x: str) -> str:
+    """A JSON number without fraction or exponent, of any size."""
+    return (f"(schema_of_variant({x}) IN ('BIGINT', 'INT', 'SMALLINT', 'TINYINT') "
+            f"OR coalesce(try_variant_get({x}, '$', 'string') RLIKE '^\x01n-?[0-9]+$', false))")
+
+
 def get_field(x: str, key: str) -> str:
     return f"try_variant_get({x}, {lit('$.' + key)}, 'variant')"
 
@@ -153,6 +305,7 @@ def py_equal(a: str, b: str) -> str:
 
         def num(side: str) -> str:
             return (f"CASE WHEN {t}.k{side} = 'boolean' THEN CAST(try_cast({t}.{side} AS boolean) AS double) "
+                    f"WHEN {is_marked(f'{t}.{side}')} THEN cast(substring(try_cast({t}.{side} AS string), 3) AS double) "
                     f"ELSE try_cast({t}.{side} AS double) END")
         numeric = "('number', 'boolean')"
         return (f"CASE WHEN {none('a')} OR {none('b')} THEN {none('a')} AND {none('b')} "
@@ -178,7 +331,7 @@ def schema_conformance(v: str, fields: dict[str, str]) -> str:
         for key, want in fields.items():
             val = get_field(f"{t}.rec", key)
             if want == "integer":
-                checks.append(f"schema_of_variant({val}) IN ('BIGINT', 'INT', 'SMALLINT', 'TINYINT')")
+                checks.append(is_integer(val))
             else:
                 checks.append(f"{kind(val)} = {lit(want)}")
         rec_ok = (f"({kind(t + '.rec')} = 'null' OR ({kind(t + '.rec')} = 'object' AND "

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from recordsmith.functions.jsonparse import ascii_escape
 from recordsmith.functions.prompts import (DEFAULT_SYSTEM, IM_END, IM_START, SYSTEM_PROMPT,
                                            TOOL_CLOSE, TOOL_OPEN, generation_prompt, system_block,
                                            turn_block, user_prompt)
@@ -76,7 +77,8 @@ def sft_text(examples: DataFrame, target_col: str = "target_json") -> DataFrame:
     """System + user + assistant (compact target JSON) as one ``text`` column.
 
     Replaces every column with ``text``, as the reference's row map does.
-    ``target_col`` is a STRUCT (written compact, nulls kept) or JSON text.
+    ``target_col`` is a STRUCT (written compact, nulls kept) or JSON text; either is
+    ASCII-escaped (X18).
     """
     tgt = F.col(target_col)
     dtype = dict(examples.dtypes)[target_col]
@@ -85,4 +87,4 @@ def sft_text(examples: DataFrame, target_col: str = "target_json") -> DataFrame:
     return examples.select(F.concat(
         system_block(F.lit(SYSTEM_PROMPT)),
         turn_block(F.lit("user"), user_prompt(F.col("input_text"), F.col("schema_hint"))),
-        turn_block(F.lit("assistant"), tgt)).alias("text"))
+        turn_block(F.lit("assistant"), ascii_escape(tgt))).alias("text"))

@@ -28,6 +28,12 @@ def join_predictions(predictions: DataFrame, examples: DataFrame, on: str = "id"
         F.concat(F.lit("no example for prediction "), F.col(on).cast("string"))).cast("boolean"))).drop("_known")
 
 
+def json_documents(df: DataFrame, id_col: str, raw_col: str, target_col: str) -> DataFrame:
+    """(id, _pred, _target): both sides parsed, nothing scored yet."""
+    return df.select(F.col(id_col).alias("id"), J.extract_json_block(raw_col).alias("_pred"),
+                     J.parse_target(target_col).alias("_target"))
+
+
 def score_predictions(df: DataFrame, raw_col: str = "raw_output", target_col: str = "target_text",
                       keep: tuple[str, ...] = ("id",), record_fields: dict[str, str] | None = None,
                       target_leaves_col: str | None = None) -> DataFrame:
@@ -45,7 +51,7 @@ def score_predictions(df: DataFrame, raw_col: str = "raw_output", target_col: st
     # A target given as VARIANT (and its leaves) is used as is: when several
     # predictions share one target (k candidates per example) it is parsed
     # and flattened once per example upstream, not once per prediction.
-    target = F.col(target_col) if dict(df.dtypes)[target_col] == "variant" else F.parse_json(F.col(target_col))
+    target = F.col(target_col) if dict(df.dtypes)[target_col] == "variant" else J.parse_target(target_col)
     carried = [F.col(target_leaves_col).alias("_tl0")] if target_leaves_col else []
     parsed = df.select(*k, F.col(raw_col).alias("raw_output"),
                        J.extract_json_block(raw_col).alias("_pred"), target.alias("_target"), *carried)

@@ -10,7 +10,7 @@ sorted in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from recordsmith.functions import jsonparse as J
 from recordsmith.functions import scoring as S
@@ -21,9 +21,10 @@ from recordsmith.operators.evaluate import score_predictions
 ON_ERROR = ("fail", "quarantine")
 
 
-def candidate_lists(cands: DataFrame) -> DataFrame:
-    """``id -> candidates`` ordered by ``candidate_index``."""
-    return cands.groupBy("id").agg(
+def candidate_lists(cands: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id -> candidates`` ordered by ``candidate_index``, with columns that are the same
+    for all candidates of an id (``keep``)."""
+    return cands.groupBy("id").agg(*[F.first(c).alias(c) for c in keep],
         F.transform(F.array_sort(F.collect_list(F.struct("candidate_index", "text"))),
                     lambda x: x["text"]).alias("candidates"))
 
@@ -49,39 +50,42 @@ def attach_candidates(rows: DataFrame, lists: DataFrame, on_missing: str = "fail
 def judge_payload(rows: DataFrame) -> DataFrame:
     """The judge request body: instruction, user prompt, target, candidates.
 
-    Compact JSON with the reference's key order; the target JSON text is
-    embedded as-is (it is already JSON).
+    Compact JSON with a fixed key order, ASCII-escaped (X18); the target JSON text is
+    embedded as it is. ``pretty.pretty_json`` gives the indented form (X17).
     """
-    payload = F.concat(
+    payload = J.ascii_escape(F.concat(
         F.lit('{"instruction":'), json_string(F.lit(SYSTEM_PROMPT)),
         F.lit(',"user_prompt":'), json_string(user_prompt(F.col("input_text"), F.col("schema_hint"))),
         F.lit(',"target_json":'), F.col("target_text"),
         F.lit(',"candidates":'), F.to_json(F.col("candidates")),
-        F.lit("}"))
+        F.lit("}")))
     return rows.select("id", payload.alias("payload"))
 
 
 def score_candidates(cands_with_target: DataFrame, record_fields: dict[str, str],
-                     target_col: str = "target_text", target_leaves_col: str | None = None) -> DataFrame:
+                     target_col: str = "target_text", target_leaves_col: str | None = None,
+                     keep: tuple[str, ...] = ()) -> DataFrame:
     """Per-candidate judge criteria: valid JSON, schema match, accuracy, refusal.
 
     ``target_col`` may be JSON text or an already parsed VARIANT (with its
     leaves in ``target_leaves_col``), computed once per example.
     """
     return score_predictions(cands_with_target.withColumnRenamed("text", "raw_output"), target_col=target_col,
-                             keep=("id", "candidate_index"), record_fields=record_fields,
+                             keep=("id", "candidate_index", *keep), record_fields=record_fields,
                              target_leaves_col=target_leaves_col)
 
 
 def with_parsed_target(rows: DataFrame, target_col: str = "target_text") -> DataFrame:
     """Parse and flatten each example's target once (``_tv``, ``_tl``) before its
     candidates are generated or joined, so k candidates share that work."""
-    parsed = rows.select("*", F.parse_json(F.col(target_col)).alias("_tv"))
+    parsed = rows.select("*", J.parse_target(target_col).alias("_tv"))
     return parsed.select("*", J.flatten_leaves("_tv").alias("_tl"))
 
 
-def rule_judge(scored: DataFrame) -> DataFrame:
-    """Best and worst candidate per id.
+def rule_judge(scored: DataFrame, keep: tuple[str, ...] = (), lists: bool = False) -> DataFrame:
+    """Best and worst candidate per id, with columns that are the same for all
+    candidates of an id (``keep``) and, with ``lists``, the candidates in index order, all from
+    the one aggregation.
 
     Order: valid, schema match, field F1, refusal correctness (all
     descending), then lower index first. ``chosen`` is the first in that
@@ -92,25 +96,27 @@ def rule_judge(scored: DataFrame) -> DataFrame:
                    (-F.col("candidate_index")).alias("i"))
     info = F.struct(F.col("candidate_index").alias("idx"), F.col("json_valid").alias("valid"),
                     F.col("schema_ok").alias("schema_ok"), F.col("refusal_correct").alias("refusal"))
-    best = F.max_by(info, key)
-    worst = F.min_by(info, key)
-    agg = scored.groupBy("id").agg(best.alias("_b"), worst.alias("_w"))
+    carried = [F.first(c).alias(c) for c in keep]
+    if lists:
+        carried.append(F.transform(F.array_sort(F.collect_list(F.struct("candidate_index", "raw_output"))),
+                                   lambda x: x["raw_output"]).alias("candidates"))
+    agg = scored.groupBy("id").agg(F.max_by(info, key).alias("_b"), F.min_by(info, key).alias("_w"), *carried)
 
     def describe(x: Column) -> Column:
         return F.concat(F.lit("valid="), x["valid"].cast("string"), F.lit(" schema="), x["schema_ok"].cast("string"),
                         F.lit(" refusal="), x["refusal"].cast("string"))
     reason = F.concat(F.lit("best ["), describe(F.col("_b")), F.lit("] worst ["), describe(F.col("_w")), F.lit("]"))
     return agg.select("id", F.col("_b.idx").alias("chosen_index"), F.col("_w.idx").alias("rejected_index"),
-                      reason.alias("reason"))
+                      reason.alias("reason"), *keep, *(["candidates"] if lists else []))
 
 
-def verdict_text(verdicts: DataFrame) -> DataFrame:
+def verdict_text(verdicts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The verdict as a judge would answer it: prose around the JSON object."""
     obj = F.to_json(F.struct("chosen_index", "rejected_index", "reason"))
-    return verdicts.select("id", F.concat(F.lit("Ranking complete. "), obj).alias("output_text"))
+    return verdicts.select("id", F.concat(F.lit("Ranking complete. "), obj).alias("output_text"), *keep)
 
 
-def parse_verdicts(texts: DataFrame, on_error: str = "fail") -> tuple[DataFrame, DataFrame]:
+def parse_verdicts(texts: DataFrame, on_error: str = "fail", keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """``output_text`` -> (chosen_index, rejected_index, reason).
 
     Takes the first-``{``-to-last-``}`` span whenever both braces exist.
@@ -120,6 +126,19 @@ def parse_verdicts(texts: DataFrame, on_error: str = "fail") -> tuple[DataFrame,
     """
     if on_error not in ON_ERROR:
         raise ValueError(on_error)
+    parsed = _read_verdicts(texts, keep)
+    if on_error == "fail":
+        # As a filter: column pruning cannot take the check away.
+        good = parsed.where(F.when(F.col("ok"), F.lit(True)).otherwise(F.raise_error(
+            F.concat(F.lit("bad judge verdict for id "), F.col("id"))).cast("boolean")))
+        good = good.select("id", "chosen_index", "rejected_index", "reason", *keep)
+        return good, parsed.where(F.lit(False)).select("id", "output_text")
+    return (parsed.where("ok").select("id", "chosen_index", "rejected_index", "reason", *keep),
+            parsed.where("NOT ok").select("id", "output_text"))
+
+
+def _read_verdicts(texts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, output_text, chosen_index, rejected_index, reason, ok) of every verdict text."""
     text = F.col("output_text")
     has_braces = (F.instr(text, "{") > 0) & (F.instr(text, "}") > 0)
     start = F.instr(text, "{")
@@ -128,27 +147,39 @@ def parse_verdicts(texts: DataFrame, on_error: str = "fail") -> tuple[DataFrame,
     span = F.when(end >= start, F.expr("substring(output_text, instr(output_text, '{'), "
                                        "length(output_text) - instr(reverse(output_text), '}') + 2 "
                                        "- instr(output_text, '{'))")).otherwise(F.lit(""))
-    spans = texts.select("id", "output_text", has_braces.alias("_braces"), span.alias("_span"))
-    v = spans.select("id", "output_text", "_braces", J.strict_parse("_span").alias("_v"))
+    spans = texts.select("id", "output_text", has_braces.alias("_braces"), span.alias("_span"), *keep)
+    v = spans.select("id", "output_text", "_braces", J.strict_parse("_span").alias("_v"), *keep)
     ci, ri, rs = (J.get_field(F.col("_v"), k) for k in ("chosen_index", "rejected_index", "reason"))
 
     def as_int(x: Column) -> Column:
         return F.when(F.schema_of_variant(x).isin("BIGINT", "INT", "SMALLINT", "TINYINT"), x.try_cast("int"))
 
-    parsed = v.select("id", "output_text", "_braces", as_int(ci).alias("chosen_index"),
-                      as_int(ri).alias("rejected_index"),
-                      F.when(J.kind(rs) == "string", rs.try_cast("string"))
-                      .otherwise(J.canonical_json(rs)).alias("reason"))
-    ok = (F.col("_braces") & F.col("chosen_index").isNotNull() & F.col("rejected_index").isNotNull()
+    fields = v.select("id", "output_text", "_braces", as_int(ci).alias("chosen_index"), as_int(ri).alias("rejected_index"),
+                      rs.alias("_reason"), *keep)
+    parsed = fields.select(
+        "*", F.when(J.kind(F.col("_reason")) == "string", F.col("_reason").try_cast("string"))
+        .otherwise(J.canonical_json("_reason")).alias("reason"))
+    ok = (F.coalesce("_braces", F.lit(False)) & F.col("chosen_index").isNotNull() & F.col("rejected_index").isNotNull()
           & F.col("reason").isNotNull())
-    if on_error == "fail":
-        # As a filter: column pruning cannot take the check away.
-        good = parsed.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(
-            F.concat(F.lit("bad judge verdict for id "), F.col("id"))).cast("boolean")))
-        good = good.select("id", "chosen_index", "rejected_index", "reason")
-        return good, parsed.where(F.lit(False)).select("id", "output_text")
-    return (parsed.where(ok).select("id", "chosen_index", "rejected_index", "reason"),
-            parsed.where(~ok).select("id", "output_text"))
+    return parsed.select("id", "output_text", "chosen_index", "rejected_index", "reason", ok.alias("ok"), *keep)
+
+
+def write_verdicts(texts: DataFrame, path: str) -> dict[str, int]:
+    """F8: read every verdict text once and write it, good or not, under ``path``, in folders
+    ``state=good`` and ``state=bad``; returns how many went to each. The counts come from the
+    same pass. A rerun replaces both folders."""
+    parsed = _read_verdicts(texts).withColumn("state", F.when(F.col("ok"), "good").otherwise("bad")).drop("ok")
+    seen = Observation()
+    counted = parsed.observe(seen, F.count(F.when(F.col("state") == "good", 1)).alias("good"),
+                             F.count(F.when(F.col("state") == "bad", 1)).alias("bad"))
+    counted.write.mode("overwrite").partitionBy("state").parquet(path)
+    return {k: int(v) for k, v in seen.get.items()}
+
+
+def read_verdicts(spark, path: str, state: str) -> DataFrame:
+    """One side of ``write_verdicts``; only its folder is read."""
+    schema = "id string, output_text string, chosen_index int, rejected_index int, reason string, state string"
+    return spark.read.schema(schema).parquet(path).where(F.col("state") == state).drop("state")
 
 
 def py_index(arr: Column, i: Column, strict: bool = True) -> Column:
@@ -167,7 +198,11 @@ def preference_pairs(rows: DataFrame, verdicts: DataFrame, strict: bool = True,
     Chosen = rejected is kept and flagged, as the reference does
     not guard against it.
     """
-    j = rows.join(verdicts, "id", "left")
+    return pairs_of(rows.join(verdicts, "id", "left"), strict, keep)
+
+
+def pairs_of(j: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``preference_pairs`` of rows that already carry their candidates and verdict."""
     if strict:
         j = j.where(F.when(F.col("chosen_index").isNotNull(), F.lit(True)).otherwise(F.raise_error(
             F.concat(F.lit("no judge verdict for id "), F.col("id"))).cast("boolean")))

@@ -124,6 +124,40 @@ def exact_split(df: DataFrame, hash_col: str = "shuffle_key", tie_col: str = "id
                                                    [train_ratio, val_ratio]))
 
 
+def boundary_split(df: DataFrame, hash_col: str, tie_col: str, names: tuple[str, ...] = ("train", "val", "test"),
+                   ratios: tuple[float, ...] = (0.8, 0.1), rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+    """W2 without an ordinal: ``df`` with the column ``split``, its rows not moved.
+
+    A positional split is decided by the rows at the cut positions. One aggregate counts
+    the rows of each hash bucket; a cut's row is then looked up inside the one bucket that
+    holds it (some ``rows_per_bucket`` keys), and every row compares itself with the cuts.
+    Rows that share hash and tie go to the same side; rows without a tie column count first.
+    """
+    keys = df.select(F.col(hash_col).alias("h"), F.col(tie_col).alias("t"))
+    total = keys.count()
+    nb = _bucket_count(total, rows_per_bucket)
+    keys = keys.withColumn("b", md5_bucket(F.col("h"), nb))
+    counts = {r["b"]: r["n"] for r in keys.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()}   # nb rows at most
+    cuts, before, bounds = [], 0, split_bounds(total, list(ratios))
+    for b in sorted(counts, key=lambda x: (x is not None, x)):
+        for bound in bounds:
+            if before <= bound < before + counts[b]:
+                inside = keys.where(F.col("b").eqNullSafe(F.lit(b))).orderBy("h", "t").offset(bound - before).limit(1)
+                cuts.append((bound, inside.select("h", "t").first()))
+        before += counts[b]
+    cuts = dict(cuts)
+    here = F.struct(F.col(hash_col).alias("h"), F.col(tie_col).alias("t"))
+    kinds = dict(df.dtypes)
+    expr = F.lit(names[len(bounds)])
+    for name, bound in reversed(list(zip(names, bounds))):
+        if bound in cuts:
+            h, t = (F.lit(v).cast(kinds[c]) for v, c in zip(cuts[bound], (hash_col, tie_col)))
+            expr = F.when(here < F.struct(h.alias("h"), t.alias("t")), F.lit(name)).otherwise(expr)
+        else:                                                # the cut is behind the last row
+            expr = F.lit(name)
+    return df.withColumn("split", expr)
+
+
 def pair_split(df: DataFrame, ordinal_col: str = "ordinal", train_ratio: float = 0.8,
                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """First ``int(n*train_ratio)`` rows by input ordinal are train, the rest val."""

@@ -54,7 +54,7 @@ def _dose(name: Column) -> Column:
     return F.element_at(m, name)
 
 
-def build_notes(idx: DataFrame, seed: int = DEFAULT_SEED, idx_col: str = "idx") -> DataFrame:
+def build_notes(idx: DataFrame, seed: int = DEFAULT_SEED, idx_col: str = "idx", keep: tuple[str, ...] = ()) -> DataFrame:
     """One medical note + target record per ``idx`` value."""
     s, i = F.lit(seed), F.col(idx_col)
     name = D.choice(s, i, "name", NAMES)
@@ -77,7 +77,7 @@ def build_notes(idx: DataFrame, seed: int = DEFAULT_SEED, idx_col: str = "idx")
         complaint.alias("complaint"), diagnoses.alias("diagnoses"), med_names.alias("med_names"),
         allergies.alias("allergies"), systolic.alias("systolic"), diastolic.alias("diastolic"),
         heart_rate.alias("heart_rate"), temp10.alias("temp10"), follow_up.alias("follow_up"),
-        F.format_string(f"{ENCOUNTER_YEAR}-%02d-%02d", month, day).alias("encounter_date"))
+        F.format_string(f"{ENCOUNTER_YEAR}-%02d-%02d", month, day).alias("encounter_date"), *keep)
 
     meds = F.transform("med_names", lambda m: F.struct(m.alias("name"), _dose(m).alias("dose")))
     temp_text = F.format_string("%d.%d", F.floor(F.col("temp10") / 10), F.pmod(F.col("temp10"), F.lit(10)))
@@ -109,10 +109,10 @@ def build_notes(idx: DataFrame, seed: int = DEFAULT_SEED, idx_col: str = "idx")
         F.lit(DEFAULT_SCHEMA_HINT).alias("schema_hint"),
         target.alias("target_json"),
         F.lit(True).alias("can_extract"),
-        F.lit(DOMAIN).alias("domain"))
+        F.lit(DOMAIN).alias("domain"), *keep)
 
 
-def build_refusals(idx: DataFrame, seed: int = DEFAULT_SEED, idx_col: str = "idx") -> DataFrame:
+def build_refusals(idx: DataFrame, seed: int = DEFAULT_SEED, idx_col: str = "idx", keep: tuple[str, ...] = ()) -> DataFrame:
     """A non-medical text, null record and the fixed refusal reason."""
     s, i = F.lit(seed), F.col(idx_col)
     target = F.struct(F.lit(False).alias("can_extract"), F.lit(REFUSAL_REASON).alias("refusal_reason"),
@@ -123,7 +123,7 @@ def build_refusals(idx: DataFrame, seed: int = DEFAULT_SEED, idx_col: str = "idx
         F.lit(DEFAULT_SCHEMA_HINT).alias("schema_hint"),
         target.alias("target_json"),
         F.lit(False).alias("can_extract"),
-        F.lit(DOMAIN).alias("domain"))
+        F.lit(DOMAIN).alias("domain"), *keep)
 
 
 def _record_type(df: DataFrame):
@@ -154,6 +154,24 @@ def build_corpus(spark: SparkSession, num_examples: int, seed: int = DEFAULT_SEE
     return notes.unionByName(refusals).withColumn("shuffle_key", shuffle_key(seed))
 
 
+def corpus_index(keys: DataFrame, seed: int = DEFAULT_SEED, refusal_ratio: float = DEFAULT_REFUSAL_RATIO) -> DataFrame:
+    """(idx, refusal, id, shuffle_key) for every row of ``keys`` (one integer column ``idx``):
+    by key, the last ``int(n * ratio)`` are refusals. Only keys move for the rank; texts
+    are made from the index where they are needed (``examples``)."""
+    from recordsmith.operators.split import rank_by_key
+    ranked, n = rank_by_key(keys.select("idx"), "idx", rank_col="_rank")
+    refusal = F.col("_rank") >= n - refusal_count(n, refusal_ratio)
+    named = ranked.select("idx", refusal.alias("refusal"), F.when(refusal, F.format_string("refusal-%05d", "idx"))
+                          .otherwise(F.format_string("medical-%05d", "idx")).alias("id"))
+    return named.withColumn("shuffle_key", shuffle_key(seed))
+
+
+def examples(index: DataFrame, seed: int = DEFAULT_SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The notes and refusals of a corpus index, with further columns of the index."""
+    notes = build_notes(index.where("NOT refusal"), seed, keep=keep)
+    return notes.unionByName(build_refusals(index.where("refusal"), seed, keep=keep))
+
+
 def refusal_count(num_examples: int, ratio: float = DEFAULT_REFUSAL_RATIO) -> int:
     """``int(n * ratio)``."""
     return int(num_examples * ratio)

@@ -6,6 +6,7 @@ full. The matching DuckDB SQL lives in ``recordsmith.plans.oracles``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,13 +19,18 @@ from recordsmith.operators import pairs as PR
 from recordsmith.operators import report as RP
 from recordsmith import schemas as SCH
 from recordsmith.operators import split as SP
+from recordsmith.functions.text import json_string
+from recordsmith.operators.conform import Maybe, nested_conformance
 from recordsmith.operators import synth as SY
 from recordsmith.operators.evaluate import eval_report as _eval_report
 from recordsmith.operators.evaluate import join_predictions, score_predictions
 from recordsmith.operators.flatten import flatten_json as _flatten_json
 from recordsmith.operators.jsonsafe import json_safe
 from recordsmith.operators.parallel import ensure_parallelism
-from recordsmith.session import configure
+from recordsmith.operators.pretty import pretty_json
+from recordsmith.operators.score_long import score_documents_long, score_long as score_rows
+from recordsmith.session import checkpoint_root, configure
+from recordsmith.sinks.writers import split_summary
 from recordsmith.sources.corpus import order_candidates, order_corpus, order_source
 from recordsmith.sources.tables import table
 
@@ -38,6 +44,17 @@ ORDER_RECORD_FIELDS = {
 }
 
 
+# The same and what is inside them, for the check of every level.
+ORDER_SCHEMA = {
+    "can_extract": "boolean", "refusal_reason": "string or null",
+    "record": Maybe({
+        "order_id": "integer", "customer": "string", "order_date": "string", "priority": "string",
+        "total_cents": "integer", "tags": ["string"], "parties": [{"name": "string", "nation": "string"}],
+        "amounts": {"total_cents": "integer", "balance_cents": "integer"},
+    }),
+}
+
+
 def register(fn: Query) -> Query:
     def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
@@ -157,12 +174,74 @@ def schema_check(spark, sf_dir):
     return p.select("id", S.schema_conformance("pred", ORDER_RECORD_FIELDS).alias("schema_ok"))
 
 
+@register
+def schema_nested(spark, sf_dir):
+    """C21 at every level: faults of each parsed output against the order schema."""
+    return nested_conformance(_parsed_corpus(spark, sf_dir), "id", "pred", ORDER_SCHEMA)
+
+
+@register
+def score_long(spark, sf_dir):
+    """Field F1 of the order corpus over leaf tables."""
+    return score_documents_long(order_corpus(spark, sf_dir), "id", "raw_output", "target_text")
+
+
+@register
+def score_long_events(spark, sf_dir):
+    """The same over ``events``: one document per event type, its leaves the members of all
+    its events' props, compared with the event numbers modulo 100."""
+    ev = ensure_parallelism(table(spark, sf_dir, "events").select("event_id", "event_type", "props"), "event_id")
+    parsed = ev.select("event_type", "event_id", J.strict_parse("props").alias("v"))
+    at = F.col("event_id").cast("string")
+    leaves = (parsed.select("event_type", "event_id", J.flatten_leaves("v").alias("_l"))
+              .select("event_type", "event_id", F.inline_outer("_l")).where(F.col("path").isNotNull()))
+    pred = leaves.select(F.col("event_type").alias("id"), F.concat(at, F.lit("."), "path").alias("path"), "literal")
+    target = ev.select(F.col("event_type").alias("id"), F.concat(at, F.lit(".k")).alias("path"),
+                       F.pmod("event_id", F.lit(100)).cast("string").alias("literal"))
+    ids = ev.select(F.col("event_type").alias("id")).distinct().withColumn("json_valid", F.lit(True))
+    return score_rows(ids, pred, target)
+
+
+@register
+def number_kinds(spark, sf_dir):
+    """Canonical text of numbers as they stand in the text: integers beyond 64 bits,
+    exponents, negative zeros, fractions."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") + 1).alias("next"), "o_custkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("c"))
+    n = {k: F.coalesce(F.col(v).cast("string"), F.lit("0")) for k, v in (("key", "next"), ("cust", "o_custkey"), ("cents", "c"))}
+    text = F.concat(F.lit('{"big":'), n["key"], F.lit('00000000000000000000,"price":'), n["cents"], F.lit('E-2,"tiny":'), n["cust"],
+                    F.lit('e-12,"huge":'), n["cents"], F.lit('.5E+17,"whole":'), n["cust"], F.lit('.0,"list":[-0.0,-0,'),
+                    n["key"], F.lit("e3]}"))
+    return (ensure_parallelism(o.select("o_orderkey", text.alias("t")), "o_orderkey").select("o_orderkey", J.strict_parse("t").alias("v"))
+            .select("o_orderkey", J.canonical_json("v").alias("canonical")))
+
+
+@register
+def ascii_texts(spark, sf_dir):
+    """Documents and turns as ASCII JSON strings; the digest and the length of each."""
+    docs = table(spark, sf_dir, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("turn"), "text")
+    turns = table(spark, sf_dir, "conversations").select(F.lit("turn").alias("kind"), F.col("conv_id").alias("id"), F.col("turn").cast("bigint").alias("turn"), "text")
+    texts = docs.unionByName(turns).select("kind", "id", "turn", json_string(F.col("text")).alias("j"))
+    plain = texts.select("kind", "id", "turn", J.ascii_escape("j").alias("j"))
+    return plain.select("kind", "id", "turn", F.md5("j").alias("digest"), F.length("j").cast("bigint").alias("chars"))
+
+
 # ------------------------------------------------------------ 4. corpus
 
 
-def _corpus_size(spark, sf_dir) -> int:
-    """The synthetic corpus has one example per ``orders`` row."""
-    return table(spark, sf_dir, "orders").count()
+def _index(spark, sf_dir) -> DataFrame:
+    """The synthetic corpus has one example per order, indexed by the order key."""
+    return SY.corpus_index(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("idx")))
+
+
+def _split_index(spark, sf_dir) -> DataFrame:
+    """The index in its shuffled order, split by position; no text is made before it."""
+    return SP.exact_split(_index(spark, sf_dir))
+
+
+def _document_splits(spark, sf_dir) -> DataFrame:
+    """``documents`` split by position in the order of the md5 of the id."""
+    docs = ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+    return SP.boundary_split(docs.withColumn("_h", SY.shuffle_key(SY.DEFAULT_SEED, "doc_id")), "_h", "doc_id").drop("_h")
 
 
 def _target_text(df: DataFrame) -> DataFrame:
@@ -174,50 +253,50 @@ _EXAMPLE_COLS = ["id", "input_text", "schema_hint", "target_json", "can_extract"
 
 @register
 def synth_notes(spark, sf_dir):
-    """Medical notes and targets, one per non-refusal slot."""
-    n = _corpus_size(spark, sf_dir)
-    idx = spark.range(0, n - SY.refusal_count(n), 1, spark.sparkContext.defaultParallelism)
-    return _target_text(SY.build_notes(idx.withColumnRenamed("id", "idx")))
+    """Medical notes and targets, one per order that is no refusal."""
+    return _target_text(SY.build_notes(_index(spark, sf_dir).where("NOT refusal")))
 
 
 @register
 def synth_refusals(spark, sf_dir):
-    """Refusal examples, ``int(n * 0.12)`` of them."""
-    n = _corpus_size(spark, sf_dir)
-    idx = spark.range(0, SY.refusal_count(n), 1, spark.sparkContext.defaultParallelism)
-    return _target_text(SY.build_refusals(idx.withColumnRenamed("id", "idx")))
-
-
-def _split_corpus(spark, sf_dir):
-    corpus = SY.build_corpus(spark, _corpus_size(spark, sf_dir))
-    return SP.exact_split(corpus)
+    """Refusal examples, of the last ``int(n * 0.12)`` orders by key."""
+    return _target_text(SY.build_refusals(_index(spark, sf_dir).where("refusal")))
 
 
 @register
 def split_corpus(spark, sf_dir):
     """The shuffled corpus with its position and split."""
-    return _target_text(_split_corpus(spark, sf_dir)).select(*_EXAMPLE_COLS, "ordinal", "split")
+    rows = SY.examples(_split_index(spark, sf_dir), keep=("ordinal", "split"))
+    return _target_text(rows).select(*_EXAMPLE_COLS, "ordinal", "split")
 
 
 @register
 def split_counts(spark, sf_dir):
-    """Rows per split."""
-    return _split_corpus(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+    """Rows per split of ``documents``."""
+    return split_summary(_document_splits(spark, sf_dir))
+
+
+@register
+def split_documents(spark, sf_dir):
+    """W2/U3 over a table of texts: the split of every document, and its length."""
+    return _document_splits(spark, sf_dir).select("doc_id", "split", F.length("text").cast("bigint").alias("chars"))
 
 
 @register
 def eval_subset(spark, sf_dir):
     """the evaluator's ``--limit``: first 400 test rows in file order."""
-    test = _split_corpus(spark, sf_dir).where(F.col("split") == "test")
-    return _target_text(SP.head_by_ordinal(test, 400)).select("id", "ordinal", "target_json")
+    test = _split_index(spark, sf_dir).where(F.col("split") == "test")
+    rows = SY.examples(SP.head_by_ordinal(test, 400), keep=("ordinal",))
+    return _target_text(rows).select("id", "ordinal", "target_json")
 
 
 @register
 def first_example(spark, sf_dir):
     """Preview of the first training row as its JSONL line."""
-    train = _split_corpus(spark, sf_dir).where(F.col("split") == "train")
-    first = SP.head_by_ordinal(train, 1)
-    return first.select("id", F.to_json(F.struct(*_EXAMPLE_COLS), {"ignoreNullFields": "false"}).alias("line"))
+    train = _split_index(spark, sf_dir).where(F.col("split") == "train")
+    first = SY.examples(SP.head_by_ordinal(train, 1))
+    line = first.select("id", F.to_json(F.struct(*_EXAMPLE_COLS), {"ignoreNullFields": "false"}).alias("line"))
+    return line.select("id", J.ascii_escape("line").alias("line"))
 
 
 # ------------------------------------------------------------- 5. rendering
@@ -247,79 +326,97 @@ def tool_chat_render(spark, sf_dir):
 
 @register
 def sft_text(spark, sf_dir):
-    """Training text of every training example."""
-    train = _split_corpus(spark, sf_dir).where(F.col("split") == "train")
-    return CH.sft_text(train)
+    """Training text of every training document; the target is its language,
+    source and first line, ASCII-escaped."""
+    train = _document_splits(spark, sf_dir).where(F.col("split") == "train")
+    target = F.to_json(F.struct("lang", "source", F.substring_index(F.coalesce("text", F.lit("")), "\n", 1).alias("opening")),
+                       {"ignoreNullFields": "false"})
+    return CH.sft_text(train.select(F.col("text").alias("input_text"), F.col("lang").alias("schema_hint"),
+                                    target.alias("target_json")))
 
 
 @register
 def user_prompt(spark, sf_dir):
-    """The user prompt of every corpus example."""
+    """The user prompt of every document, its source as the hint."""
     from recordsmith.functions.prompts import user_prompt as _up
-    corpus = SY.build_corpus(spark, _corpus_size(spark, sf_dir))
-    return corpus.select("id", _up(F.col("input_text"), F.col("schema_hint")).alias("prompt"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return docs.select("doc_id", _up(F.col("text"), F.col("source")).alias("prompt"))
 
 
-# ------------------------------------------------------------------ 6. pairs
+@register
+def inference_prompts(spark, sf_dir):
+    """C11: what a model is given for every first user turn: system and user turn, and the
+    generation suffix."""
+    from recordsmith.functions.prompts import DEFAULT_SCHEMA_HINT, inference_prompt
+    turns = table(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn", "text")
+    first = turns.groupBy("conv_id").agg(F.min_by("text", "turn").alias("text"))
+    return first.select("conv_id", inference_prompt(F.col("text"), F.lit(DEFAULT_SCHEMA_HINT)).alias("prompt"))
 
 
-def _pair_inputs(spark, sf_dir):
-    src = order_source(spark, sf_dir)
-    rows = src.select("id", "key", "input_text", "schema_hint", "target_text")
-    cands = order_candidates(src)
-    return rows, cands
+# ------------------------------------------------------------------ 6. pairs
 
 
-def _judge(spark, sf_dir):
-    # Candidates are generated next to their target, so no join is needed to
-    # score them (a separately sourced candidate table joins on id instead).
-    src = PR.with_parsed_target(order_source(spark, sf_dir))
-    cands = order_candidates(src, keep=("_tv", "_tl"))
-    return PR.rule_judge(PR.score_candidates(cands, ORDER_RECORD_FIELDS, "_tv", "_tl"))
+def _candidates(spark, sf_dir, *keep):
+    return order_candidates(order_source(spark, sf_dir), keep=keep)
 
 
-def _verdicts(spark, sf_dir):
-    return _judge(spark, sf_dir)
+def _judged(spark, sf_dir, keep=(), lists=False):
+    """Candidates made, scored and judged next to their target: the source is built once, and
+    the only exchange behind it is the one by id (a separately sourced candidate table joins
+    on id instead)."""
+    src = PR.with_parsed_target(order_source(spark, sf_dir))
+    cands = order_candidates(src, keep=("_tv", "_tl", *keep))
+    return PR.rule_judge(PR.score_candidates(cands, ORDER_RECORD_FIELDS, "_tv", "_tl", keep), keep, lists)
 
 
 def _pairs(spark, sf_dir, keep=()):
-    rows, cands = _pair_inputs(spark, sf_dir)
-    attached = PR.attach_candidates(rows, PR.candidate_lists(cands))
-    parsed, _bad = PR.parse_verdicts(PR.verdict_text(_judge(spark, sf_dir)))
-    return PR.preference_pairs(attached, parsed, keep=keep)
+    carried = ("input_text", "schema_hint", *keep)
+    judged = _judged(spark, sf_dir, carried, lists=True)
+    parsed, _ = PR.parse_verdicts(PR.verdict_text(judged, (*carried, "candidates")), keep=(*carried, "candidates"))
+    return PR.pairs_of(parsed, keep=keep)
 
 
 @register
 def candidates_long(spark, sf_dir):
     """C19/S3 long form: k candidates per example."""
-    return _pair_inputs(spark, sf_dir)[1]
+    return _candidates(spark, sf_dir)
 
 
 @register
 def candidate_lists(spark, sf_dir):
     """Candidates collected per id, in index order."""
-    lists = PR.candidate_lists(_pair_inputs(spark, sf_dir)[1])
+    lists = PR.candidate_lists(_candidates(spark, sf_dir))
     return lists.select("id", F.size("candidates").cast("bigint").alias("n_candidates"),
                         F.to_json("candidates").alias("candidates_json"))
 
 
+def _payloads(spark, sf_dir):
+    same = ("input_text", "schema_hint", "target_text")
+    return PR.judge_payload(PR.candidate_lists(_candidates(spark, sf_dir, *same), same))
+
+
 @register
 def judge_payload(spark, sf_dir):
     """The judge request body per example."""
-    rows, cands = _pair_inputs(spark, sf_dir)
-    return PR.judge_payload(PR.attach_candidates(rows, PR.candidate_lists(cands)))
+    return _payloads(spark, sf_dir)
+
+
+@register
+def judge_payload_pretty(spark, sf_dir):
+    """The request body as it is sent, indented by two, ASCII only."""
+    return pretty_json(_payloads(spark, sf_dir), "id", "payload").withColumnRenamed("text", "payload")
 
 
 @register
 def rank_candidates(spark, sf_dir):
     """Best and worst candidate by the judge criteria."""
-    return _verdicts(spark, sf_dir)
+    return _judged(spark, sf_dir)
 
 
 @register
 def judge_parse(spark, sf_dir):
     """Verdict texts parsed back to indexes and reason."""
-    good, _bad = PR.parse_verdicts(PR.verdict_text(_verdicts(spark, sf_dir)), on_error="quarantine")
+    good, _bad = PR.parse_verdicts(PR.verdict_text(_judged(spark, sf_dir)), on_error="quarantine")
     return good
 
 
@@ -332,8 +429,38 @@ def preference_pairs(spark, sf_dir):
 @register
 def pair_split(spark, sf_dir):
     """First int(n*0.8) pairs in input order are train, the rest val."""
-    # ``key`` (the order key) is the input ordinal of each pair.
-    return SP.pair_split(_pairs(spark, sf_dir, keep=("key",)), ordinal_col="key").select("id", "split")
+    # ``key`` (the order key) is the input ordinal of each pair; every order has a pair, so
+    # the split needs no candidate to be scored.
+    src = order_source(spark, sf_dir).select("id", "key")
+    return SP.pair_split(src, ordinal_col="key").select("id", "split")
+
+
+def _written_verdicts(spark, sf_dir) -> str:
+    """Verdicts on the orders, one in seven of them broken in one of four ways, read and
+    written by state."""
+    key = F.col("o_orderkey")
+    sound = F.concat(F.lit('{"chosen_index":'), F.pmod(key, F.lit(4)).cast("string"), F.lit(',"rejected_index":'),
+                     F.pmod(key + 1, F.lit(4)).cast("string"), F.lit(',"reason":"'), F.coalesce("o_orderpriority", F.lit("")), F.lit('"}'))
+    kind = F.when(F.pmod(key, F.lit(7)) == 3, F.pmod(key, F.lit(4))).otherwise(F.lit(-1))
+    text = (F.when(kind == 0, F.regexp_replace(sound, r"[{}]", "")).when(kind == 1, F.regexp_replace(sound, ",.*", "}"))
+            .when(kind == 2, F.regexp_replace(sound, r":([0-9])", ':"$1"')).when(kind == 3, F.substring(sound, 1, 20))
+            .otherwise(F.concat(F.lit("Verdict: "), sound, F.lit(" -- done"))))
+    texts = table(spark, sf_dir, "orders").select(F.format_string("order-%d", key).alias("id"), text.alias("output_text"))
+    path = f"{checkpoint_root(spark)}/verdicts/{uuid.uuid4().hex}"
+    PR.write_verdicts(texts, path)
+    return path
+
+
+@register
+def verdicts_good(spark, sf_dir):
+    """F8: verdicts that could be read, from the side output's good folder."""
+    return PR.read_verdicts(spark, _written_verdicts(spark, sf_dir), "good").drop("output_text")
+
+
+@register
+def verdicts_bad(spark, sf_dir):
+    """F8: the quarantined verdict texts, from the bad folder of the same kind of pass."""
+    return PR.read_verdicts(spark, _written_verdicts(spark, sf_dir), "bad").select("id", "output_text")
 
 
 # ----------------------------------------------------------------- 7. reports
@@ -391,15 +518,13 @@ def running_best(spark, sf_dir):
 @register
 def template_extract(spark, sf_dir):
     """Records read back out of every synthetic note (round trip to the target)."""
-    corpus = SY.build_corpus(spark, _corpus_size(spark, sf_dir))
-    return EX.template_extract(corpus)
+    return EX.template_extract(SY.examples(_index(spark, sf_dir)))
 
 
 @register
 def batch_extract(spark, sf_dir):
     """Plug-in generator over every example, then parse and confidence."""
-    corpus = SY.build_corpus(spark, _corpus_size(spark, sf_dir))
-    return EX.batch_extract(corpus).select("id", "structured_json", "confidence")
+    return EX.batch_extract(SY.examples(_index(spark, sf_dir))).select("id", "structured_json", "confidence")
 
 
 # -------------------------------------------------------------- 10. streaming

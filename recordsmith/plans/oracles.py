@@ -72,6 +72,7 @@ FROM orders LEFT JOIN (
                                       f"{_confidence('pred')} AS confidence, raw_output FROM cparsed"),
         "schema_check": parsed + f"SELECT id, {_schema_ok('pred', ORDER_RECORD_FIELDS)} AS schema_ok FROM cparsed",
     }
+    out.update(long_form_oracles())
     out.update(corpus_oracles())
     out.update(pair_oracles())
     out.update(report_oracles())
@@ -107,8 +108,9 @@ def _synth_ctes(seed: int = 42) -> str:
 params AS (SELECT count(*) AS n, CAST(floor(count(*) * 0.12::DOUBLE) AS BIGINT) AS r,
                   CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS n_train,
                   CAST(floor(count(*) * 0.1::DOUBLE) AS BIGINT) AS n_val FROM orders),
-note_idx AS (SELECT unnest(range(n - r)) AS idx FROM params),
-refusal_idx AS (SELECT unnest(range(r)) AS idx FROM params),
+order_keys AS (SELECT o_orderkey AS idx, row_number() OVER (ORDER BY o_orderkey) - 1 AS rk FROM orders),
+note_idx AS (SELECT idx FROM order_keys, params WHERE rk < n - r),
+refusal_idx AS (SELECT idx FROM order_keys, params WHERE rk >= n - r),
 note_draws AS (
   SELECT idx, {choice('name', SY.NAMES)} AS name, {randint('age', *SY.AGE)} AS age,
          {choice('sex', SY.SEXES)} AS sex, {choice('complaint', SY.COMPLAINTS)} AS complaint,
@@ -185,6 +187,82 @@ def _user_prompt_sql(text: str, hint: str) -> str:
     return f"({Q._sql_str(P.USER_PROMPT_HEAD)} || {hint} || {Q._sql_str(P.USER_PROMPT_MID)} || {text})"
 
 
+def _ascii_string(x: str) -> str:
+    """A value as a JSON string of ASCII characters, null for NULL."""
+    escapes = " ".join(f"WHEN '{c}' THEN '{e}'" for c, e in (('"', '\\"'), ("\\", "\\\\")))
+    escapes += " " + " ".join(f"WHEN chr({c}) THEN '{e}'" for c, e in ((8, "\\b"), (9, "\\t"), (10, "\\n"), (12, "\\f"), (13, "\\r")))
+    hexed = ("CASE WHEN unicode(c) > 65535 THEN printf('\\u%04x\\u%04x', 55296 + ((unicode(c) - 65536) >> 10), "
+             "56320 + ((unicode(c) - 65536) & 1023)) WHEN unicode(c) < 32 OR unicode(c) > 126 THEN printf('\\u%04x', unicode(c)) "
+             "ELSE c END")
+    return (f"(CASE WHEN {x} IS NULL THEN 'null' WHEN {x} = '' THEN '\"\"' ELSE '\"' || array_to_string(list_transform("
+            f"string_split({x}, ''), lambda c: CASE c {escapes} ELSE {hexed} END), '') || '\"' END)")
+
+
+_DOCUMENT_SPLITS = """
+placed AS (SELECT *, row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) - 1 AS pos, count(*) OVER () AS n FROM documents),
+docsplit AS (SELECT *, CASE WHEN pos < floor(n * 0.8::DOUBLE) THEN 'train'
+                            WHEN pos < floor(n * 0.8::DOUBLE) + floor(n * 0.1::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM placed)"""
+
+
+def _nested_faults() -> str:
+    """``faults`` (id, fault, path) of ``cparsed`` against the order schema."""
+    from recordsmith.operators.conform import schema_rows
+    from recordsmith.plans.catalog import ORDER_SCHEMA
+    rules = ", ".join(f"('{p}', {_lst(kinds)}, {'NULL' if members is None else members})"
+                      for p, _, kinds, members in schema_rows(ORDER_SCHEMA))
+    kind = ("CASE t.type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string' "
+            "WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' WHEN 'DOUBLE' THEN 'number' ELSE 'integer' END")
+    return f"""
+rules(pattern, kinds, members) AS (VALUES {rules}),
+nodes AS (SELECT s.id, {Q.leaf_path('t.fullkey')} AS path, {Q.leaf_path('t.path')} AS parent, t.fullkey = '$' AS root,
+                 regexp_replace({Q.leaf_path('t.fullkey')}, '\\[[0-9]+\\]', '[]', 'g') AS pattern, {kind} AS kind
+          FROM cparsed s, json_tree(s.pred) t WHERE s.pred IS NOT NULL),
+held AS (SELECT n.*, r.kinds, r.members FROM nodes n LEFT JOIN rules r ON n.pattern = r.pattern),
+faults AS (
+  SELECT id, 'unknown' AS fault, path FROM held WHERE kinds IS NULL
+  UNION ALL SELECT id, 'kind', path FROM held WHERE kinds IS NOT NULL AND NOT list_contains(kinds, kind)
+  UNION ALL SELECT o.id, 'missing', o.path FROM held o LEFT JOIN held c
+    ON c.id = o.id AND c.parent = o.path AND NOT c.root AND c.kinds IS NOT NULL AND NOT ends_with(c.pattern, '[]')
+  WHERE o.kind = 'object' AND o.members IS NOT NULL GROUP BY o.id, o.path, o.members HAVING count(c.id) < o.members)"""
+
+
+def long_form_oracles() -> dict[str, str]:
+    scored = Q.with_ctes(Q.ORDER_CORPUS, Q.SCORED)
+    parsed = Q.with_ctes(Q.ORDER_CORPUS, _CORPUS_PARSED)
+
+    def dbl(x):
+        return f"CAST(CAST({x} AS DOUBLE) AS VARCHAR)"
+
+    text = _ascii_string("text")
+    return {
+        "score_long": scored + ("SELECT s.id, coalesce(np, 0) AS n_pred, coalesce(nt, 0) AS n_target, coalesce(tp, 0) AS n_common, "
+                                "field_f1 FROM scored s LEFT JOIN pcount USING (id) LEFT JOIN tcount USING (id) LEFT JOIN tpcount USING (id)"),
+        "score_long_events": Q.with_ctes(_EVENTS_PARSED, Q.leaves_cte("fl", "evp", "event_id", "v")) + f"""
+SELECT id, n_pred, n_target, n_common, {Q.f1_expr('n_common', 'n_pred', 'n_target', 'false')} AS field_f1 FROM (
+  SELECT event_type AS id, count(p.lit) AS n_pred, count(t.lit) AS n_target,
+         count(*) FILTER (p.lit = t.lit) AS n_common
+  FROM (SELECT id, path, lit FROM fl) p
+  FULL JOIN (SELECT event_id AS id, 'k' AS path, CAST(((event_id % 100) + 100) % 100 AS VARCHAR) AS lit FROM events) t
+    ON p.id = t.id AND p.path = t.path
+  JOIN events e ON e.event_id = coalesce(p.id, t.id) GROUP BY event_type)""",
+        "schema_nested": parsed.rstrip() + "," + _nested_faults() + """
+SELECT c.id, c.pred IS NOT NULL AND count(f.id) = 0 AS schema_ok, count(*) FILTER (f.fault = 'unknown') AS n_unknown,
+       count(*) FILTER (f.fault = 'kind') AS n_kind, count(*) FILTER (f.fault = 'missing') AS n_missing,
+       min(f.path) AS first_fault
+FROM cparsed c LEFT JOIN faults f ON c.id = f.id GROUP BY c.id, c.pred""",
+        "number_kinds": f"""
+SELECT o_orderkey, '{{"big":' || k || '00000000000000000000,"huge":' || {dbl("c || '.5E+17'")} || ',"list":[-0.0,0,'
+       || {dbl("k || 'e3'")} || '],"price":' || {dbl("c || 'E-2'")} || ',"tiny":' || {dbl("u || 'e-12'")} || ',"whole":'
+       || {dbl("u || '.0'")} || '}}' AS canonical
+FROM (SELECT o_orderkey, coalesce(CAST(o_orderkey + 1 AS VARCHAR), '0') AS k, coalesce(CAST(o_custkey AS VARCHAR), '0') AS u,
+             coalesce(CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR), '0') AS c FROM orders)""",
+        "ascii_texts": f"""
+SELECT kind, id, turn, md5(j) AS digest, length(j) AS chars FROM (
+  SELECT 'document' AS kind, doc_id AS id, 0::BIGINT AS turn, {text} AS j FROM documents
+  UNION ALL SELECT 'turn', conv_id, turn::BIGINT, {text} FROM conversations)""",
+    }
+
+
 def corpus_oracles() -> dict[str, str]:
     from recordsmith.functions import prompts as P
     synth = Q.with_ctes(_synth_ctes())
@@ -196,22 +274,32 @@ def corpus_oracles() -> dict[str, str]:
                     "{'ts': ts, 'event_id': event_id} AS turn, "
                     "CASE WHEN event_type IN ('error', 'click') THEN 'tool' WHEN event_type = 'view' THEN 'user' "
                     "ELSE 'assistant' END AS role, event_type || ' ' || coalesce(props, 'null') AS text FROM events)")
-    sft = (f"{Q._sql_str(P.IM_START + 'system' + chr(10) + P.SYSTEM_PROMPT + P.IM_END + chr(10))} || "
-           f"'{P.IM_START}user' || chr(10) || {_user_prompt_sql('input_text', 'schema_hint')} || '{P.IM_END}' || chr(10) || "
-           f"'{P.IM_START}assistant' || chr(10) || target_json || '{P.IM_END}' || chr(10)")
+    system = Q._sql_str(P.IM_START + "system" + chr(10) + P.SYSTEM_PROMPT + P.IM_END + chr(10))
+    said = "coalesce(text, 'None')"
+    opening = _ascii_string("split_part(coalesce(text, ''), chr(10), 1)")
+    target = (f"'{{\"lang\":' || {_ascii_string('lang')} || ',\"source\":' || {_ascii_string('source')} "
+              f"|| ',\"opening\":' || {opening} || '}}'")
+    sft = (f"{system} || '{P.IM_START}user' || chr(10) || {_user_prompt_sql(said, 'coalesce(lang, ' + chr(39) + 'None' + chr(39) + ')')} "
+           f"|| '{P.IM_END}' || chr(10) || '{P.IM_START}assistant' || chr(10) || {target} || '{P.IM_END}' || chr(10)")
+    prompt = _user_prompt_sql(said, "coalesce(source, 'None')")
+    infer = (f"{system} || '{P.IM_START}user' || chr(10) || {_user_prompt_sql(said, Q._sql_str(P.DEFAULT_SCHEMA_HINT))} "
+             f"|| '{P.IM_END}' || chr(10) || '{P.IM_START}assistant' || chr(10)")
     return {
         "synth_notes": synth + f"SELECT {cols} FROM notes",
         "synth_refusals": synth + f"SELECT {cols} FROM refusals",
         "split_corpus": synth + f"SELECT {cols}, ordinal, split FROM split",
-        "split_counts": synth + "SELECT split, count(*) AS rows FROM split GROUP BY split",
+        "split_counts": Q.with_ctes(_DOCUMENT_SPLITS) + "SELECT split, count(*) AS rows FROM docsplit GROUP BY split",
+        "split_documents": Q.with_ctes(_DOCUMENT_SPLITS) + "SELECT doc_id, split, length(text) AS chars FROM docsplit",
         "eval_subset": synth + ("SELECT id, ordinal, target_json FROM split WHERE split = 'test' "
                                 "ORDER BY ordinal LIMIT 400"),
         "first_example": synth + f"SELECT id, {line} AS line FROM split WHERE split = 'train' ORDER BY ordinal LIMIT 1",
         "chat_render": "WITH " + _chat_sql("conversations", False).strip(),
         "chat_prompt": "WITH " + _chat_sql("conversations", True).strip(),
         "tool_chat_render": "WITH " + events_turns + ",\n" + _chat_sql("ev", False).strip(),
-        "sft_text": synth + f"SELECT {sft} AS text FROM split WHERE split = 'train'",
-        "user_prompt": synth + f"SELECT id, {_user_prompt_sql('input_text', 'schema_hint')} AS prompt FROM corpus_all",
+        "sft_text": Q.with_ctes(_DOCUMENT_SPLITS) + f"SELECT {sft} AS text FROM docsplit WHERE split = 'train'",
+        "user_prompt": f"SELECT doc_id, {prompt} AS prompt FROM documents",
+        "inference_prompts": ("SELECT conv_id, " + infer + " AS prompt FROM (SELECT conv_id, first(text ORDER BY turn) AS text "
+                              "FROM conversations WHERE role = 'user' GROUP BY conv_id)"),
     }
 
 
@@ -249,7 +337,22 @@ def pair_oracles() -> dict[str, str]:
     payload = (f"'{{\"instruction\":' || CAST(to_json({Q._sql_str(P.SYSTEM_PROMPT)}) AS VARCHAR) "
                f"|| ',\"user_prompt\":' || CAST(to_json({_user_prompt_sql('b.input_text', 'b.schema_hint')}) AS VARCHAR) "
                f"|| ',\"target_json\":' || b.target_text || ',\"candidates\":' || l.candidates_json || '}}'")
+    # An indent of four comes from the JSON library; half of it is asked for.
+    pretty = ("array_to_string(list_transform(string_split(json_pretty(CAST(payload AS JSON)), chr(10)), "
+              "lambda x: repeat(' ', ((length(x) - length(ltrim(x, ' '))) // 2)::BIGINT) || ltrim(x, ' ')), chr(10))")
+    sound = ("'{\"chosen_index\":' || (o_orderkey % 4) || ',\"rejected_index\":' || ((o_orderkey + 1) % 4) || ',\"reason\":\"' "
+             "|| coalesce(o_orderpriority, '') || '\"}'")
+    broken = (f"CASE o_orderkey % 4 WHEN 0 THEN replace(replace({sound}, '{{', ''), '}}', '') "
+              "WHEN 1 THEN '{\"chosen_index\":' || (o_orderkey % 4) || '}' "
+              "WHEN 2 THEN '{\"chosen_index\":\"' || (o_orderkey % 4) || '\",\"rejected_index\":\"' || ((o_orderkey + 1) % 4) "
+              f"|| '\",\"reason\":\"' || coalesce(o_orderpriority, '') || '\"}}' ELSE substr({sound}, 1, 20) END")
+    payloads = Q.with_ctes(Q.ORDER_SOURCE, cands, lists) + f"SELECT b.id, {payload} AS payload FROM corpus_base b JOIN lists l ON b.id = l.id"
     return {
+        "judge_payload_pretty": f"SELECT id, {pretty} AS payload FROM ({payloads})",
+        "verdicts_good": ("SELECT 'order-' || o_orderkey AS id, CAST(o_orderkey % 4 AS INTEGER) AS chosen_index, "
+                          "CAST((o_orderkey + 1) % 4 AS INTEGER) AS rejected_index, coalesce(o_orderpriority, '') AS reason "
+                          "FROM orders WHERE o_orderkey % 7 <> 3"),
+        "verdicts_bad": f"SELECT 'order-' || o_orderkey AS id, {broken} AS output_text FROM orders WHERE o_orderkey % 7 = 3",
         "candidates_long": Q.with_ctes(Q.ORDER_SOURCE, cands) + "SELECT id, candidate_index, text FROM cands",
         "candidate_lists": Q.with_ctes(Q.ORDER_SOURCE, cands, lists) + "SELECT * FROM lists",
         "judge_payload": Q.with_ctes(Q.ORDER_SOURCE, cands, lists)
