@@ -1,16 +1,21 @@
 """Edit-aware token counts (operator 6).
 
-A document is kept as the leaves of a segment tree: stretches of text cut before single
-spaces, where no match of the vocabulary's pattern can reach across, each with its token
-count. An edit replaces a range of characters. Only the leaves it touches are encoded
+A document is kept as the leaves of a segment tree: stretches of text cut where no match of
+the vocabulary's pattern can reach across -- before a space behind other text and, under the
+pattern of the public tokenizers, wherever letters, digits and other signs meet, so that
+texts without spaces have leaves too -- each with its token count. An edit replaces a range of characters. Only the leaves it touches are encoded
 again, widened by a neighbour wherever the edit has spoiled the cut between them; the sums
 of characters and tokens are updated along the paths to the root.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordsmith.llm.bpe import ByteBpe, default_vocabulary, load_coder
@@ -21,15 +26,31 @@ GROWN = 8                # a leaf over so many times that is cut anew
 TREE = "doc_id long, leaves array<string>, tokens array<long>, n_tokens long"
 
 
-def cut_leaves(text: str) -> list[str]:
+# Matches of the public pattern are runs of letters, of digits or of other signs, with at most
+# one space before; only an apostrophe can be matched together with the letters behind it.
+_BORDERS = regex.compile(ByteBpe.CUT.pattern + r"|(?<=\p{L})(?=[^\s\p{L}])|(?<=\p{N})(?=[^\s\p{N}])"
+                         r"|(?<=[^\s\p{L}\p{N}'])(?=[\p{L}\p{N}])")
+
+
+def borders(pattern: str):
+    """Where a text may be cut without changing the matches of a pattern."""
+    return _BORDERS if pattern == public_tokenizers.PATTERN else ByteBpe.CUT
+
+
+@lru_cache(maxsize=1 << 16)
+def _safe(cut, before: str, after: str) -> bool:
+    return bool(before and after and cut.match(before + after, 1))
+
+
+def cut_leaves(text: str, cut=_BORDERS) -> list[str]:
     """Stretches of a text between safe cuts, LEAF_CHARS or more each."""
     leaves, start = [], 0
     while len(text) - start > LEAF_CHARS:
-        cut = ByteBpe.CUT.search(text, start + LEAF_CHARS)
-        if cut is None:
+        found = cut.search(text, start + LEAF_CHARS)
+        if found is None:
             break
-        leaves.append(text[start:cut.start()])
-        start = cut.start()
+        leaves.append(text[start:found.start()])
+        start = found.start()
     if start < len(text) or not leaves:
         leaves.append(text[start:])
     return leaves
@@ -38,8 +59,8 @@ def cut_leaves(text: str) -> list[str]:
 class TokenTree:
     """Sums of characters and tokens over the leaves of one document."""
 
-    def __init__(self, coder: ByteBpe, leaves: list[str], tokens: list[int] | None = None):
-        self.coder, self.encoded = coder, 0
+    def __init__(self, coder: ByteBpe, leaves: list[str], tokens: list[int] | None = None, cut=_BORDERS):
+        self.coder, self.encoded, self.cut = coder, 0, cut
         self._build(leaves, tokens or [self._count(x) for x in leaves])
 
     def _count(self, text: str) -> int:
@@ -95,17 +116,15 @@ class TokenTree:
         j, z = self._find(stop - 1) if stop > start else (i, a - 1)
         region = self.leaves[i][:a] + new + self.leaves[j][z + 1:]
         last = len(self.leaves) - 1
-        # The cut before the region: its space must stand, after a character that is no space.
-        while i > 0 and (not region.startswith(" ") or not self.leaves[i - 1]
-                         or self.leaves[i - 1][-1].isspace()):
+        # Cuts that the edit has spoiled, before and behind the region, go.
+        while i > 0 and not _safe(self.cut, self.leaves[i - 1][-1:], region[:1]):
             i -= 1
             region = self.leaves[i] + region
-        # The cut behind it: the next leaf's space must follow a character that is no space.
-        while j < last and (not region or region[-1].isspace() or not self.leaves[j + 1].startswith(" ")):
+        while j < last and not _safe(self.cut, region[-1:], self.leaves[j + 1][:1]):
             j += 1
             region += self.leaves[j]
         if len(region) > GROWN * LEAF_CHARS:
-            pieces = cut_leaves(region)
+            pieces = cut_leaves(region, self.cut)
             tokens = self.tokens[self.base:self.base + len(self.leaves)]
             self._build(self.leaves[:i] + pieces + self.leaves[j + 1:],
                         tokens[:i] + [self._count(x) for x in pieces] + tokens[j + 1:])
@@ -123,7 +142,8 @@ def token_trees(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = load_coder(path, pattern)
-        trees = [TokenTree(coder, cut_leaves(t or "")) for t in batch.column("text").to_pylist()]
+        cut = borders(pattern)
+        trees = [TokenTree(coder, cut_leaves(t or "", cut), None, cut) for t in batch.column("text").to_pylist()]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([t.leaves for t in trees], pa.list_(pa.string())),
              pa.array([t.tokens[t.base:t.base + len(t.leaves)] for t in trees], pa.list_(pa.int64())),
@@ -133,6 +153,44 @@ def token_trees(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return map_slices(source, run, TREE, "text")
 
 
+def _edited(tree: TokenTree, edits: list | None) -> TokenTree:
+    for e in edits or []:
+        tree.edit(e["start"], e["stop"], e["replacement"])
+    return tree
+
+
+def _as_edit(seq, start, stop, replacement) -> Column:
+    """An edit as ``apply_edits`` takes it: null bounds are 0, a null replacement is empty."""
+    return F.struct(seq.alias("seq"), F.coalesce(start, F.lit(0)).cast("long").alias("start"),
+                    F.coalesce(stop, F.lit(0)).cast("long").alias("stop"),
+                    F.coalesce(replacement, F.lit("")).alias("replacement"))
+
+
+def edited_counts(df: DataFrame, edits: Column, doc_id: str = "doc_id", text: str = "text",
+                  vocabulary: tuple[str, str] | None = None) -> DataFrame:
+    """(doc_id, n_before, n_tokens, n_edits, chars_encoded) of every row after the edits in its
+    own array column ``edits`` (structs of ``_as_edit``, taken in the order of seq).
+
+    Trees are built, edited and summed up where the row is; nothing is shuffled, and rows that
+    share an id do not meet. A null text is empty, a null array means no edits.
+    """
+    path, pattern = vocabulary or default_vocabulary()
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        coder, cut, out = load_coder(path, pattern), borders(pattern), []
+        for t, edits in zip(batch.column("text").to_pylist(), batch.column("edits").to_pylist()):
+            tree = TokenTree(coder, cut_leaves(t or "", cut), None, cut)
+            before, tree.encoded = tree.n_tokens, 0
+            out.append((before, _edited(tree, edits).n_tokens, len(edits or []), tree.encoded))
+        columns = list(zip(*out)) or [()] * 4
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns)],
+                                          ["doc_id", "n_before", "n_tokens", "n_edits", "chars_encoded"])
+
+    source = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"),
+                       F.sort_array(edits).alias("edits"))
+    return map_slices(source, run, "doc_id long, n_before long, n_tokens long, n_edits long, chars_encoded long", "text")
+
+
 def apply_edits(trees: DataFrame, edits: DataFrame, vocabulary: tuple[str, str] | None = None) -> DataFrame:
     """Trees after their edits, with ``n_before``, ``n_edits`` and ``chars_encoded``.
 
@@ -143,19 +201,15 @@ def apply_edits(trees: DataFrame, edits: DataFrame, vocabulary: tuple[str, str]
     are, and rows that share an id all get the edits of that id.
     """
     path, pattern = vocabulary or default_vocabulary()
-    listed = (edits.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(
-        "seq", F.coalesce("start", F.lit(0)).cast("long").alias("start"),
-        F.coalesce("stop", F.lit(0)).cast("long").alias("stop"),
-        F.coalesce("replacement", F.lit("")).alias("replacement")))).alias("edits")))
+    edit = _as_edit(*(F.col(c) for c in ("seq", "start", "stop", "replacement")))
+    listed = (edits.where("doc_id IS NOT NULL").groupBy("doc_id")
+              .agg(F.sort_array(F.collect_list(edit)).alias("edits")))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = load_coder(path, pattern)
         out = []
         for leaves, tokens, edits in zip(*(batch.column(c).to_pylist() for c in ("leaves", "tokens", "edits"))):
-            tree = TokenTree(coder, leaves, tokens)
-            for e in edits or []:
-                tree.edit(e["start"], e["stop"], e["replacement"])
-            out.append(tree)
+            out.append(_edited(TokenTree(coder, leaves, tokens, borders(pattern)), edits))
         n = [len(e or []) for e in batch.column("edits").to_pylist()]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([t.leaves for t in out], pa.list_(pa.string())),
@@ -168,23 +222,19 @@ def apply_edits(trees: DataFrame, edits: DataFrame, vocabulary: tuple[str, str]
                       TREE + ", n_before long, n_edits long, chars_encoded long", "leaves")
 
 
-def derived_edits(docs: DataFrame) -> DataFrame:
-    """Three edits of every document, made from its own row: its source in place of twelve
+def derived_edits() -> Column:
+    """Three edits of a document, made from its own row: its source in place of twelve
     characters after the first third, its beginning repeated in the middle, and its last
     seven characters deleted."""
     size = F.length(F.coalesce("text", F.lit("")))
     third, half = F.floor(size / 3), F.floor(size / 2)
-    return docs.select("doc_id", F.inline(F.array(
-        F.struct(F.lit(1).alias("seq"), third.alias("start"), (third + 12).alias("stop"),
-                 F.coalesce("source", F.lit("")).alias("replacement")),
-        F.struct(F.lit(2).alias("seq"), half.alias("start"), half.alias("stop"),
-                 F.substring(F.coalesce("text", F.lit("")), 1, 20).alias("replacement")),
-        F.struct(F.lit(3).alias("seq"), (size - 7).cast("long").alias("start"), (size + 64).cast("long").alias("stop"),
-                 F.lit("").alias("replacement")))))
+    return F.array(
+        _as_edit(F.lit(1), third, third + 12, F.col("source")),
+        _as_edit(F.lit(2), half, half, F.substring(F.coalesce("text", F.lit("")), 1, 20)),
+        _as_edit(F.lit(3), size - 7, size + 64, F.lit("")))
 
 
 def op6_token_counts(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents")
-    done = apply_edits(token_trees(docs), derived_edits(docs.select("doc_id", "text", "source")))
-    return done.select("doc_id", F.col("n_before").alias("n_tokens_before"),
-                       F.col("n_tokens").alias("n_tokens_after"), "n_edits", "chars_encoded")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return edited_counts(docs, derived_edits()).select(
+        "doc_id", F.col("n_before").alias("n_tokens_before"), F.col("n_tokens").alias("n_tokens_after"), "n_edits", "chars_encoded")

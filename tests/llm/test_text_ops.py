@@ -12,7 +12,8 @@ import helpers
 from recordsmith.llm.bpe import bpe_decode, bpe_encode, default_vocabulary, load_coder
 from recordsmith.llm.chat_format import OP4_SQL, format_chats, loss_text, op4_chat_format, read_turns
 from recordsmith.llm.quality import OP9_SQL, op9_quality_rules, quality
-from recordsmith.llm.token_counts import TokenTree, apply_edits, cut_leaves, token_trees
+from recordsmith.llm.token_counts import (TokenTree, apply_edits, cut_leaves, derived_edits, edited_counts,
+                                          op6_token_counts, token_trees)
 from recordsmith.llm.toxicity import fit_toxicity, op10_toxicity, score_toxicity
 from pyspark.sql import functions as F
 
@@ -85,6 +86,50 @@ def test_edits_of_frames(spark, coder):
     assert apply_edits(token_trees(helpers.frame(spark, [])), edits).count() == 0
 
 
+def _after_edits(text, source):
+    text = text or ""
+    third, half = len(text) // 3, len(text) // 2
+    size, first = len(text), text[:20]
+    text = text[:third] + (source or "") + text[third + 12:]
+    text = text[:half] + first + text[half:]
+    return text[:max(size - 7, 0)] + text[size + 64:]
+
+
+def test_token_count_query_equals_recounts(spark, library):
+    sf = "/root/testdata/sf0.001"
+    got = {r["doc_id"]: r for r in op6_token_counts(spark, sf).collect()}
+    rows = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        want = [len(library.encode_ordinary(t)) for t in (r["text"] or "", _after_edits(r["text"], r["source"]))]
+        x = got[r["doc_id"]]
+        assert [x["n_tokens_before"], x["n_tokens_after"], x["n_edits"]] == [*want, 3]
+    assert sum(r["chars_encoded"] for r in got.values()) < 0.6 * sum(len(r["text"] or "") for r in rows)
+
+
+def test_edits_of_texts_without_spaces(coder):
+    r = random.Random(5)
+    unit = ["日本語の文章。", "abc123", "x'sy", "'s", "你好，世界！", "42.5", "e\u0301a", "(z)", "''t"]
+    for k in range(40):
+        text = "".join(r.choice(unit) for _ in range(2000))
+        tree = TokenTree(coder, cut_leaves(text))
+        assert len(tree.leaves) > 10 and tree.n_tokens == len(coder.encode(text)) // 4
+        for _ in range(5):
+            at, new = r.randrange(len(text)), r.choice(["", "'", "a", "。", "7", "'s", " ", "\n"])
+            stop = min(len(text), at + r.choice([0, 0, 1, 3]))
+            text, tree.encoded = text[:at] + new + text[stop:], 0
+            tree.edit(at, stop, new)
+            assert tree.text == text and tree.n_tokens == len(coder.encode(text)) // 4 and tree.encoded < 2000
+
+
+def test_edits_of_repeated_ids_stay_with_their_rows(spark):
+    rows = [(7, helpers.prose(k % 3, 30), "s") for k in range(400)] + [(None, None, None), (8, "", "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = edited_counts(docs, derived_edits()).collect()
+    assert len(out) == 402 and {r["n_edits"] for r in out} == {3}
+    assert len({r["n_tokens"] for r in out if r["doc_id"] == 7}) <= 3
+
+
 def _equal_to_sql(spark, query, sql, *tables):
     con = duckdb.connect()
     for t in tables:
