@@ -54,8 +54,9 @@ NUMBER_MARK = "\x01n"
 _MARK_JSON = r'"\u0001n'
 
 
-def py_float(x: str) -> str:
-    """``repr`` of a double: shortest digits, an exponent below 1e-4 and from 1e16 on."""
+def py_float(x: str, literal: str | None = None) -> str:
+    """``repr`` of a double: shortest digits, an exponent below 1e-4 and from 1e16 on. Digits
+    of the ``literal`` that the double was read from are taken where they are as short."""
     def digits(t: str) -> str:
         # Digits and place of the point of Java's text, such as 1.25E-7.
         point = f"(length(substring_index({t}.m, '.', 1)) + {t}.e)"
@@ -91,7 +92,14 @@ def py_float(x: str) -> str:
         parts = let(java, lambda j: (f"named_struct('m', substring_index({j}, 'E', 1), 'e', "
                                      f"CASE WHEN contains({j}, 'E') THEN cast(substring_index({j}, 'E', -1) AS int) ELSE 0 END)"))
         found = let(parts, lambda t: let(digits(t), lambda d: f"named_struct('d', {d}.d, 'p', {d}.p, 'x', abs({a}))"))
-        text = let(found, lambda v: let(shorter(v), lambda w: let(shorter(w), shown)))
+        best = let(found, lambda v: let(shorter(v), shorter))
+        if literal:
+            body = f"substring_index(lower(ltrim('-', {literal})), 'e', 1)"
+            given = (f"named_struct('m', CASE WHEN contains({body}, '.') THEN {body} ELSE concat({body}, '.0') END, 'e', "
+                     f"CASE WHEN contains(lower({literal}), 'e') THEN cast(substring_index(lower({literal}), 'e', -1) AS int) ELSE 0 END)")
+            best = let(best, lambda w: let(let(given, digits), lambda g: (
+                f"CASE WHEN length({g}.d) <= length({w}.d) THEN named_struct('d', {g}.d, 'p', {g}.p, 'x', {w}.x) ELSE {w} END")))
+        text = let(best, shown)
         sign = f"CASE WHEN startswith(cast({a} AS string), '-') THEN '-' ELSE '' END"
         return f"CASE WHEN abs({a}) = double('Infinity') THEN concat({sign}, 'Infinity') ELSE concat({sign}, {text}) END"
 
@@ -104,7 +112,7 @@ def keep_numbers(t: str) -> str:
     no JSON stay as they are, so an invalid text stays invalid."""
     def number(k: str) -> str:
         literal = (f"CASE WHEN {k} RLIKE {lit(_INTEGER)} THEN CASE WHEN {k} = '-0' THEN '0' ELSE {k} END "
-                   f"ELSE {py_float(f'cast({k} AS double)')} END")
+                   f"ELSE {py_float(f'cast({k} AS double)', k)} END")
         return let(literal, lambda n: (
             f"CASE WHEN {n} RLIKE {lit(_INTEGER)} AND length({n}) < 19 OR {n} RLIKE {lit(_HELD)} AND {n} <> '-0.0' THEN {n} "
             f"ELSE concat({lit(_MARK_JSON)}, {n}, '\"') END"))

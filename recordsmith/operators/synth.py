@@ -73,7 +73,7 @@ def build_notes(idx: DataFrame, seed: int = DEFAULT_SEED, idx_col: str = "idx",
     day = D.randint(s, i, "day", 1, 28)
 
     base = idx.select(
-        i.alias("idx"), name.alias("name"), age.alias("age"), sex.alias("sex"),
+        i.alias("_i"), name.alias("name"), age.alias("age"), sex.alias("sex"),
         complaint.alias("complaint"), diagnoses.alias("diagnoses"), med_names.alias("med_names"),
         allergies.alias("allergies"), systolic.alias("systolic"), diastolic.alias("diastolic"),
         heart_rate.alias("heart_rate"), temp10.alias("temp10"), follow_up.alias("follow_up"),
@@ -104,7 +104,7 @@ def build_notes(idx: DataFrame, seed: int = DEFAULT_SEED, idx_col: str = "idx",
     target = F.struct(F.lit(True).alias("can_extract"), F.lit(None).cast("string").alias("refusal_reason"),
                       record.alias("record"))
     return base.select(
-        F.format_string("medical-%05d", F.col("idx")).alias("id"),
+        F.format_string("medical-%05d", F.col("_i")).alias("id"),
         note.alias("input_text"),
         F.lit(DEFAULT_SCHEMA_HINT).alias("schema_hint"),
         target.alias("target_json"),
