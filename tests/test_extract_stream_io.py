@@ -1,5 +1,9 @@
 """Extraction round trip, batch = stream, and write/read round trips."""
 
+import json
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from recordsmith.operators import synth as SY
@@ -64,14 +68,62 @@ def test_dataset_card_and_candidates_document(spark, tmp_dir):
     assert (card.num_examples, card.seed, card.schema) == (4000, 42, "medical_intake_v1")
     cands = spark.createDataFrame([("a", 1, "y"), ("a", 0, "x"), ("b", 0, "z")],
                                   "id string, candidate_index int, text string")
-    doc = W.candidates_document(cands).first().value
     path = f"{tmp_dir}/cands.json"
-    with open(path, "w") as fh:
-        fh.write(doc)
+    W.write_candidates_map(cands, path)
     back = R.read_candidates_map(spark, path)
     assert sorted(map(tuple, back.collect())) == [("a", 0, "x"), ("a", 1, "y"), ("b", 0, "z")]
 
 
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("split", ["40b", "1k", "128m"])
+def test_map_file_is_read_by_many_tasks(spark, tmp_dir, indent, split):
+    r = random.Random(4)
+    text = lambda: "".join(r.choice(['"', "\\", "a", "é", "😀", "{", "}", "[", "]", ":", ",", "\n", " ", "\u0001"]) for _ in range(r.randint(0, 12)))
+    doc = {f"{k}{text()}": [text() for _ in range(r.choice([0, 1, 2, 5]))] for k in range(60)}
+    raw = json.dumps(doc, indent=indent, ensure_ascii=indent is None)
+    raw = raw[:-1] + ', "twice": ["x"], "twice": ["y", "z"]}'
+    with open(f"{tmp_dir}/map.json", "w", encoding="utf-8") as fh:
+        fh.write(raw)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        rows = R.read_candidates_map(spark, f"{tmp_dir}/map.json").collect()
+        parts = spark.read.option("lineSep", '"').text(f"{tmp_dir}/map.json").rdd.getNumPartitions()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert parts > 20 or split != "40b"
+    want = json.loads(raw)
+    assert sorted(map(tuple, rows)) == sorted((i, k, t) for i, texts in want.items() for k, t in enumerate(texts))
+
+
+def test_map_folder_is_one_document(spark, tmp_dir):
+    rows = [(f"id {k} \"é\"", j, f"text {j} \\ {k}\n") for k in range(50) for j in range(k % 4)]
+    cands = spark.createDataFrame(rows, "id string, candidate_index int, text string").repartition(6)
+    W.write_candidates_map(cands, f"{tmp_dir}/map")
+    whole = "".join(r.value + "\n" for r in spark.read.text(f"{tmp_dir}/map").withColumn("f", F.col("_metadata.file_name"))
+                    .withColumn("i", F.monotonically_increasing_id()).orderBy("f", "i").collect())
+    want = {}
+    for i, _, t in sorted(rows):
+        want.setdefault(i, []).append(t)
+    assert json.loads(whole) == want and whole.isascii()
+    assert sorted(map(tuple, R.read_candidates_map(spark, f"{tmp_dir}/map").collect())) == sorted(rows)
+
+
+def test_rerun_replaces_one_split_only(spark, tmp_dir):
+    df = spark.range(30).select(F.col("id"), F.lit("ü").alias("t"), F.lit(None).cast("string").alias("n"),
+                                F.when(F.col("id") < 20, "train").otherwise("val").alias("split"))
+    W.write_splits(df, f"{tmp_dir}/s")
+    W.write_splits(df.where("split = 'val'").withColumn("t", F.lit("new")), f"{tmp_dir}/s")
+    back = R.read_jsonl(spark, f"{tmp_dir}/s", "id long, t string, n string", "split string")
+    assert {(r.split, r.t): r.n for r in back.groupBy("split", "t").agg(F.count("*").alias("n")).collect()} == {("train", "ü"): 20, ("val", "new"): 10}
+    plan = back.where("split = 'val'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan
+    line = spark.read.text(f"{tmp_dir}/s/split=train").first().value
+    assert line.isascii() and "\\u00fc" in line and '"n":null' in line
+
+
 def test_eval_report_files(spark, tmp_dir):
     import json
     for name, v in (("baseline_eval", 45.0), ("sft_eval", 91.0)):
