@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from recordsmith.functions import jsonparse as J
 from recordsmith.functions import scoring as S
@@ -23,15 +23,16 @@ from recordsmith.functions.text import json_string
 from recordsmith.operators.conform import Maybe, nested_conformance
 from recordsmith.operators import synth as SY
 from recordsmith.operators.evaluate import eval_report as _eval_report
-from recordsmith.operators.evaluate import join_predictions, score_predictions
+from recordsmith.operators.evaluate import join_predictions, report_without_detail, score_predictions
 from recordsmith.operators.flatten import flatten_json as _flatten_json
 from recordsmith.operators.jsonsafe import json_safe
 from recordsmith.operators.parallel import ensure_parallelism
 from recordsmith.operators.pretty import pretty_json
 from recordsmith.operators.score_long import score_documents_long, score_long as score_rows
 from recordsmith.session import checkpoint_root, configure
-from recordsmith.sinks.writers import split_summary
+from recordsmith.sinks.writers import split_summary, write_candidates_map, write_reports, write_splits
 from recordsmith.sources.corpus import order_candidates, order_corpus, order_source
+from recordsmith.sources.files import read_candidates_map, read_eval_reports, read_jsonl
 from recordsmith.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -512,6 +513,67 @@ def running_best(spark, sf_dir):
     return RP.running_best(_metric_log(spark, sf_dir), "user_id", "event_id", "value")
 
 
+def _folder(spark, name: str) -> str:
+    return f"{checkpoint_root(spark)}/{name}/{uuid.uuid4().hex}"
+
+
+@register
+def documents_files(spark, sf_dir):
+    """Documents written as JSONL by split, the val split written again, and
+    the train split read back; the digest of every text."""
+    path = _folder(spark, "splits")
+    docs = _document_splits(spark, sf_dir)
+    write_splits(docs, path)
+    write_splits(docs.where("split = 'val'").withColumn("text", F.lit("rewritten")), path)
+    back = read_jsonl(spark, path, "doc_id BIGINT, text STRING, lang STRING, source STRING", "split STRING")
+    return back.where("split <> 'test'").select("doc_id", "split", "lang", "source", F.md5("text").alias("digest"))
+
+
+@register
+def candidates_files(spark, sf_dir):
+    """S3/K5: candidates written as one JSON object over many files and read back."""
+    path = _folder(spark, "candidates")
+    write_candidates_map(_candidates(spark, sf_dir), path)
+    return read_candidates_map(spark, path)
+
+
+@register
+def stage_delta_files(spark, sf_dir):
+    """A report document per candidate position, read back with the stage
+    from the file's name, and the change of each metric."""
+    path = _folder(spark, "reports")
+    reports = _stage_reports(spark, sf_dir)
+    write_reports(report_without_detail(reports.withColumn("predictions", F.lit(None).cast("string"))).drop("stage_no"), path)
+    back = RP.stage_metrics(read_eval_reports(spark, [path]))
+    ordered = back.withColumn("stage_no", F.regexp_extract("stage", r"(\d+)$", 1).cast("int"))
+    return RP.stage_delta(RP.unpivot_metrics(ordered.select("stage", "stage_no", *SCH.METRIC_NAMES)))
+
+
+def _trainer_states(spark, sf_dir) -> DataFrame:
+    """The event log as trainer states, one document per user and day: events with an odd number
+    are training rows, the others evaluations, and the last one is the summary."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "value")
+    last = F.max("event_id").over(Window.partitionBy("user_id", "day"))
+    odd, end = F.pmod("event_id", F.lit(2)) == 1, F.col("event_id") == last
+    entry = F.struct(F.col("event_id").alias("step"), F.when(~end & odd, F.col("value")).alias("loss"),
+                     F.when(~end & ~odd, F.col("value")).alias("eval_loss"), F.when(end, F.col("value")).alias("train_runtime"))
+    return ev.withColumn("e", entry).groupBy("user_id", "day").agg(
+        F.max("event_id").alias("global_step"), F.sort_array(F.collect_list("e")).alias("log_history"))
+
+
+@register
+def train_log(spark, sf_dir):
+    """Trainer-state documents written, read back with the schema that joins all their
+    rows' keys, and taken apart into training, evaluation and summary rows."""
+    path = _folder(spark, "states")
+    _trainer_states(spark, sf_dir).drop("user_id", "day").write.mode("overwrite").json(path)    # absent keys stay absent
+    state = spark.read.schema(SCH.TRAINER_STATE).json(path)
+    logs = RP.log_tables(state)
+    parts = [logs[k].select(F.lit(k).alias("part"), "step", F.col(c).alias("value")) for k, c in
+             (("train", "loss"), ("eval", "eval_loss"), ("final", "train_runtime"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # -------------------------------------------------------------- 8. extraction
 
 

@@ -390,6 +390,14 @@ def report_oracles() -> dict[str, str]:
         "stage_report": stages.rstrip() + ",\n" + rep + "\nSELECT * FROM reports",
         "stage_compare": stages.rstrip() + ",\n" + rep + ",\n" + long + "\nSELECT * FROM long",
         "stage_delta": stages.rstrip() + ",\n" + rep + ",\n" + long + "\n" + delta,
+        "stage_delta_files": stages.rstrip() + ",\n" + rep + ",\n" + long + "\n" + delta,
+        "documents_files": Q.with_ctes(_DOCUMENT_SPLITS) + (
+            "SELECT doc_id, split, lang, source, md5(CASE WHEN split = 'val' THEN 'rewritten' ELSE text END) AS digest "
+            "FROM docsplit WHERE split <> 'test'"),
+        "candidates_files": Q.with_ctes(Q.ORDER_SOURCE, cands) + "SELECT id, candidate_index, text FROM cands",
+        "train_log": ("SELECT CASE WHEN event_id = last THEN 'final' WHEN ((event_id % 2) + 2) % 2 = 1 THEN 'train' ELSE 'eval' END AS part, "
+                      "event_id AS step, value FROM (SELECT *, max(event_id) OVER (PARTITION BY user_id, strftime(ts, '%Y-%m-%d')) AS last "
+                      "FROM events) WHERE value IS NOT NULL"),
         "best_checkpoint": ("SELECT user_id, first(event_id ORDER BY value, event_id) AS best_step, "
                             "min(value) AS best_metric FROM events WHERE value IS NOT NULL GROUP BY user_id"),
         "running_best": ("SELECT user_id, event_id, value, min(value) OVER (PARTITION BY user_id ORDER BY event_id "
