@@ -3,6 +3,8 @@
 ``template_extract`` reads the record back out of a synthetic note with
 regular expressions: pure column expressions, JVM-side.
 
+``sample_candidates`` asks a plug-in for several outputs a row, seeded by row and index.
+
 ``batch_extract`` is the plug-in path: a generator turns a batch of input
 texts into raw output texts. It runs in ``mapInPandas`` (Arrow batches), the
 generator is built once per partition, and everything after it -- parsing,
@@ -83,6 +85,50 @@ class TemplateGenerator:
         return batch["text"].map(self._one)
 
 
+class DamageGenerator:
+    """A plug-in for ``sample_candidates`` without a model: answers with its input, damaged in
+    one of DAMAGES ways, as the row's seed says."""
+
+    DAMAGES = ("clean", "prose", "trailing", "truncated", "non_object", "blank")
+
+    def _one(self, text: str, seed: int) -> str:
+        from recordsmith.sources import corpus as C
+        kind = self.DAMAGES[seed % len(self.DAMAGES)]
+        return {"clean": text, "prose": C.PROSE_HEAD + text + C.PROSE_TAIL, "trailing": text + C.TRAILER,
+                "truncated": text[:-C.CUT_CHARS], "non_object": C.NON_OBJECT, "blank": C.BLANK}[kind]
+
+    def __call__(self, batch):
+        return [self._one(t or "", s) for t, s in zip(batch["text"], batch["seed"])]
+
+
+def sample_candidates(df: DataFrame, generator_factory: Callable[[], Callable], k: int = 4, seed: int = 42,
+                      text_col: str = "input_text", hint_col: str = "schema_hint", id_col: str = "id",
+                      batch_rows: int = 64) -> DataFrame:
+    """(id, candidate_index, text), ``k`` outputs of a generator for every row.
+
+    The generator is built once a partition and called with batches of ``batch_rows`` requests
+    across rows (text, schema_hint, candidate_index, seed). A request's seed is drawn from
+    (seed, id, index) alone, so a generator that uses no other chance gives the same
+    candidates at any partitioning and after any retry.
+    """
+    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_col).cast("string"),
+                                                F.col("candidate_index").cast("string"))), 1, 8), 16, 10).cast("bigint")
+    requests = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(hint_col).alias("schema_hint"),
+                         F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("candidate_index"))
+    requests = requests.select("id", "text", "schema_hint", "candidate_index", draw.alias("seed"))
+
+    def run(batches: Iterator) -> Iterator:
+        generator = generator_factory()
+        for pdf in batches:
+            for at in range(0, len(pdf), batch_rows):
+                part = pdf.iloc[at:at + batch_rows]
+                out = part[["id", "candidate_index"]].copy()
+                out["text"] = list(generator(part.drop(columns="id").reset_index(drop=True)))
+                yield out
+
+    return shipped(requests).mapInPandas(run, f"id {dict(requests.dtypes)['id']}, candidate_index int, text string")
+
+
 def batch_extract(df: DataFrame, text_col: str = "input_text", hint_col: str = "schema_hint",
                   id_col: str = "id", generator_factory: Callable[[], Callable] = TemplateGenerator) -> DataFrame:
     """``id, structured_json, confidence, raw_output`` for every row.

@@ -383,6 +383,13 @@ def candidates_long(spark, sf_dir):
     return _candidates(spark, sf_dir)
 
 
+@register
+def sampled_candidates(spark, sf_dir):
+    """K outputs per order from a generator plug-in, seeded by id and index."""
+    src = order_source(spark, sf_dir).select("id", "target_text", "schema_hint")
+    return EX.sample_candidates(src, EX.DamageGenerator, text_col="target_text")
+
+
 @register
 def candidate_lists(spark, sf_dir):
     """Candidates collected per id, in index order."""

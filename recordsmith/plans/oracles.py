@@ -306,6 +306,7 @@ def corpus_oracles() -> dict[str, str]:
 def pair_oracles() -> dict[str, str]:
     from recordsmith.functions import prompts as P
     from recordsmith.plans.catalog import ORDER_RECORD_FIELDS
+    from recordsmith.sources import corpus as C
 
     cands = (f"cands AS (SELECT id, CAST(j AS INTEGER) AS candidate_index, "
              f"{Q.damaged('((k + 3 * j) % 10)')} AS text FROM (SELECT *, unnest(range(4)) AS j FROM corpus_base))")
@@ -348,6 +349,12 @@ def pair_oracles() -> dict[str, str]:
               f"|| '\",\"reason\":\"' || coalesce(o_orderpriority, '') || '\"}}' ELSE substr({sound}, 1, 20) END")
     payloads = Q.with_ctes(Q.ORDER_SOURCE, cands, lists) + f"SELECT b.id, {payload} AS payload FROM corpus_base b JOIN lists l ON b.id = l.id"
     return {
+        "sampled_candidates": Q.with_ctes(Q.ORDER_SOURCE) + f"""
+SELECT id, candidate_index, CASE CAST('0x' || substr(md5('42|' || id || '|' || candidate_index), 1, 8) AS BIGINT) % 6
+  WHEN 0 THEN target_text WHEN 1 THEN {Q._sql_str(C.PROSE_HEAD)} || target_text || {Q._sql_str(C.PROSE_TAIL)}
+  WHEN 2 THEN target_text || {Q._sql_str(C.TRAILER)} WHEN 3 THEN substr(target_text, 1, length(target_text) - {C.CUT_CHARS})
+  WHEN 4 THEN {Q._sql_str(C.NON_OBJECT)} ELSE {Q._sql_str(C.BLANK)} END AS text
+FROM (SELECT *, CAST(unnest(range(4)) AS INTEGER) AS candidate_index FROM corpus_base)""",
         "judge_payload_pretty": f"SELECT id, {pretty} AS payload FROM ({payloads})",
         "verdicts_good": ("SELECT 'order-' || o_orderkey AS id, CAST(o_orderkey % 4 AS INTEGER) AS chosen_index, "
                           "CAST((o_orderkey + 1) % 4 AS INTEGER) AS rejected_index, coalesce(o_orderpriority, '') AS reason "

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from recordsmith.functions import jsonparse as J
 from recordsmith.functions import scoring as S
+from recordsmith.operators.extract import template_record
 from recordsmith.session import checkpoint_root
 
 
@@ -27,16 +28,24 @@ def extraction_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                          S.confidence(F.col("_p")).alias("confidence"), "raw_output")
 
 
+def note_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The same for notes: the template (C18) answers, its text is parsed and rated."""
+    answers = df.select(F.col(id_col), F.to_json(template_record(F.col(text_col)), {"ignoreNullFields": "false"}).alias("_answer"))
+    return extraction_columns(answers, id_col, "_answer")
+
+
 def start_extract_stream(spark: SparkSession, source: str, schema: str, id_col: str, text_col: str,
                          out_dir: str, checkpoint_dir: str, fmt: str = "parquet",
                          available_now: bool = True, max_files_per_trigger: int | None = None,
-                         glob_filter: str | None = None) -> StreamingQuery:
+                         glob_filter: str | None = None, columns=extraction_columns) -> StreamingQuery:
+    """``columns(df, id_col, text_col)`` are the rows that go to the sink: ``extraction_columns``
+    for raw outputs, ``note_columns`` for notes."""
     reader = spark.readStream.schema(schema).format(fmt)
     if glob_filter:
         reader = reader.option("pathGlobFilter", glob_filter)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    out = extraction_columns(reader.load(source), id_col, text_col)
+    out = columns(reader.load(source), id_col, text_col)
     writer = (out.writeStream.format("parquet").option("path", out_dir)
               .option("checkpointLocation", checkpoint_dir).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

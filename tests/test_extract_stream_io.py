@@ -141,3 +141,58 @@ def test_stream_reads_a_table_of_several_files(spark, tmp_path):
     out = queries()["stream_extract"](spark, str(tmp_path)).collect()
     assert sorted(r["event_id"] for r in out) == list(range(30))
     assert all(r["structured_json"] == '{"k":%d}' % r["event_id"] for r in out)
+
+
+def test_sampled_candidates_do_not_depend_on_partitions(spark):
+    from recordsmith.operators.extract import DamageGenerator, sample_candidates
+    df = spark.createDataFrame([(f"id-{k}", f'{{"n": {k}, "text": "some words"}}', "h") for k in range(100)] + [("none", None, None)],
+                               "id string, input_text string, schema_hint string")
+    got = [sorted(map(tuple, sample_candidates(df.repartition(n), DamageGenerator, k=3, batch_rows=b).collect()))
+           for n, b in ((1, 64), (7, 5))]
+    assert got[0] == got[1] and len(got[0]) == 303
+    assert len({t for _, _, t in got[0]}) > 100 and {t for i, _, t in got[0] if i == "id-5"} != {t for i, _, t in got[0] if i == "id-6"}
+    assert sample_candidates(df.limit(0), DamageGenerator).count() == 0
+
+
+def test_generator_is_built_once_a_partition(spark, tmp_dir):
+    from recordsmith.operators.extract import sample_candidates
+
+    def factory():
+        import uuid
+        made = uuid.uuid4().hex
+        return lambda batch: [f"{made} {len(batch)}"] * len(batch)
+
+    df = spark.range(40).select(F.col("id"), F.lit("x").alias("input_text"), F.lit("h").alias("schema_hint")).coalesce(1)
+    texts = [r.text.split() for r in sample_candidates(df, factory, k=4, batch_rows=50).collect()]
+    assert len({made for made, _ in texts}) == 1 and {n for _, n in texts} == {"50", "10"}
+
+
+def test_stream_of_notes_resumes_after_a_killed_batch(spark, tmp_dir):
+    from recordsmith.streaming.extract_stream import note_columns, start_extract_stream
+    notes = SY.build_corpus(spark, 60, num_partitions=1).select("id", "input_text").collect()
+    schema = "id string, input_text string"
+
+    def file(n, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(f"{tmp_dir}/in/{n}")
+
+    def stream(columns):
+        return start_extract_stream(spark, f"{tmp_dir}/in/*", schema, "id", "input_text", f"{tmp_dir}/out", f"{tmp_dir}/ckpt",
+                                    fmt="json", max_files_per_trigger=1, columns=columns)
+
+    file(1, notes[:20])
+    stream(note_columns).awaitTermination()
+    file(2, notes[20:40])
+    file(3, notes[40:])
+
+    def killed(df, id_col, text_col):                        # fails in the batch of the third file
+        bad = F.when(F.col(id_col) == notes[40].id, F.raise_error(F.lit("killed")).cast("string")).otherwise(F.col(text_col))
+        return note_columns(df.withColumn(text_col, bad), id_col, text_col)
+
+    q = stream(killed)
+    with pytest.raises(Exception, match="killed"):
+        q.awaitTermination()
+    stream(note_columns).awaitTermination()
+    got = spark.read.parquet(f"{tmp_dir}/out").collect()
+    assert sorted(r.id for r in got) == sorted(n.id for n in notes)
+    want = note_columns(spark.createDataFrame(notes, schema), "id", "input_text").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
