@@ -4,54 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Python's str.strip() removes every char with str.isspace(): the Unicode
-# White_Space set (Java's (?U)\s) plus the four separators U+001C..U+001F.
-_PY_SPACE = r"[\s\x1c-\x1f]"
-_STRIP_RE = rf"(?U)\A{_PY_SPACE}+|{_PY_SPACE}+\z"
-
-
-def py_strip(col: Column) -> Column:
-    """``str.strip()``: ``trim`` only removes ASCII spaces, so use a regex."""
-    return F.regexp_replace(col, _STRIP_RE, "")
-
-
-def brace_span(col: Column) -> Column:
-    """Text from the first ``{`` to the last ``}`` ('' when there is none).
-
-    Greedy ``\\{.*\\}`` starts at the leftmost brace that has a closing brace
-    after it, which is exactly ``text[find('{'):rfind('}')+1]`` whenever that
-    slice is non-empty.
-    """
-    return F.regexp_extract(col, r"(?s)\{.*\}", 0)
-
-
-def first_brace(col: Column) -> Column:
-    """0-based index of the first ``{`` or -1 (``str.find``)."""
-    return F.instr(col, "{") - 1
-
-
-def last_brace(col: Column) -> Column:
-    """0-based index of the last ``}`` or -1 (``str.rfind``)."""
-    pos = F.instr(F.reverse(col), "}")
-    return F.when(pos > 0, F.length(col) - pos).otherwise(F.lit(-1))
-
 
 def json_string(col: Column) -> Column:
     """A string value as a JSON string literal, escaped by Spark's JSON writer."""
     wrapped = F.to_json(F.array(col))
     return wrapped.substr(F.lit(2), F.length(wrapped) - 2)
-
-
-def zero_pad(col: Column, width: int) -> Column:
-    """``f'{n:0{width}d}'`` -- ``format_string`` never truncates, unlike ``lpad``."""
-    return F.format_string(f"%0{width}d", col)
-
-
-def trunc_mul(n: Column, ratio: float) -> Column:
-    """``int(n * ratio)`` for non-negative n."""
-    return F.floor(n.cast("double") * F.lit(float(ratio))).cast("bigint")
-
-
-def join_list(col: Column, sep: str) -> Column:
-    """``sep.join(list)``."""
-    return F.array_join(col, sep)

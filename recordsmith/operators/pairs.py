@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from recordsmith.functions import jsonparse as J
 from recordsmith.functions import scoring as S
-from recordsmith.functions.prompts import SYSTEM_PROMPT, user_prompt
+from recordsmith.functions.prompts import JUDGE_INSTRUCTION, SYSTEM_PROMPT, user_prompt
 from recordsmith.functions.text import json_string
 from recordsmith.operators.evaluate import score_predictions
+from recordsmith.operators.pretty import pretty_json
 
 ON_ERROR = ("fail", "quarantine")
 
@@ -62,6 +63,12 @@ def judge_payload(rows: DataFrame) -> DataFrame:
     return rows.select("id", payload.alias("payload"))
 
 
+def judge_request(rows: DataFrame) -> DataFrame:
+    """(id, system, user): the two messages that go to a judge, the body indented."""
+    body = pretty_json(judge_payload(rows), "id", "payload")
+    return body.select("id", F.lit(JUDGE_INSTRUCTION).alias("system"), F.col("text").alias("user"))
+
+
 def score_candidates(cands_with_target: DataFrame, record_fields: dict[str, str],
                      target_col: str = "target_text", target_leaves_col: str | None = None,
                      keep: tuple[str, ...] = ()) -> DataFrame:

@@ -3,8 +3,8 @@
 ``min(metric) OVER (PARTITION BY run ORDER BY step ROWS UNBOUNDED PRECEDING)``
 sends every row of a run to one task. When one run holds a large share of
 the rows that task dominates the job. Here the step axis is cut into chunks
-of about ``rows_per_chunk`` rows (chunk = step range, from global min/max and
-count), and:
+of about ``rows_per_chunk`` rows (cut at quantiles of the step, so one far step does
+not leave all others in one chunk), and:
 
 1. a window per ``(run, chunk)`` gives the running min inside the chunk;
 2. one aggregate row per ``(run, chunk)`` gives the chunk minimum;
@@ -25,17 +25,23 @@ import math
 from pyspark.sql import DataFrame, Window, functions as F
 
 DEFAULT_ROWS_PER_CHUNK = 1_000_000
+# Most chunks, cut at approximate quantiles of the step.
+QUANTILES = 1024
 
 
 def running_min(df: DataFrame, run_col: str, step_col: str, metric_col: str,
                 out_col: str = "running_best", rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.min(step_col).alias("lo"), F.max(step_col).alias("hi")).first()
+    probes = [k / QUANTILES for k in range(1, QUANTILES)]
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(F.col(step_col).cast("double"), probes, 10_000).alias("cuts")).first()
     if not stats["n"]:
         return df.withColumn(out_col, F.lit(None).cast("double"))
-    n_chunks = max(1, math.ceil(stats["n"] / max(1, rows_per_chunk)))
-    lo, hi = float(stats["lo"] or 0), float(stats["hi"] or 0)
-    width = max((hi - lo + 1.0) / n_chunks, 1.0)
-    chunked = df.withColumn("_chunk", F.floor((F.col(step_col).cast("double") - F.lit(lo)) / F.lit(width)).cast("bigint"))
+    n_chunks = min(QUANTILES, max(1, math.ceil(stats["n"] / max(1, rows_per_chunk))))
+    cuts = sorted({stats["cuts"][k * QUANTILES // n_chunks - 1] for k in range(1, n_chunks)}) if stats["cuts"] else []
+    chunk = F.lit(0).cast("bigint")
+    if cuts:
+        below = F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(step_col).cast("double"))
+        chunk = F.when(F.col(step_col).isNotNull(), F.size(below).cast("bigint"))
+    chunked = df.withColumn("_chunk", chunk)
 
     inside = Window.partitionBy(run_col, "_chunk").orderBy(step_col).rowsBetween(Window.unboundedPreceding, 0)
     local = chunked.withColumn("_local", F.min(metric_col).over(inside))

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recordsmith.functions import draws as D
 from recordsmith.functions.prompts import DEFAULT_SCHEMA_HINT
-from recordsmith.functions.text import trunc_mul
 
 # Vocabularies of the synthetic notes.
 NAMES = ["Ava Johnson", "Noah Martinez", "Mia Patel", "Liam Chen", "Sophia Williams",
@@ -185,4 +184,4 @@ def dataset_card(spark: SparkSession, num_examples: int, seed: int = DEFAULT_SEE
 
 
 __all__ = ["build_notes", "build_refusals", "build_corpus", "shuffle_key", "refusal_count",
-           "dataset_card", "trunc_mul"]
+           "dataset_card", "corpus_index", "examples"]

@@ -27,7 +27,6 @@ from recordsmith.operators.evaluate import join_predictions, report_without_deta
 from recordsmith.operators.flatten import flatten_json as _flatten_json
 from recordsmith.operators.jsonsafe import json_safe
 from recordsmith.operators.parallel import ensure_parallelism
-from recordsmith.operators.pretty import pretty_json
 from recordsmith.operators.score_long import score_documents_long, score_long as score_rows
 from recordsmith.session import checkpoint_root, configure
 from recordsmith.sinks.writers import split_summary, write_candidates_map, write_reports, write_splits
@@ -108,7 +107,7 @@ def json_safe_rows(spark, sf_dir):
 def prediction_detail(spark, sf_dir):
     """Per-row parsed output, target and the four scores."""
     return _scored(spark, sf_dir).select(
-        "id", "parsed_output", "target_json", "json_valid", "exact_match", "field_f1", "refusal_correct")
+        "id", "raw_output", "parsed_output", "target_json", "json_valid", "exact_match", "field_f1", "refusal_correct")
 
 
 # --------------------------------------------------------------- 2. parsing
@@ -398,21 +397,21 @@ def candidate_lists(spark, sf_dir):
                         F.to_json("candidates").alias("candidates_json"))
 
 
-def _payloads(spark, sf_dir):
+def _judge_rows(spark, sf_dir):
     same = ("input_text", "schema_hint", "target_text")
-    return PR.judge_payload(PR.candidate_lists(_candidates(spark, sf_dir, *same), same))
+    return PR.candidate_lists(_candidates(spark, sf_dir, *same), same)
 
 
 @register
 def judge_payload(spark, sf_dir):
     """The judge request body per example."""
-    return _payloads(spark, sf_dir)
+    return PR.judge_payload(_judge_rows(spark, sf_dir))
 
 
 @register
 def judge_payload_pretty(spark, sf_dir):
     """The request body as it is sent, indented by two, ASCII only."""
-    return pretty_json(_payloads(spark, sf_dir), "id", "payload").withColumnRenamed("text", "payload")
+    return PR.judge_request(_judge_rows(spark, sf_dir)).select("id", F.col("user").alias("payload"))
 
 
 @register

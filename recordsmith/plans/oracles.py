@@ -57,7 +57,7 @@ FROM orders LEFT JOIN (
   SELECT l_orderkey, string_agg(l_linenumber || ' ' || strftime(l_shipdate::TIMESTAMP, '%Y-%m-%dT%H:%M:%S') || ' '
     || strftime(l_shipdate::TIMESTAMP, '%Y-%m-%d'), ',' ORDER BY l_linenumber, l_shipdate) AS lines
   FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey""",
-        "prediction_detail": scored + ("SELECT id, parsed_output, target_json, json_valid, exact_match, "
+        "prediction_detail": scored + ("SELECT id, raw_output, parsed_output, target_json, json_valid, exact_match, "
                                        "field_f1, refusal_correct FROM scored"),
         "parse_json_block": parsed + (f"SELECT id, pred IS NOT NULL AS json_valid, {_KIND} AS parsed_kind, "
                                       f"{Q.canonical('pred')} AS parsed_output FROM cparsed"),
