@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from recordsmith.llm.common import map_slices, read_table
 
-MIN_ITEM_WORDS = 5       # shorter items are no passage and are not searched
+MIN_ITEM_WORDS = 5       # shorter items are found where they are a whole line of a text
 MAX_EDITS = 0.2          # edits allowed, as a share of an item's words
 WALKS = 5                # independent CGK walks
 KEYS = 3                 # step samples of a walk
@@ -133,6 +133,10 @@ class BenchmarkIndex:
     def __init__(self, items: list[tuple], max_edits: float = MAX_EDITS):
         hashed = [(i, word_hashes(t)) for i, t in items]
         self.items = [(i, h) for i, h in hashed if len(h) >= MIN_ITEM_WORDS]
+        self.short: dict[bytes, list] = {}                   # words of a short item -> its ids
+        for i, h in hashed:
+            if 0 < len(h) < MIN_ITEM_WORDS:
+                self.short.setdefault(h.tobytes(), []).append(i)
         self.bound = [math.floor(max_edits * len(h)) for _, h in self.items]
         sizes = np.array([len(h) for _, h in self.items], np.int64)
         begins = np.concatenate([[0], np.cumsum(sizes + 1)]).astype(np.int64)
@@ -213,6 +217,25 @@ class BenchmarkIndex:
         return [(*key, *value) for key, value in sorted(best.items())]
 
 
+    def lines(self, texts: list[str | None]) -> list[tuple]:
+        """(text number, item id, words, 0, start, end) of short items that are a line of a text;
+        the first line of each."""
+        found: dict[tuple, tuple] = {}
+        for k, text in enumerate(texts if self.short else ()):
+            at = 0
+            for line in (text or "").split("\n"):
+                h = word_hashes(line)
+                for i in self.short.get(h.tobytes(), ()) if len(h) < MIN_ITEM_WORDS else ():
+                    found.setdefault((k, i), (k, i, len(h), 0, at, at + len(h)))
+                at += len(h)
+        return list(found.values())
+
+    def found(self, texts: list[str | None]) -> list[tuple]:
+        """(text number, item id, words, edits, start, end) of all items that stand in texts."""
+        long = self.matches([word_hashes(t) for t in texts])
+        return [(t, self.items[i][0], len(self.items[i][1]), *rest) for t, i, *rest in long] + self.lines(texts)
+
+
 def best_window(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
     """(edits, start, end) of the window of ``region`` nearest to ``item`` by word edits."""
     m = len(region)
@@ -253,8 +276,8 @@ MATCH = "doc_id long, item_id long, item_words int, edits int, start_word int, e
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document and benchmark item that stands in it within the edit bound:
     (doc_id, item_id, item_words, edits, start_word, end_word), the best window counted in
-    words that hold a letter or digit. Null, empty and short items and null or empty texts
-    give no rows; repeated rows and repeated items repeat theirs; a null id stays null."""
+    words that hold a letter or digit. Null and empty items and null or empty texts give no
+    rows; repeated rows and repeated items repeat theirs; a null id stays null."""
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     out = None
@@ -262,14 +285,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
         shared = spark.sparkContext.broadcast(index)         # one block: bounded
 
         def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            index, ids = shared.value, batch.column("doc_id").to_pylist()
-            found = index.matches([word_hashes(t) for t in batch.column("text").to_pylist()])
-            return pa.RecordBatch.from_pydict({
-                "doc_id": pa.array([ids[t] for t, *_ in found], pa.int64()),
-                "item_id": pa.array([index.items[i][0] for _, i, *_ in found], pa.int64()),
-                "item_words": pa.array([len(index.items[i][1]) for _, i, *_ in found], pa.int32()),
-                **{name: pa.array([f[k] for f in found], pa.int32())
-                   for k, name in ((2, "edits"), (3, "start_word"), (4, "end_word"))}})
+            ids = batch.column("doc_id").to_pylist()
+            found = shared.value.found(batch.column("text").to_pylist())
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([ids[f[0]] for f in found], pa.int64()), *(pa.array([f[k] for f in found], kind)
+                 for k, kind in enumerate(kinds, 1))], [c.split()[0] for c in MATCH.split(", ")])
 
         part = map_slices(rows, run, MATCH, "text")
         out = part if out is None else out.unionByName(part)
@@ -283,7 +304,7 @@ def drop_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text") -> DataF
         shared = spark.sparkContext.broadcast(index)
 
         def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            found = shared.value.matches([word_hashes(t) for t in batch.column(text).to_pylist()])
+            found = shared.value.found(batch.column(text).to_pylist())
             keep = np.ones(batch.num_rows, bool)
             keep[[t for t, *_ in found]] = False
             return batch.filter(pa.array(keep))

@@ -96,12 +96,14 @@ def text_features(text: str | None) -> tuple[np.ndarray, np.ndarray | None]:
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
     """(doc_id, toxic, text) of at most ``max_rows`` labels, in order of a hash of doc_id.
 
-    A doc_id labelled twice counts as toxic if any label says so; null labels are left out.
+    A doc_id labelled twice counts as toxic if any label says so, null labels are left out, and
+    of several texts of an id the least one is taken.
     """
     chosen = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
                     .groupBy("doc_id").agg(F.greatest(F.lit(0), F.least(F.lit(1), F.max("toxic"))).cast("int").alias("toxic"))
                     .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
-    return docs.join(F.broadcast(chosen), "doc_id")          # at most max_rows pairs of numbers
+    rows = docs.join(F.broadcast(chosen), "doc_id")          # at most max_rows pairs of numbers
+    return rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def select_features(sample: DataFrame, count: int = MAX_FEATURES) -> np.ndarray:

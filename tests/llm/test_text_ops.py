@@ -14,7 +14,8 @@ from recordsmith.llm.chat_format import OP4_SQL, format_chats, loss_text, op4_ch
 from recordsmith.llm.quality import OP9_SQL, op9_quality_rules, quality
 from recordsmith.llm.token_counts import (TokenTree, apply_edits, cut_leaves, derived_edits, edited_counts,
                                           op6_token_counts, token_trees)
-from recordsmith.llm.toxicity import fit_toxicity, op10_toxicity, score_toxicity
+from recordsmith.llm import toxicity
+from recordsmith.llm.toxicity import fit, fit_toxicity, labelled_sample, op10_toxicity, score_toxicity
 from pyspark.sql import functions as F
 
 PIECES = ["a", "b", " ", "  ", "\n", "\t", "é", "ß", "中", "😀", "'s", "1", "23", "!", "...", "\x1c", "th", "ing",
@@ -194,6 +195,37 @@ def test_toxicity_held_out(spark):
     assert (rank[m.toxic == 1].sum() - bad * (bad + 1) / 2) / (good * bad) > 0.8
 
 
+def test_toxicity_sample_takes_one_text_an_id(spark):
+    d = helpers.docs(spark, [(1, f"text {k}") for k in range(300)] + [(k, "x y") for k in range(2, 40)] + [(None, "z")])
+    lab = spark.createDataFrame([(k, k % 2) for k in range(1, 40)] + [(1, 0), (None, 1), (2, None)], "doc_id long, toxic long")
+    rows = labelled_sample(d, lab, 20).collect()
+    assert len(rows) == 20 and len({r["doc_id"] for r in rows}) == 20
+    assert all(r["toxic"] == r["doc_id"] % 2 for r in rows)
+
+
+def test_toxicity_fit_is_at_the_minimum_of_its_loss():
+    """The fitted weights against a plain loss: no small step of a weight lowers it much."""
+    rng = np.random.default_rng(1)
+    own = [np.unique(rng.integers(0, 12, rng.integers(1, 6))).astype(np.int32) for _ in range(300)]
+    toxic = np.array([float(rng.random() < (0.9 if 3 in r else 0.2)) for r in own])
+    twin = [np.array([f if f != 4 else 5 for f in r], np.int32) if 4 in r else None for r in own]
+    w, bias = fit(own, twin, toxic, 12)
+
+    def loss(w, bias):
+        z = np.array([w[r].sum() + bias for r in own])
+        gaps = [w[t].sum() - w[r].sum() for r, t in zip(own, twin) if t is not None]
+        plain = np.mean(np.log1p(np.exp(z)) - toxic * z)
+        return plain + toxicity.FAIRNESS * np.mean(np.square(gaps)) + toxicity.SPARSITY * np.abs(w).sum()
+
+    best = loss(w, bias)
+    assert best < loss(np.zeros(12), bias) - 0.05 and abs(w[4] - w[5]) < 0.2 and w.argmax() == 3
+    for k in range(12):
+        for step in (0.05, -0.05):
+            moved = w.copy()
+            moved[k] += step
+            assert loss(moved, bias) > best - 2e-3
+
+
 def test_toxicity_leaves_neutral_mentions_alone(spark):
     r = random.Random(3)
     data, labels = [], []
