@@ -25,13 +25,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, and the
-    copy survives the loss of any executor."""
+    copy survives the loss of any executor. The shuffle files behind it are not needed any
+    more; Spark removes them once the driver's collector has seen that, which is asked for."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner see that the frames of finished jobs are gone: their shuffle files are
+    removed now, not at the driver's next collection of its own."""
+    spark._jvm.System.gc()
+
+
 def drop_stash(df: DataFrame) -> None:
     """Delete the files behind a frame that ``stash`` returned and nobody reads again."""
     spark = df.sparkSession
