@@ -11,13 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordsmith.llm.bpe import bpe_decode, bpe_encode
-from recordsmith.llm.common import read_table, settled, stash
+from recordsmith.llm.common import read_table, settled, stash, words_of
 from recordsmith.llm.decontaminate import drop_leaks
 from recordsmith.llm.lines import line_dedup
 from recordsmith.llm.minhash import near_duplicates
 from recordsmith.llm.quality import quality
 
-WORD = r"[^\x20\x09-\x0D]"
+LOST = 0.8                   # share of its words that a document loses as one of repeated lines
 
 
 def _carried(docs: DataFrame) -> DataFrame:
@@ -41,23 +41,28 @@ def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier line go; a document whose words all went goes too."""
+    """Lines that repeat an earlier line go. A document that loses LOST of its words or more
+    that way repeats earlier documents as a whole and goes too."""
     done = line_dedup(_carried(docs))
-    emptied = F.col("text").rlike(WORD) & ~F.col("clean_text").rlike(WORD)
-    done = done.withColumn("__keep", settled(~F.coalesce(emptied, F.lit(False)))).where("__keep")
+    before, after = (F.size(words_of(F.col(c))) for c in ("text", "clean_text"))
+    repeats = (F.col("n_equal") + F.col("n_near") > 0) & (before - after >= LOST * before) & (before > 0)
+    done = done.withColumn("__keep", settled(~F.coalesce(repeats, F.lit(False)))).where("__keep")
     return _back(done, docs, F.col("clean_text"))
 
 
 def near_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies stays, the one of the smallest id (rows without
-    an id come last), of these the one of the smallest text. Rows that share an id but not
-    their text are judged apart."""
-    row = F.monotonically_increasing_id()                    # parts equal rows in the sort
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_last(), "__at"]
-    keyed = _carried(docs).withColumn("__at", row).orderBy(*order).withColumn("__key", row).drop("__at")
-    keyed = stash(keyed, "keyed")                            # one number a row, for good
-    kept = near_duplicates(keyed, doc_id="__key").where("kept").select(F.col("doc_id").alias("__key"))
-    return keyed.join(kept, "__key", "left_semi").select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
+    """One row of each group of near copies stays, the one of the smallest id (rows without an
+    id come last), of these the one of the smallest text digest. Rows that share an id but
+    not their text are judged apart, and rows without words stay."""
+    keyed = stash(docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("__row"),
+                              F.monotonically_increasing_id().alias("__key")), "keyed")      # one number a row, for good
+    rows = keyed.select("__key", F.col("__row.doc_id").alias("doc_id"), F.col("__row.text").alias("text"))
+    found = near_duplicates(rows, doc_id="__key").select(F.col("doc_id").alias("__key"), "component_id")
+    rank = rows.select("__key", F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", F.md5("text").alias("t"), "__key").alias("rank"))
+    first = (found.join(rank, "__key").groupBy("component_id").agg(F.min("rank").alias("rank"), F.count("*").alias("c"))
+             .where("c > 1").select("component_id", F.col("rank.__key").alias("first")))
+    gone = found.join(first, "component_id").where(F.col("__key") != F.col("first")).select("__key")
+    return keyed.join(gone, "__key", "left_anti").select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
 
 
 def decontamination_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordsmith.llm.common import map_slices, read_table, stash
+from recordsmith.llm.common import drop_stash, map_slices, read_table, stash
 from recordsmith.llm.components import connected_components
 from recordsmith.ship import shipped
 
@@ -83,8 +83,8 @@ def signature_bytes(least: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, sh, bands, sig, short) of (doc_id, text): set size, 128-bit hash of the
-    set (null for an empty one), band keys, signature, and 32 bits of every band key."""
+    """(doc_id, th, n, sh, bands, sig, short) of (doc_id, th, text): set size, 128-bit hash of
+    the set (null for an empty one), band keys, signature, and 32 bits of every band key."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, sh, bands, sig, short = [], [], [], [], []
         for text in batch.column("text").to_pylist():
@@ -99,17 +99,25 @@ def signatures(docs: DataFrame) -> DataFrame:
             else:
                 sh.append(None), bands.append(None), sig.append(None), short.append(None)
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sh, pa.binary()),
+            [batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(sh, pa.binary()),
              pa.array(bands, pa.list_(pa.int64())), pa.array(sig, pa.binary()), pa.array(short, pa.binary())],
-            ["doc_id", "n", "sh", "bands", "sig", "short"])
+            ["doc_id", "th", "n", "sh", "bands", "sig", "short"])
 
-    return map_slices(docs, run, "doc_id long, n long, sh binary, bands array<long>, sig binary, short binary", "text")
+    return map_slices(docs, run, "doc_id long, th long, n long, sh binary, bands array<long>, sig binary, short binary", "text")
 
 
-def linked(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose full shingle sets are similar enough."""
-    pairs = pairs.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-    pairs = pairs.join(docs.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
+def class_texts(reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text): one text of every class, however many rows share its id or its text."""
+    return (docs.join(reps.select("node", F.col("rep").alias("doc_id"), "th"), ["doc_id", "th"])
+            .groupBy("node").agg(F.first("text").alias("text")))
+
+
+def linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of classes whose full shingle sets are similar enough."""
+    named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = class_texts(reps.join(named, "node", "left_semi"), docs)
+    pairs = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+    pairs = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         last, other = None, None
@@ -130,7 +138,7 @@ def linked(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFra
 def _screened(rows: DataFrame) -> DataFrame:
     """Pairs of different labels in one block group whose signatures agree enough.
 
-    ``rows`` (key, i, j, side, rep, label, n, sig, short) are dealt and sorted by group; a group
+    ``rows`` (key, i, j, side, node, label, n, sig, short) are dealt and sorted by group; a group
     has the classes of one block, or of two blocks whose classes are held against each
     other, so it is bounded by the block size.
     """
@@ -170,7 +178,7 @@ def _screened(rows: DataFrame) -> DataFrame:
             return done
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "i", "j", "side", "rep", "label", "n", "sig", "short")]
+            columns = [batch.column(c).to_pylist() for c in ("key", "i", "j", "side", "node", "label", "n", "sig", "short")]
             for row in zip(*columns):
                 if row[:3] != held:
                     if len(group) > 1:
@@ -191,51 +199,61 @@ def _screened(rows: DataFrame) -> DataFrame:
 
 def _rest(buckets: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
     """Candidate pairs of different labels in the buckets that still have several."""
-    known = labels.select(F.col("node").alias("rep"), "component")
-    b = (buckets.join(known, "rep", "left")
-                .select("key", "rep", F.coalesce("component", "rep").alias("label")))
+    b = (buckets.join(labels, "node", "left")
+                .select("key", "node", F.coalesce("component", "node").alias("label")))
     still = (b.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"),
                                   F.count("*").alias("c"))
               .where("low < high").select("key", F.ceil(F.col("c") / BLOCK).alias("blocks")))
-    b = (b.join(still, "key").join(reps.select("rep", "n", "sig", "short"), "rep")
-          .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    b = (b.join(still, "key").join(reps.select("node", "n", "sig", "short"), "node")
+          .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
           .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
     return b.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                    (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "label", "n", "sig", "short")
+                    (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "label", "n", "sig", "short")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``df``.
 
     Rows without words (null or empty text too) have an empty set, are linked with nothing
-    and form a component of their own. Rows of one doc_id are the same document: each gets
-    the smallest id that any of them reaches by its own text. A null doc_id has a component
+    and form a component of their own. Rows of one doc_id are the same document: what any of
+    their texts is linked with, all of them that have words are. A null doc_id has a component
     only through other documents of its set, and is never kept. An empty table gives no
     rows. Other columns are not used.
     """
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    sigs = stash(signatures(docs), "signatures")
-    reps = stash(sigs.where("n > 0 AND doc_id IS NOT NULL").groupBy("sh")
-                     .agg(F.min(F.struct("doc_id", "n", "bands", "sig", "short")).alias("r"))
-                     .select("sh", F.col("r.doc_id").alias("rep"), "r.n", "r.bands", "r.sig", "r.short"), "classes")
-    spread = reps.select("rep", F.explode("bands").alias("key"))
+    docs = docs.withColumn("th", F.xxhash64("text"))
+    sigs = stash(signatures(docs.select("doc_id", "th", "text")), "signatures")
+    reps = (sigs.where("n > 0 AND doc_id IS NOT NULL").groupBy("sh")
+                .agg(F.min(F.struct("doc_id", "th", "n", "bands", "sig", "short")).alias("r"))
+                .select("sh", F.col("r.doc_id").alias("rep"), "r.th", "r.n", "r.bands", "r.sig", "r.short"))
+    reps = stash(reps.withColumn("node", F.monotonically_increasing_id()), "classes")   # a number a class, for good
+    spread = reps.select("node", F.explode("bands").alias("key"))
     shared = spread.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     buckets = stash(spread.join(shared, "key"), "buckets")
-    weight = buckets.groupBy("rep").agg(F.sum("c").alias("w"))
-    lead = (buckets.join(weight, "rep").groupBy("key")
-                   .agg(F.max(F.struct("w", (-F.col("rep")).alias("m"))).alias("x"))
+    weight = buckets.groupBy("node").agg(F.sum("c").alias("w"))
+    lead = (buckets.join(weight, "node").groupBy("key")
+                   .agg(F.max(F.struct("w", (-F.col("node")).alias("m"))).alias("x"))
                    .select("key", (-F.col("x.m")).alias("lead")))
-    stars = (buckets.join(lead, "key").where("rep <> lead")
-                    .select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct())
-    links = stash(linked(stars, docs), "links")
+    stars = (buckets.join(lead, "key").where("node <> lead")
+                    .select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct())
+    # Classes that an id has rows of are the same document.
+    own = sigs.where("doc_id IS NOT NULL").join(reps.select("sh", "node"), "sh").select("doc_id", "node")
+    ids = own.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    same = own.join(ids, "doc_id").where("node > low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
+    links = stash(linked(stars, reps, docs).unionByName(same), "links")
     labels = connected_components(links)
     more = stash(_screened(_rest(buckets, reps, labels)), "pairs")
-    links2 = linked(more, docs)
+    drop_stash(buckets)
+    links2 = linked(more, reps, docs)
     labels = connected_components(
         labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
               .unionByName(links2))
-    classes = (reps.select("sh", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-                   .select("sh", F.coalesce("component", "rep").alias("component")))
+    drop_stash(links)
+    drop_stash(more)
+    classes = (reps.select("sh", "rep", "node").join(labels, "node", "left")
+                   .select("sh", "rep", F.coalesce("component", "node").alias("label")))
+    least = classes.groupBy("label").agg(F.min("rep").alias("component"))
+    classes = classes.join(least, "label").select("sh", "component")
     return (sigs.select("doc_id", F.col("n").alias("n_shingles"), "sh").join(classes, "sh", "left")
                 .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
                 .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
