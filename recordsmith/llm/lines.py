@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from recordsmith.llm.common import drop_stash, read_table, stash, words_of
 
-MIN_WORDS = 5        # shorter lines are never touched
-NEAR_WORDS = 8       # shorter lines are removed only for an equal line
+SIMILARITY = 0.8     # least share of a line's words that a near line keeps
+NEAR_WORDS = round(1 / (1 - SIMILARITY))     # words of which one edit leaves that share
 LOC = ["id", "rid", "line"]
 
 
@@ -35,9 +35,10 @@ def _halves() -> Column:
 
     One edit leaves the first or the last half of the shorter line whole.
     """
-    return F.expr(
-        "array_distinct(flatten(transform(array(n div 2, (n - 1) div 2), h -> array("
-        "xxhash64('first', h, slice(wh, 1, int(h))), xxhash64('last', h, slice(wh, int(n - h + 1), int(h)))))))")
+    def ends(h: str) -> str:
+        return (f"xxhash64('first', {h}, slice(wh, 1, {h})), xxhash64('last', {h}, slice(wh, n - {h} + 1, {h}))")
+    return F.expr(f"CASE WHEN n % 2 = 0 THEN array({ends('int(n div 2)')}, {ends('int(n div 2 - 1)')}) "
+                  f"ELSE array({ends('int(n div 2)')}) END")
 
 
 def _variants(texts: DataFrame) -> DataFrame:
@@ -80,7 +81,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     many of them go for a near line rather than an equal one."""
     lines = (docs.select("id", "rid", F.posexplode(F.split("text", "\n")).alias("line", "s"))
                  .select(*LOC, F.transform(words_of(F.col("s")), lambda w: F.xxhash64(w)).alias("wh"))
-                 .withColumn("n", F.size("wh")).where(F.col("n") >= MIN_WORDS))
+                 .withColumn("n", F.size("wh")).where(F.col("n") > 0))
     keyed = stash(lines.select(*LOC, *_key(F.col("wh")),
                                F.when(F.col("n") >= NEAR_WORDS, _halves()).alias("halves")), "lines")
     distinct = stash(keyed.groupBy("k1", "k2").agg(
@@ -114,9 +115,12 @@ def removed_lines(docs: DataFrame) -> DataFrame:
                 .join(words.select(F.col("f").alias("partner"), F.col("w").alias("pw")), "partner")
                 .where(_within_one_edit(F.col("w"), F.col("pw")))
                 .select("f.*", F.lit(True).alias("near")))
-    return (equal.unionByName(near).groupBy("id", "rid")
-                 .agg(F.collect_set("line").alias("removed"),
-                      F.sum(F.col("near").cast("long")).alias("near")))
+    removed = stash(equal.unionByName(near).groupBy("id", "rid")
+                    .agg(F.collect_set("line").alias("removed"),
+                         F.sum(F.col("near").cast("long")).alias("near")), "removed")
+    for done in (equal, texts, variants):
+        drop_stash(done)
+    return removed
 
 
 def _joined(docs: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
@@ -130,8 +134,8 @@ def line_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     Added columns (replacing any so named): ``clean_text``, ``n_lines``, ``n_equal`` and
     ``n_near`` (lines removed). A null text stays null with 0 lines; an empty text has one
-    empty line. Lines under MIN_WORDS words are never removed. A null id sorts before all
-    others. Rows that share id and text count as one document: they get the same result
+    empty line. Lines without words are never removed, those under NEAR_WORDS words only for
+    an equal line. A null id sorts before all others. Rows that share id and text count as one document: they get the same result
     and do not remove each other's lines. Other columns pass through, nulls included.
     """
     new = ("clean_text", "n_lines", "n_equal", "n_near")
@@ -166,7 +170,7 @@ WITH l AS (
   FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i
         FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL))
 ), k AS (
-  SELECT *, row_number() OVER (ORDER BY doc_id, line) AS o FROM l WHERE len(w) >= {MIN_WORDS}
+  SELECT *, row_number() OVER (ORDER BY doc_id, line) AS o FROM l WHERE len(w) > 0
 ), first AS (
   SELECT w, min(o) AS f FROM k GROUP BY w
 ), v AS (
