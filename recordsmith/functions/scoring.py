@@ -86,11 +86,15 @@ def populated_count(record: Column) -> Column:
 
 def confidence(pred: Column) -> Column:
     """0.0 unparsable, 0.92 for an explicit refusal, else by populated record fields."""
-    populated = populated_count(get_field(pred, "record"))
+    return confidence_of(pred.isNull(), is_false(get_field(pred, "can_extract")), populated_count(get_field(pred, "record")))
+
+
+def confidence_of(missing: Column, refused: Column, populated: Column) -> Column:
+    """The same from its three parts."""
     score = F.least(F.lit(CONF_CAP),
                     F.lit(CONF_BASE) + (populated / F.lit(float(CONF_EXPECTED_FIELDS))) * F.lit(CONF_SPAN))
-    return (F.when(pred.isNull(), F.lit(0.0))
-            .when(is_false(get_field(pred, "can_extract")), F.lit(CONF_REFUSAL))
+    return (F.when(missing, F.lit(0.0))
+            .when(refused, F.lit(CONF_REFUSAL))
             .otherwise(F.round(score, 2)))
 
 

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordsmith.functions import jsonparse as J
+from recordsmith.functions import rowjson as R
 
 
 @dataclass(frozen=True)
@@ -64,22 +65,39 @@ def _schema_table(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame(schema_rows(schema), "pattern string, parent_pattern string, kinds array<string>, members int")
 
 
-def schema_faults(df: DataFrame, id_col: str, json_col: str, schema) -> DataFrame:
-    """(id, fault, path) of every fault: ``unknown`` (no such place), ``kind`` (another kind),
-    ``missing`` (an object lacks members; the path is the object's)."""
-    nodes = (df.select(F.col(id_col).alias("id"), J.flatten_nodes(json_col).alias("_n"))
-             .select("id", F.inline_outer("_n")).where(F.col("path").isNotNull()))
+def _by_path(df: DataFrame, id_col: str, json_col: str, schema) -> DataFrame:
+    """(id, path, n_unknown, n_kind, missing, parsed) of the places that matter: nodes with a
+    fault, objects that must have members, and every root. ``parsed`` is set on roots alone, and
+    false for a document that did not parse. The documents are taken apart once: a node counts
+    at its own path and, as a member, at its parent's."""
+    text = dict(df.dtypes)[json_col] == "string"
+    nodes = (df.select(F.col(id_col).alias("id"), (R.node_list(json_col) if text else J.flatten_nodes(json_col)).alias("_n"))
+             .select("id", F.inline_outer("_n")))
     rules = F.broadcast(_schema_table(df.sparkSession, schema))      # a row a place of the schema
     held = nodes.join(rules, "pattern", "left")
-    bad = held.select("id", "path", F.when(F.col("kinds").isNull(), "unknown").when(
-        ~F.array_contains("kinds", F.col("kind")), "kind").alias("fault")).where(F.col("fault").isNotNull())
-    # Every object of a place that has members, and every known member under its object.
-    objects = held.where("kind = 'object' AND members IS NOT NULL").select("id", "path", F.col("members").alias("want"), F.lit(0).alias("has"))
-    members = held.where("parent IS NOT NULL AND kinds IS NOT NULL AND NOT endswith(pattern, '[]')").select(
-        "id", F.col("parent").alias("path"), F.lit(0).alias("want"), F.lit(1).alias("has"))
-    missing = (objects.unionByName(members).groupBy("id", "path").agg(F.sum("want").alias("want"), F.sum("has").alias("has"))
-               .where("has < want").select("id", "path", F.lit("missing").alias("fault")))
-    return bad.unionByName(missing).select("id", "fault", "path")
+    known = F.col("kinds").isNotNull()
+    unknown, wrong = F.col("path").isNotNull() & ~known, known & ~F.array_contains("kinds", F.col("kind"))
+    want = F.when((F.col("kind") == "object") & F.col("members").isNotNull(), F.col("members")).otherwise(0)
+    root = F.when(F.col("parent").isNull(), F.col("path").isNotNull())
+    def row(path, n_unknown, n_kind, want, has, parsed):
+        return F.struct(path.alias("path"), n_unknown.cast("int").alias("n_unknown"), n_kind.cast("int").alias("n_kind"),
+                        want.alias("want"), has.alias("has"), parsed.alias("parsed"))
+    no = F.lit(0)
+    own = F.when(unknown | wrong | (want > 0) | root.isNotNull(), row(F.col("path"), unknown, F.coalesce(wrong, F.lit(False)), want, no, root))
+    member = F.when(F.col("parent").isNotNull() & known & ~F.endswith("pattern", F.lit("[]")),
+                    row(F.col("parent"), no, no, no, F.lit(1), F.lit(None).cast("boolean")))
+    places = held.select("id", F.explode(F.array(own, member)).alias("p")).where(F.col("p").isNotNull()).select("id", "p.*")
+    found = places.groupBy("id", "path").agg(*[F.sum(c).alias(c) for c in ("n_unknown", "n_kind", "want", "has")], F.max("parsed").alias("parsed"))
+    return found.select("id", "path", "n_unknown", "n_kind", ((F.col("want") > 0) & (F.col("has") < F.col("want"))).alias("missing"), "parsed")
+
+
+def schema_faults(df: DataFrame, id_col: str, json_col: str, schema) -> DataFrame:
+    """(id, fault, path) of every fault: ``unknown`` (no such place), ``kind`` (another kind),
+    ``missing`` (an object lacks members; the path is the object's). ``json_col`` is VARIANT or
+    a text column of raw outputs."""
+    kinds = F.concat(F.array_repeat(F.lit("unknown"), F.col("n_unknown").cast("int")), F.array_repeat(F.lit("kind"), F.col("n_kind").cast("int")),
+                     F.array_repeat(F.lit("missing"), F.col("missing").cast("int")))
+    return _by_path(df, id_col, json_col, schema).select("id", F.explode(kinds).alias("fault"), "path")
 
 
 def nested_conformance(df: DataFrame, id_col: str, json_col: str, schema) -> DataFrame:
@@ -88,11 +106,9 @@ def nested_conformance(df: DataFrame, id_col: str, json_col: str, schema) -> Dat
     A document that did not parse (null) does not conform and has no faults; ``first_fault``
     is the smallest path with a fault. Rows that share an id are one document.
     """
-    marks = df.select(F.col(id_col).alias("id"), F.lit(None).cast("string").alias("fault"), F.lit(None).cast("string").alias("path"),
-                      F.col(json_col).isNotNull().alias("parsed"))
-    faults = schema_faults(df, id_col, json_col, schema).withColumn("parsed", F.lit(None).cast("boolean"))
-    counts = marks.unionByName(faults).where("id IS NOT NULL").groupBy("id").agg(
-        F.max("parsed").alias("parsed"), *[F.count(F.when(F.col("fault") == k, 1)).alias(f"n_{k}") for k in ("unknown", "kind", "missing")],
-        F.min("path").alias("first_fault"))
+    faulty = F.col("missing") | (F.col("n_unknown") + F.col("n_kind") > 0)
+    counts = _by_path(df.where(F.col(id_col).isNotNull()), id_col, json_col, schema).groupBy("id").agg(
+        F.max("parsed").alias("parsed"), F.sum("n_unknown").alias("n_unknown"), F.sum("n_kind").alias("n_kind"),
+        F.count(F.when(F.col("missing"), 1)).alias("n_missing"), F.min(F.when(faulty, F.col("path"))).alias("first_fault"))
     ok = F.col("parsed") & (F.col("n_unknown") + F.col("n_kind") + F.col("n_missing") == 0)
     return counts.select("id", ok.alias("schema_ok"), "n_unknown", "n_kind", "n_missing", "first_fault")

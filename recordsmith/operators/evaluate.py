@@ -1,6 +1,6 @@
 """Evaluation of raw model outputs against targets.
 
-``score_predictions`` is one narrow projection (parse once, score four ways);
+``score_predictions`` is one narrow projection (one pass, four scores);
 ``eval_report`` is a single global aggregate with partial aggregation on
 every partition, so the only data crossing the network is one partial row
 per task.
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from recordsmith.functions import jsonparse as J
+from recordsmith.functions import rowjson as R
 from recordsmith.functions import scoring as S
 
 
@@ -28,59 +29,29 @@ def join_predictions(predictions: DataFrame, examples: DataFrame, on: str = "id"
         F.concat(F.lit("no example for prediction "), F.col(on).cast("string"))).cast("boolean"))).drop("_known")
 
 
-def json_documents(df: DataFrame, id_col: str, raw_col: str, target_col: str) -> DataFrame:
-    """(id, _pred, _target): both sides parsed, nothing scored yet."""
-    return df.select(F.col(id_col).alias("id"), J.extract_json_block(raw_col).alias("_pred"),
-                     J.parse_target(target_col).alias("_target"))
-
-
 def score_predictions(df: DataFrame, raw_col: str = "raw_output", target_col: str = "target_text",
-                      keep: tuple[str, ...] = ("id",), record_fields: dict[str, str] | None = None,
-                      target_leaves_col: str | None = None) -> DataFrame:
+                      keep: tuple[str, ...] = ("id",), record_fields: dict[str, str] | None = None) -> DataFrame:
     """Per-row detail: parsed output (canonical JSON text) and the four scores.
 
-    ``target_col`` is JSON text (as written by the corpus sinks). Each side is
-    parsed once. The work is staged in successive projections so that every
-    expensive expression (parse, flatten) is computed once and referenced by
-    name; Catalyst does not inline a non-trivial expression that is used more
-    than once. Everything stays row-local: no explode, no shuffle.
+    ``target_col`` is JSON text (as written by the corpus sinks) or a VARIANT; a corrupt text
+    fails the run. Predictions go through the two-attempt strict parse. The scores come from
+    one pass over both texts (``rowjson``), the canonical texts from passes of their own that
+    are pruned where no query asks for them. Everything stays row-local: no explode, no shuffle.
     """
     k = [F.col(c) for c in keep]
-    # Targets are JSON written by a JSON writer: a plain parse, failing loudly
-    # on corrupt input. Predictions go through the two-attempt strict parse.
-    # A target given as VARIANT (and its leaves) is used as is: when several
-    # predictions share one target (k candidates per example) it is parsed
-    # and flattened once per example upstream, not once per prediction.
-    target = F.col(target_col) if dict(df.dtypes)[target_col] == "variant" else J.parse_target(target_col)
-    carried = [F.col(target_leaves_col).alias("_tl0")] if target_leaves_col else []
-    parsed = df.select(*k, F.col(raw_col).alias("raw_output"),
-                       J.extract_json_block(raw_col).alias("_pred"), target.alias("_target"), *carried)
-    flat = parsed.select(*k, "raw_output", "_pred", "_target",
-                         J.flatten_leaves("_pred").alias("_pl"),
-                         (F.col("_tl0") if target_leaves_col else J.flatten_leaves("_target")).alias("_tl"),
-                         J.canonical_json("_pred").alias("parsed_output"),
-                         J.canonical_json("_target").alias("target_json"))
-    items = flat.select(*k, "raw_output", "_pred", "_target", "parsed_output", "target_json",
-                        S.item_set(F.coalesce(F.col("_pl"), F.array())).alias("_pi"),
-                        S.item_set(F.coalesce(F.col("_tl"), F.array())).alias("_ti"))
-    counts = items.select(*k, "raw_output", "_pred", "_target", "parsed_output", "target_json",
-                          "_pi", "_ti",
-                          F.size(F.array_intersect("_pi", "_ti")).alias("_tp"),
-                          F.size("_pi").alias("_np"), F.size("_ti").alias("_nt"))
-    return counts.select(
+    target = F.col(target_col) if dict(df.dtypes)[target_col] == "string" else J.canonical_json(target_col)
+    texts = df.select(*k, F.col(raw_col).alias("raw_output"), target.alias("_target"))
+    rated = texts.select(*k, "raw_output", "_target", R.scores("raw_output", "_target", record_fields).alias("_s"))
+    return rated.select(
         *k,
         "raw_output",
-        "parsed_output",
-        "target_json",
-        S.json_valid(F.col("_pred")).alias("json_valid"),
-        # Equal canonical text <=> equal VARIANT text (structure, values) and
-        # equal leaf items (which carry Python's number kinds). Cheaper than
-        # rendering both canonical texts when only the flag is needed.
-        (F.to_json("_pred").eqNullSafe(F.to_json("_target"))
-         & (F.col("_pi") == F.col("_ti"))).alias("exact_match"),
-        S.f1_from_counts(F.col("_tp"), F.col("_np"), F.col("_nt"), F.col("_pred").isNull()).alias("field_f1"),
-        S.refusal_correct("_pred", "_target").alias("refusal_correct"),
-        *([S.schema_conformance("_pred", record_fields).alias("schema_ok")] if record_fields else []),
+        R.document("raw_output")["canonical"].alias("parsed_output"),
+        R.document("_target", "target")["canonical"].alias("target_json"),
+        F.col("_s.json_valid").alias("json_valid"),
+        F.col("_s.exact_match").alias("exact_match"),
+        S.f1_from_counts(F.col("_s.n_common"), F.col("_s.n_pred"), F.col("_s.n_target"), ~F.col("_s.json_valid")).alias("field_f1"),
+        F.col("_s.refusal_correct").alias("refusal_correct"),
+        *([F.col("_s.schema_ok").alias("schema_ok")] if record_fields else []),
     )
 
 

@@ -7,8 +7,8 @@ regular expressions: pure column expressions, JVM-side.
 
 ``batch_extract`` is the plug-in path: a generator turns a batch of input
 texts into raw output texts. It runs in ``mapInPandas`` (Arrow batches), the
-generator is built once per partition, and everything after it -- parsing,
-confidence -- is back in the JVM. The default generator is the template
+generator is built once per partition; its texts are then parsed and rated like
+any raw output. The default generator is the template
 extractor written for pandas, so the pipeline runs without a model; a model
 wrapper with the same ``__call__(pandas.DataFrame) -> pandas.Series`` shape
 drops in.
@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recordsmith.functions import jsonparse as J
+from recordsmith.functions import rowjson as R
 from recordsmith.functions import scoring as S
 from recordsmith.operators.synth import REFUSAL_REASON
 from recordsmith.ship import shipped
@@ -133,8 +133,8 @@ def batch_extract(df: DataFrame, text_col: str = "input_text", hint_col: str = "
                   id_col: str = "id", generator_factory: Callable[[], Callable] = TemplateGenerator) -> DataFrame:
     """``id, structured_json, confidence, raw_output`` for every row.
 
-    Only ``id``, the text and the hint cross into Python; parsing and scoring
-    of the generated text happen in the JVM afterwards.
+    Only ``id``, the text and the hint cross into Python; the generated text is parsed and
+    rated as raw outputs are (``rated_outputs``).
     """
     def run(batches: Iterator) -> Iterator:
         gen = generator_factory()
@@ -144,6 +144,11 @@ def batch_extract(df: DataFrame, text_col: str = "input_text", hint_col: str = "
             yield out
 
     raw = shipped(df.select(id_col, text_col, hint_col)).mapInPandas(run, f"{id_col} string, raw_output string")
-    parsed = raw.select(id_col, "raw_output", J.extract_json_block("raw_output").alias("_p"))
-    return parsed.select(id_col, J.canonical_json("_p").alias("structured_json"),
-                         S.confidence(F.col("_p")).alias("confidence"), "raw_output")
+    return rated_outputs(raw, id_col)
+
+
+def rated_outputs(df: DataFrame, id_col: str = "id") -> DataFrame:
+    """(id, structured_json, confidence, raw_output) of a text column ``raw_output``."""
+    parsed = df.select(id_col, "raw_output", R.document("raw_output").alias("_d"))
+    return parsed.select(id_col, F.col("_d.canonical").alias("structured_json"), S.confidence_of(
+        F.col("_d.kind").isNull(), F.col("_d.refused"), F.col("_d.populated")).alias("confidence"), "raw_output")
