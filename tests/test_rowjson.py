@@ -70,3 +70,18 @@ def test_a_corrupt_target_fails(spark):
 def test_documents_are_read_once(spark, name):
     plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("keys", [[5, 1, 9, 3], [7] * 40, [1] * 10 + [2] * 30 + [3], [None] * 5 + [4, 4, 2], list(range(30_000)), [None] * 20, [1], []])
+def test_corpus_index_marks_the_last_keys(spark, keys):
+    from recordsmith.operators import synth as SY
+    index = SY.corpus_index(spark.createDataFrame([(k,) for k in keys], "idx long"))
+    ordered = sorted(keys, key=lambda k: (k is not None, k or 0))
+    last = int(len(keys) * 0.12)
+    got = sorted(((r["idx"], r["refusal"]) for r in index.collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    assert got == [(k, i >= len(keys) - last) for i, k in enumerate(ordered)]
+
+
+def test_notes_are_made_where_their_keys_are_read(spark):
+    plan = queries()["synth_notes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning(_bucket" not in plan
