@@ -101,16 +101,26 @@ def literal(x) -> str:
 
 def leaves(value) -> list[tuple[str, str]]:
     """(path, literal) of every leaf; repeated paths stay."""
+    if type(value) not in (dict, list):
+        return [("", literal(value))]
     found, todo = [], [("", value)]
-    while todo:
-        path, x = todo.pop()
+    for path, x in todo:                            # grows by the containers inside
         if type(x) is dict:
-            todo += [(f"{path}.{k}" if path else k, y) for k, y in x.items()]
-        elif type(x) is list:
-            todo += [(f"{path}[{i}]", y) for i, y in enumerate(x)]
+            members = [(f"{path}.{k}", y) for k, y in x.items()] if path else x.items()
         else:
-            found.append((_utf8(path), literal(x)))
-    return found
+            members = [(f"{path}[{i}]", y) for i, y in enumerate(x)]
+        for p, y in members:
+            kind_of = type(y)
+            if kind_of is str:
+                found.append((p, encode_basestring(y)))
+            elif kind_of is dict or kind_of is list:
+                todo.append((p, y))
+            else:
+                found.append((p, literal(y)))
+    whole = "".join([p + x for p, x in found])
+    if whole.isascii() and "\\u" not in whole:
+        return found
+    return [(_utf8(p), _written(x)) for p, x in found]
 
 
 def items(value) -> dict[str, str]:

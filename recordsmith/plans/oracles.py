@@ -297,7 +297,8 @@ def corpus_oracles() -> dict[str, str]:
         "chat_prompt": "WITH " + _chat_sql("conversations", True).strip(),
         "tool_chat_render": "WITH " + events_turns + ",\n" + _chat_sql("ev", False).strip(),
         "sft_text": Q.with_ctes(_DOCUMENT_SPLITS) + f"SELECT {sft} AS text FROM docsplit WHERE split = 'train'",
-        "user_prompt": f"SELECT doc_id, {prompt} AS prompt FROM documents",
+        "user_prompt": synth + (f"SELECT id, {_user_prompt_sql('input_text', 'schema_hint')} AS prompt FROM corpus_all "
+                                f"UNION ALL SELECT 'document-' || doc_id, {prompt} FROM documents"),
         "inference_prompts": ("SELECT conv_id, " + infer + " AS prompt FROM (SELECT conv_id, first(text ORDER BY turn) AS text "
                               "FROM conversations WHERE role = 'user' GROUP BY conv_id)"),
     }

@@ -85,3 +85,11 @@ def test_corpus_index_marks_the_last_keys(spark, keys):
 def test_notes_are_made_where_their_keys_are_read(spark):
     plan = queries()["synth_notes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "hashpartitioning(_bucket" not in plan
+
+
+def test_user_prompt_takes_the_whole_corpus_and_all_documents(spark):
+    sf = "/root/testdata/sf0.001"
+    got = queries()["user_prompt"](spark, sf).select(F.substring_index("id", "-", 1).alias("k")).groupBy("k").count().collect()
+    counts = {r["k"]: r["count"] for r in got}
+    assert counts.pop("document") == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert sum(counts.values()) == spark.read.parquet(f"{sf}/orders.parquet").count()
