@@ -70,10 +70,21 @@ def _by_path(df: DataFrame, id_col: str, json_col: str, schema) -> DataFrame:
     fault, objects that must have members, and every root. ``parsed`` is set on roots alone, and
     false for a document that did not parse. The documents are taken apart once: a node counts
     at its own path and, as a member, at its parent's."""
-    text = dict(df.dtypes)[json_col] == "string"
-    nodes = (df.select(F.col(id_col).alias("id"), (R.node_list(json_col) if text else J.flatten_nodes(json_col)).alias("_n"))
-             .select("id", F.inline_outer("_n")))
-    rules = F.broadcast(_schema_table(df.sparkSession, schema))      # a row a place of the schema
+    if dict(df.dtypes)[json_col] == "string":
+        rules: dict[str, list] = {}
+        for pattern, _, kinds, members in schema_rows(schema):
+            rules.setdefault(pattern, []).append((kinds, members))
+        places = df.select(F.col(id_col).alias("id"), F.inline_outer(R.place_list(json_col, rules)))
+    else:
+        places = _places(df.select(F.col(id_col).alias("id"), J.flatten_nodes(json_col).alias("_n")), schema)
+    found = places.groupBy("id", "path").agg(*[F.sum(c).alias(c) for c in ("n_unknown", "n_kind", "want", "has")], F.max("parsed").alias("parsed"))
+    return found.select("id", "path", "n_unknown", "n_kind", ((F.col("want") > 0) & (F.col("has") < F.col("want"))).alias("missing"), "parsed")
+
+
+def _places(documents: DataFrame, schema) -> DataFrame:
+    """``rowjson.places`` of documents given as lists of nodes, several rows a path."""
+    nodes = documents.select("id", F.inline_outer("_n"))
+    rules = F.broadcast(_schema_table(documents.sparkSession, schema))      # a row a place of the schema
     held = nodes.join(rules, "pattern", "left")
     known = F.col("kinds").isNotNull()
     unknown, wrong = F.col("path").isNotNull() & ~known, known & ~F.array_contains("kinds", F.col("kind"))
@@ -86,9 +97,7 @@ def _by_path(df: DataFrame, id_col: str, json_col: str, schema) -> DataFrame:
     own = F.when(unknown | wrong | (want > 0) | root.isNotNull(), row(F.col("path"), unknown, F.coalesce(wrong, F.lit(False)), want, no, root))
     member = F.when(F.col("parent").isNotNull() & known & ~F.endswith("pattern", F.lit("[]")),
                     row(F.col("parent"), no, no, no, F.lit(1), F.lit(None).cast("boolean")))
-    places = held.select("id", F.explode(F.array(own, member)).alias("p")).where(F.col("p").isNotNull()).select("id", "p.*")
-    found = places.groupBy("id", "path").agg(*[F.sum(c).alias(c) for c in ("n_unknown", "n_kind", "want", "has")], F.max("parsed").alias("parsed"))
-    return found.select("id", "path", "n_unknown", "n_kind", ((F.col("want") > 0) & (F.col("has") < F.col("want"))).alias("missing"), "parsed")
+    return held.select("id", F.explode(F.array(own, member)).alias("p")).where(F.col("p").isNotNull()).select("id", "p.*")
 
 
 def schema_faults(df: DataFrame, id_col: str, json_col: str, schema) -> DataFrame:

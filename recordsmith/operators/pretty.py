@@ -1,31 +1,20 @@
 """Indented JSON text (X17), keys in the order of the text.
 
-``json.dumps(value, indent=n)`` by rows: the text is cut into tokens (strings, brackets, commas,
-colons, other values), a running bracket count gives each token its depth, and the tokens
-come back together in order. Order of keys and the literals stay those of the text, so a
-body that was put together with a fixed key order keeps it.
+``json.dumps(value, indent=n)`` row by row: the text is cut into tokens (strings, brackets,
+commas, colons, other values) that are written again with line breaks (``rowjson.indented``), so
+no row leaves its task. Order of keys and the literals stay those of the text, so a body that was
+put together with a fixed key order keeps it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-_TOKEN = r'"(?:[^"\\]++|\\.)*+"|[\[{]\s*[\]}]|[\[\]{},:]|[^\[\]{},:"\s]++'
+from recordsmith.functions import rowjson as R
 
 
 def pretty_json(df: DataFrame, id_col: str, text_col: str, indent: int = 2) -> DataFrame:
-    """(id, text): the JSON text of every row, indented. Ids must be unique; the text must be
-    JSON (a null text gives no row). Empty containers stay on one line."""
-    tokens = (df.where(F.col(text_col).isNotNull())
-              .select(F.col(id_col).alias("id"), F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(_TOKEN), F.lit(0))).alias("at", "token")))
-    token = F.col("token")
-    opens, closes = token.isin("{", "["), token.isin("}", "]")
-    order = Window.partitionBy("id").orderBy("at")
-    step = F.when(opens, 1).when(closes, -1).otherwise(0)
-    placed = tokens.select("id", "at", "token", F.sum(step).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("depth"))
-    line = F.concat(F.lit("\n"), F.repeat(F.lit(" " * indent), F.col("depth").cast("int")))
-    piece = (F.when(opens, F.concat(token, line)).when(closes, F.concat(line, token))
-             .when(token == ",", F.concat(token, line)).when(token == ":", F.lit(": "))
-             .when(token.rlike(r"^[\[{]\s*[\]}]$"), F.concat(F.left(token, F.lit(1)), F.right(token, F.lit(1)))).otherwise(token))
-    return (placed.select("id", F.struct("at", piece.alias("piece")).alias("p")).groupBy("id")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda x: x["piece"]), "").alias("text")))
+    """(id, text): the JSON text of every row, indented. The text must be JSON (a null or blank
+    text gives no row). Empty containers stay on one line."""
+    texts = df.where(F.col(text_col).rlike(r"\S"))
+    return texts.select(F.col(id_col).alias("id"), R.indent_text(text_col, indent).alias("text"))
