@@ -120,11 +120,10 @@ def sample_candidates(df: DataFrame, generator_factory: Callable[[], Callable],
     def run(batches: Iterator) -> Iterator:
         generator = generator_factory()
         for pdf in batches:
+            asked, texts = pdf.drop(columns="id"), []
             for at in range(0, len(pdf), batch_rows):
-                part = pdf.iloc[at:at + batch_rows]
-                out = part[["id", "candidate_index"]].copy()
-                out["text"] = list(generator(part.drop(columns="id").reset_index(drop=True)))
-                yield out
+                texts.extend(generator(asked.iloc[at:at + batch_rows].reset_index(drop=True)))
+            yield pdf[["id", "candidate_index"]].assign(text=texts)
 
     return shipped(requests).mapInPandas(run, f"id {dict(requests.dtypes)['id']}, candidate_index int, text string")
 
