@@ -21,7 +21,7 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recordsmith.functions.text import json_string
-from recordsmith.operators.parallel import ensure_parallelism
+from recordsmith.operators.parallel import spread
 from recordsmith.sources.tables import table
 
 # Fixed values of the corpus texts.
@@ -102,7 +102,7 @@ def _fstr(col: Column) -> Column:
 
 def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined order facts every corpus text is built from (one row per order)."""
-    orders = ensure_parallelism(table(spark, sf_dir, "orders").select(
+    orders = spread(table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"), "o_orderkey")
     customer = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
