@@ -27,6 +27,8 @@ sys.set_int_max_str_digits(0)       # integers of any length, as in the VARIANT
 #: No value: a text that is no JSON, or the JSON ``null`` of a raw output.
 ABSENT = object()
 
+_KINDS = {dict: "object", list: "array", str: "string", bool: "boolean", type(None): "null"}
+
 _CONTROL = re.compile(r"\\(?:u00[01][0-9a-f]|.)", re.S)
 
 
@@ -156,10 +158,56 @@ def _items(value) -> tuple[dict[str, str], bool]:
     return by_path, single
 
 
+_HALF = re.compile(r"\\u[dD][89a-fA-F]")
+
+
+def leaf_count(text: str, value) -> int:
+    """How many leaves the value of a text has, or -1 where paths or literals may fall together:
+    for a key that is empty or holds ``.`` or ``[``, and for escaped half surrogate pairs."""
+    if value is ABSENT:
+        return 0
+    if "\\u" in text and _HALF.search(text):
+        return -1
+    if type(value) not in (dict, list):
+        return 1
+    count, todo = 0, [value]
+    for x in todo:                                  # grows by the containers inside
+        if type(x) is dict:
+            names = "".join(x)
+            if "." in names or "[" in names or "" in x:
+                return -1
+            x = x.values()
+        count += len(x)
+        for y in x:
+            if type(y) is dict or type(y) is list:
+                count -= 1
+                todo.append(y)
+    return count
+
+
+def common_leaves(a, b) -> int:
+    """How many leaves two values share, path and literal, where ``leaf_count`` knows both."""
+    if type(a) is not type(b) or a is ABSENT:
+        return 0
+    if type(a) not in (dict, list):
+        return int(literal(a) == literal(b))
+    count, todo = 0, [(a, b)]
+    for x, y in todo:                               # grows by the containers of one kind at one path
+        pairs = [(p, y[k]) for k, p in x.items() if k in y] if type(x) is dict else zip(x, y)
+        for p, q in pairs:
+            of = type(p)
+            if of is type(q):
+                if of is dict or of is list:
+                    todo.append((p, q))
+                elif p == q and (of is not float or p or repr(p) == repr(q)):
+                    count += 1
+    return count
+
+
 def kind(x) -> str | None:
     if x is ABSENT:
         return None
-    return {dict: "object", list: "array", str: "string", bool: "boolean", type(None): "null"}.get(type(x), "number")
+    return _KINDS.get(type(x), "number")
 
 
 def _double(x) -> float:
@@ -339,20 +387,32 @@ def _conforming(reader: str, fields: dict[str, str], texts: pa.Array) -> pa.Arra
     return pa.array([conforms(READERS[reader](t), fields) for t in texts.to_pylist()], pa.bool_())
 
 
+def _compared(value, target) -> tuple[int, int, int, bool, bool]:
+    """Leaves of either value and of both, whether all are equal, and whether no path comes twice."""
+    given, once = _items(value)
+    wanted, single = _items(target)
+    exact = given == wanted
+    common = len(given) if exact else sum([wanted.get(p) == x for p, x in given.items()])
+    return len(given), len(wanted), common, exact, once and single
+
+
 def _scored(fields: dict[str, str] | None, raws: pa.Array, targets: pa.Array) -> pa.Array:
-    rows, last, target, wanted, single = [], None, ABSENT, {}, True
+    rows, last, target, wanted = [], None, ABSENT, 0
     for raw, text in zip(raws.to_pylist(), targets.to_pylist()):
         if text != last:            # the candidates of an example share its target
             target, last = parse_target(text), text
-            wanted, single = _items(target)
+            wanted = leaf_count(text, target)
         value = parse_block(raw)
-        given, once = _items(value)
-        exact = given == wanted
-        if exact and not (single and once and value == target):     # equal leaves of equal values: equal texts
+        given = leaf_count(raw, value)
+        if given < 0 or wanted < 0:
+            n_pred, n_target, common, exact, once = _compared(value, target)
+        else:
+            common = common_leaves(value, target)
+            n_pred, n_target, exact, once = given, wanted, common == given == wanted, True
+        if exact and not (once and value == target):     # equal leaves of equal values: equal texts
             exact = canonical(value) == canonical(target)
-        common = len(given) if exact else sum([wanted.get(p) == x for p, x in given.items()])
         refusal = type(value) is dict and py_equal(member(value, "can_extract"), member(target, "can_extract"))
-        rows.append((value is not ABSENT, exact, len(given), len(wanted), common, refusal, conforms(value, fields or {})))
+        rows.append((value is not ABSENT, exact, n_pred, n_target, common, refusal, fields is not None and conforms(value, fields)))
     return _struct(rows, _SCORES)
 
 

@@ -41,7 +41,7 @@ def score_predictions(df: DataFrame, raw_col: str = "raw_output", target_col: st
     k = [F.col(c) for c in keep]
     target = F.col(target_col) if dict(df.dtypes)[target_col] == "string" else J.canonical_json(target_col)
     texts = df.select(*k, F.col(raw_col).alias("raw_output"), target.alias("_target"))
-    rated = texts.select(*k, "raw_output", "_target", R.scores("raw_output", "_target", record_fields).alias("_s"))
+    rated = texts.select(*k, "raw_output", "_target", R.scores("raw_output", "_target", record_fields or None).alias("_s"))
     return rated.select(
         *k,
         "raw_output",

@@ -44,22 +44,36 @@ def _num(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit("null"))
 
 
-def _members(c: dict, *, cents_delta: int = 0, float_amount: bool = False,
+# Texts that the members of a record are put together from, made once an order.
+PIECES = ["cents_text", "head", "priority_member", "middle", "tail"]
+
+
+def _pieces(c: dict) -> dict[str, Column]:
+    """``PIECES`` of an order's columns, ``", "`` / ``": "`` separators."""
+    name = json_string(c["name"])
+    return {
+        "cents_text": _num(c["cents"]),
+        "head": F.concat(F.lit('"order_id": '), _num(c["key"]), F.lit(', "customer": '), name,
+                         F.lit(', "order_date": '), json_string(c["date"])),
+        "priority_member": F.concat(F.lit(', "priority": '), json_string(c["priority"])),
+        "middle": F.concat(F.lit(', "tags": ['), json_string(c["status"]), F.lit(", "), json_string(c["segment"]),
+                           F.lit('], "parties": [{"name": '), name, F.lit(', "nation": '), json_string(c["nation"]),
+                           F.lit('}], "amounts": {"total_cents": ')),
+        "tail": F.concat(F.lit(', "balance_cents": '), _num(c["balance"]), F.lit("}")),
+    }
+
+
+def _members(*, cents_delta: int = 0, float_amount: bool = False,
              drop_priority: bool = False, extra: bool = False) -> Column:
-    """Record members in insertion order, ``", "`` / ``": "`` separators."""
-    total = _num(c["cents"] + F.lit(cents_delta)) if cents_delta else _num(c["cents"])
-    amount_total = F.concat(_num(c["cents"]), F.lit(".0")) if float_amount else _num(c["cents"])
-    parts = [F.lit('"order_id": '), _num(c["key"]),
-             F.lit(', "customer": '), json_string(c["name"]),
-             F.lit(', "order_date": '), json_string(c["date"])]
+    """Record members in insertion order, from the columns ``PIECES`` (and ``cents``)."""
+    total = _num(F.col("cents") + F.lit(cents_delta)) if cents_delta else F.col("cents_text")
+    parts = [F.col("head")]
     if not drop_priority:
-        parts += [F.lit(', "priority": '), json_string(c["priority"])]
-    parts += [F.lit(', "total_cents": '), total,
-              F.lit(', "tags": ['), json_string(c["status"]), F.lit(", "), json_string(c["segment"]),
-              F.lit('], "parties": [{"name": '), json_string(c["name"]),
-              F.lit(', "nation": '), json_string(c["nation"]),
-              F.lit('}], "amounts": {"total_cents": '), amount_total,
-              F.lit(', "balance_cents": '), _num(c["balance"]), F.lit("}")]
+        parts += [F.col("priority_member")]
+    parts += [F.lit(', "total_cents": '), total, F.col("middle"), F.col("cents_text")]
+    if float_amount:
+        parts += [F.lit(".0")]
+    parts += [F.col("tail")]
     if extra:
         parts += [F.lit(", " + EXTRA_MEMBER)]
     return F.concat(*parts)
@@ -83,9 +97,9 @@ def _target_refusal() -> Column:
     return F.lit('{"can_extract": false, "refusal_reason": "' + REFUSAL_REASON + '", "record": null}')
 
 
-def _target_record(c: dict) -> Column:
+def _target_record() -> Column:
     return F.concat(F.lit('{"can_extract": true, "refusal_reason": null, "record": {'),
-                    _members(c), F.lit("}}"))
+                    _members(), F.lit("}}"))
 
 
 def _pred_record(members: Column) -> Column:
@@ -123,8 +137,8 @@ def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(", status "), _fstr(c["status"]), F.lit(", segment "), _fstr(c["segment"]),
         F.lit(". Total "), _fstr(c["cents"]), F.lit(" cents; customer balance "), _fstr(c["balance"]),
         F.lit(" cents."))
-    target = F.when(F.col("refusal"), _target_refusal()).otherwise(_target_record(c))
-    return base.select("*", F.format_string("order-%d", F.col("key")).alias("id"),
+    target = F.when(F.col("refusal"), _target_refusal()).otherwise(_target_record())
+    return base.withColumns(_pieces(c)).select("*", F.format_string("order-%d", F.col("key")).alias("id"),
                        input_text.alias("input_text"), F.lit(ORDER_SCHEMA_HINT).alias("schema_hint"),
                        target.alias("target_text"))
 
@@ -142,21 +156,20 @@ def damaged_text(d: Column) -> Column:
 @functools.lru_cache(maxsize=1)
 def _damaged_template() -> Column:
     d = F.col("_d")
-    c = {k: F.col(k) for k in ("key", "name", "date", "priority", "cents", "status", "segment", "nation", "balance")}
     refusal = F.col("refusal")
-    base = F.when(refusal, _refusal()).otherwise(_pred_record(_members(c)))
+    base = F.when(refusal, _refusal()).otherwise(_pred_record(_members()))
     return (
         F.when(d == 0, base)
         .when(d == 1, F.concat(F.lit(PROSE_HEAD), base, F.lit(PROSE_TAIL)))
         .when(d == 2, F.concat(base, F.lit(TRAILER)))
         .when(d == 3, base.substr(F.lit(1), F.length(base) - CUT_CHARS))
         .when(d == 4, F.when(refusal, _refusal(WRONG_REASON))
-              .otherwise(_pred_record(_members(c, cents_delta=1, float_amount=True))))
+              .otherwise(_pred_record(_members(cents_delta=1, float_amount=True))))
         .when(d == 5, F.when(refusal, _refusal(None))
-              .otherwise(_pred_record(_members(c, drop_priority=True))))
+              .otherwise(_pred_record(_members(drop_priority=True))))
         .when(d == 6, F.when(refusal, _refusal(extra=True))
-              .otherwise(_pred_record(_members(c, extra=True))))
-        .when(d == 7, F.when(refusal, _pred_record(_members(c))).otherwise(_refusal()))
+              .otherwise(_pred_record(_members(extra=True))))
+        .when(d == 7, F.when(refusal, _pred_record(_members())).otherwise(_refusal()))
         .when(d == 8, F.lit(NON_OBJECT))
         .otherwise(F.lit(BLANK)))
 
