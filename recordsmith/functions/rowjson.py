@@ -362,13 +362,19 @@ def _leaf_lists(reader: str, unique: bool, texts: pa.Array) -> pa.Array:
 
 
 def _path_lists(raws: pa.Array, targets: pa.Array) -> pa.Array:
-    rows = []
+    offsets, paths, ps, ts, valid = [0], [], [], [], []
     for raw, text in zip(raws.to_pylist(), targets.to_pylist()):
         value = parse_block(raw)
         given, wanted = items(value), items(parse_target(text))
-        rows.append([(None, None, None, value is not ABSENT), *((p, x, wanted.get(p), None) for p, x in given.items()),
-                     *((p, None, x, None) for p, x in wanted.items() if p not in given)])
-    return _lists(rows, _PATH)
+        missed = [p for p in wanted if p not in given] if not wanted.keys() <= given.keys() else []
+        paths += (None, *given, *missed)
+        ps += (None, *given.values(), *[None] * len(missed))
+        ts += (None, *map(wanted.get, given), *map(wanted.get, missed))
+        valid.append(value is not ABSENT)
+        valid += [None] * (len(paths) - len(valid))
+        offsets.append(len(paths))
+    columns = [pa.array(c, t) for c, (_, t) in zip((paths, ps, ts, valid), _PATH)]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(columns, [n for n, _ in _PATH]))
 
 
 def _place_lists(rules: dict, reader: str, texts: pa.Array) -> pa.Array:
