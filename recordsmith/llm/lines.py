@@ -90,26 +90,32 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     # Equal lines: every occurrence but the first.
     equal = stash(keyed.join(distinct.where("times > 1").select("k1", "k2", "first"), ["k1", "k2"])
                   .where(_loc() != F.col("first")).select(*LOC, F.lit(False).alias("near")), "equal")
+    drop_stash(keyed)                    # nothing below reads it again
     # Lines that share a half with another line, at the place of their first occurrence.
     half = distinct.select("first", F.explode("halves").alias("half"))
     shared = half.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half")
-    suspects = (half.join(shared, "half").select("first.*")
-                    .groupBy("id", "rid").agg(F.collect_set("line").alias("numbers")))
+    suspects = stash(half.join(shared, "half").select("first.*")
+                     .groupBy("id", "rid").agg(F.collect_set("line").alias("numbers")), "numbers")
+    drop_stash(distinct)                 # before any text moves
     texts = stash(_joined(docs, suspects)
                   .select("id", "rid", F.split("text", "\n").alias("s"), F.explode("numbers").alias("line"))
                   .select(*LOC, words_of(F.expr("s[line]")).alias("w")).withColumn("n", F.size("w")), "suspects")
-    drop_stash(keyed)                    # nothing below reads them again
-    drop_stash(distinct)
+    drop_stash(suspects)
     variants = stash(_variants(texts), "variants")
     key = ["k1", "k2", "left"]
-    same = variants.groupBy(*key, "pos").agg(F.min("f").alias("same"))
-    each = same.groupBy(*key).agg(
-        F.min("same").alias("any"), F.min(F.when(F.col("pos") == 0, F.col("same"))).alias("whole"))
+    # Only keys of several lines can give a partner: the others are left out before any join.
+    each = stash(variants.groupBy(*key).agg(
+        F.min("f").alias("any"), F.max("f").alias("last"), F.min(F.when(F.col("pos") == 0, F.col("f"))).alias("whole"))
+        .where(F.col("any") < F.col("last")).drop("last"), "each")
+    met = stash(variants.join(each.hint("merge"), key), "met")
+    drop_stash(variants)
+    drop_stash(each)
+    same = met.groupBy(*key, "pos").agg(F.min("f").alias("same"))
     partner = F.when(F.col("pos") == 0, F.col("any")).otherwise(
         F.when(F.col("whole") < F.col("same"), F.col("whole")).otherwise(F.col("same")))
-    near = (variants.join(same, [*key, "pos"]).join(each, key)
-                    .select("f", partner.alias("partner")).where(F.col("partner") < F.col("f"))
-                    .groupBy("f").agg(F.min("partner").alias("partner")))
+    near = (met.join(same, [*key, "pos"])
+               .select("f", partner.alias("partner")).where(F.col("partner") < F.col("f"))
+               .groupBy("f").agg(F.min("partner").alias("partner")))
     words = texts.select(_loc().alias("f"), "w")
     near = (near.join(words, "f")
                 .join(words.select(F.col("f").alias("partner"), F.col("w").alias("pw")), "partner")
@@ -118,14 +124,15 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     removed = stash(equal.unionByName(near).groupBy("id", "rid")
                     .agg(F.collect_set("line").alias("removed"),
                          F.sum(F.col("near").cast("long")).alias("near")), "removed")
-    for done in (equal, texts, variants):
+    for done in (equal, texts, met):
         drop_stash(done)
     return removed
 
 
 def _joined(docs: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
+    """``docs`` with what was found in them, by the same shuffled join at every size."""
     found = found.withColumnRenamed("id", "fid").withColumnRenamed("rid", "frid")
-    return docs.join(found, docs["id"].eqNullSafe(found["fid"]) & (docs["rid"] == found["frid"]),
+    return docs.join(found.hint("merge"), docs["id"].eqNullSafe(found["fid"]) & (docs["rid"] == found["frid"]),
                      how).drop("fid", "frid")
 
 

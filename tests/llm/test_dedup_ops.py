@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 
 import helpers
-from recordsmith.llm import substrings
+from recordsmith.llm import lines, substrings
 from recordsmith.llm.bpe import default_vocabulary, load_coder
 from recordsmith.llm.components import connected_components
 from recordsmith.llm.decontaminate import BenchmarkIndex, best_window, drop_leaks, leaks, op7_decontaminate, word_hashes
@@ -434,3 +434,18 @@ def test_lm_rows_of_one_id_are_dealt_over_blocks(spark, monkeypatch):
     got = score_texts(docs, docs).collect()
     scores = [r["score"] for r in got if r["doc_id"] in (None, 3)]
     assert len(got) == docs.count() and len(scores) == 200 and max(scores) - min(scores) < 1e-3
+
+
+def test_line_dedup_joins_only_variants_of_several_lines(spark, monkeypatch):
+    rows, put = {}, lines.stash
+
+    def noted(df, name):
+        out = put(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(lines, "stash", noted)
+    texts = [f"one two three four a{k} b{k} c{k} d{k}" for k in range(60)] + ["one two three four a7 b7 c7 other", "one two three four a8 b8 c8"]
+    got = {x["doc_id"]: x["n_near"] for x in line_dedup(helpers.docs(spark, texts)).collect()}
+    assert [k for k, n in sorted(got.items()) if n] == [60, 61]
+    assert rows["variants"] == 61 * 9 + 8 and rows["met"] == 4
