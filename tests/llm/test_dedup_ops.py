@@ -446,6 +446,6 @@ def test_line_dedup_joins_only_variants_of_several_lines(spark, monkeypatch):
 
     monkeypatch.setattr(lines, "stash", noted)
     texts = [f"one two three four a{k} b{k} c{k} d{k}" for k in range(60)] + ["one two three four a7 b7 c7 other", "one two three four a8 b8 c8"]
-    got = {x["doc_id"]: x["n_near"] for x in line_dedup(helpers.docs(spark, texts)).collect()}
+    got = {x["doc_id"]: x["n_near"] for x in line_dedup(helpers.docs(spark, enumerate(texts))).collect()}
     assert [k for k, n in sorted(got.items()) if n] == [60, 61]
     assert rows["variants"] == 61 * 9 + 8 and rows["met"] == 4
